@@ -1,0 +1 @@
+"""Streaming: the package has no operator of its own here (see README)."""
