@@ -7,8 +7,6 @@ The rules are those of M. F. Porter, "An algorithm for suffix stripping", Progra
 
 from __future__ import annotations
 
-import re
-
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
@@ -27,21 +25,32 @@ STEP_3 = {
     "icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": "",
 }
 # Suffixes deleted where the part before has measure > 1.
-STEP_4 = (
+STEP_4 = {
     "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent",
     "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
-)
+}
+
+
+def _by_length(suffixes) -> tuple[str, ...]:
+    return tuple(sorted(suffixes, key=len, reverse=True))
+
+
+_SUFFIXES_2, _SUFFIXES_3, _SUFFIXES_4 = map(_by_length, (STEP_2, STEP_3, STEP_4))
 
 
-def _longest_suffix(suffixes) -> re.Pattern:
-    return re.compile("(?:" + "|".join(sorted(suffixes, key=len, reverse=True)) + r")\Z")
+def _longest_suffix(word: str, suffixes: tuple[str, ...]) -> str | None:
+    if not word.endswith(suffixes):
+        return None
+    return next(s for s in suffixes if word.endswith(s))
 
 
-_SUFFIX_2, _SUFFIX_3, _SUFFIX_4 = map(_longest_suffix, (STEP_2, STEP_3, STEP_4))
+_SHAPES = str.maketrans({chr(c): "v" if chr(c) in "aeiou" else "c" for c in range(128)})
 
 
 def _shape(word: str) -> str:
-    """One letter per character: v for a vowel, c otherwise; y is v after a c."""
+    """One letter per (ASCII) character: v for a vowel, c otherwise; y is v after a c."""
+    if "y" not in word:
+        return word.translate(_SHAPES)
     shape = ""
     for char in word:
         vowel = char in "aeiou" or (char == "y" and shape[-1:] == "c")
@@ -89,19 +98,20 @@ def _final_y(word: str) -> str:
     return word[:-1] + "i" if word.endswith("y") and "v" in _shape(word[:-1]) else word
 
 
-def _replace(word: str, suffix: re.Pattern, replacement: dict[str, str]) -> str:
-    found = suffix.search(word)
-    if found is None or _measure(word[: found.start()]) == 0:
+def _replace(word: str, suffixes: tuple[str, ...], replacement: dict[str, str]) -> str:
+    suffix = _longest_suffix(word, suffixes)
+    if suffix is None:
         return word
-    return word[: found.start()] + replacement[found.group()]
+    stem = word[: -len(suffix)]
+    return stem + replacement[suffix] if _measure(stem) > 0 else word
 
 
 def _delete(word: str) -> str:
-    found = _SUFFIX_4.search(word)
-    if found is None:
+    suffix = _longest_suffix(word, _SUFFIXES_4)
+    if suffix is None:
         return word
-    stem = word[: found.start()]
-    if found.group() == "ion" and stem[-1:] not in ("s", "t"):
+    stem = word[: -len(suffix)]
+    if suffix == "ion" and stem[-1:] not in ("s", "t"):
         return word
     return stem if _measure(stem) > 1 else word
 
@@ -120,8 +130,8 @@ def porter_stem(word: str) -> str:
     if len(word) < 3:
         return word
     word = _final_y(_past_or_gerund(_plural(word)))
-    word = _replace(word, _SUFFIX_2, STEP_2)
-    word = _replace(word, _SUFFIX_3, STEP_3)
+    word = _replace(word, _SUFFIXES_2, STEP_2)
+    word = _replace(word, _SUFFIXES_3, STEP_3)
     return _final_e(_delete(word))
 
 
