@@ -48,8 +48,8 @@ def brute(rows, vocabulary, d):
 def test_worked_table(spark, docs, d, pairs, stripes):
     ab = spark.createDataFrame([("b",), ("a",)], "word string")
     lines = token_lines(docs, "a x b a a")
-    assert {r["pair"]: r["n"] for r in cooc.pair_keys(cooc.pair_counts(lines, ab, d)).collect()} == pairs
-    dense = cooc.stripe_text(cooc.stripes(cooc.directed_counts(lines, ab, d), ab))
+    assert {r["pair"]: r["n"] for r in cooc.pair_keys(cooc.pair_counts(lines, ab, d, small=True)).collect()} == pairs
+    dense = cooc.stripe_text(cooc.stripes(cooc.directed_counts(lines, ab, d, small=True), ab))
     assert {r["word"]: r["stripe"] for r in dense.collect()} == stripes
 
 
@@ -57,9 +57,9 @@ def test_worked_table(spark, docs, d, pairs, stripes):
 def test_against_brute_force(docs, known, d):
     lines = token_lines(docs, *TEXTS)
     expected = brute(lines.collect(), {"a", "b", "", "zz"}, d)
-    rows = cooc.directed_counts(lines, known, d, keep=("doc_id", "line_no")).collect()
+    rows = cooc.directed_counts(lines, known, d, True, ("doc_id", "line_no")).collect()
     assert {(r["doc_id"], r["line_no"], r["w1"], r["w2"]): r["n"] for r in rows} == expected
-    events = cooc.events(lines, known, d, ("doc_id", "line_no")).collect()
+    events = cooc.events(lines, known, d, True, ("doc_id", "line_no")).collect()
     assert len(events) == sum(expected.values())
     assert all(1 <= e["pos2"] - e["pos1"] <= d for e in events)
 
@@ -71,8 +71,8 @@ def test_identities(docs, known, d):
     def as_dict(df):
         return {(r["w1"], r["w2"]): r["n"] for r in df.collect()}
 
-    directed = as_dict(cooc.directed_counts(lines, known, d))
-    pairs = as_dict(cooc.pair_counts(lines, known, d))
+    directed = as_dict(cooc.directed_counts(lines, known, d, small=True))
+    pairs = as_dict(cooc.pair_counts(lines, known, d, small=True))
     folded = Counter()
     for (w1, w2), n in directed.items():
         folded[min(w1, w2), max(w1, w2)] += n

@@ -53,7 +53,20 @@ def test_vocabulary_and_counts(spark, write):
     assert {r["word"]: r["n"] for r in counts} == {"a": 3, "": 2, "b": 7}
     ranked = write("r", "d\t50\n\t44\na\t44\n")
     rows = side_files.read_document_frequencies(spark, ranked).collect()
-    assert [(r["term"], r["df"], r["idx"]) for r in rows] == [("d", 50, 0), ("", 44, 1), ("a", 44, 2)]
+    assert [(r["term"], r["df"], r["idx"]) for r in sorted(rows, key=lambda r: r["idx"])] == [("d", 50, 0), ("", 44, 1), ("a", 44, 2)]
+
+
+def test_line_numbers_across_blocks(spark, write):
+    lines = "".join(f"t{i}\t{i}\n" for i in range(3000))
+    path = write("many", lines)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        ranked = side_files.read_document_frequencies(spark, path)
+        assert ranked.select("idx").distinct().count() == 3000
+        assert ranked.where("idx <> df").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
 
 
 def test_cooccurrence_jobs(spark, write, tmp_path):

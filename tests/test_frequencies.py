@@ -58,9 +58,9 @@ def test_term_frequency(corpus):
     def as_dict(df):
         return {(r["doc_id"], r["term"]): r["tf"] for r in df.collect()}
 
-    assert as_dict(freq.term_frequencies(rows, top)) == expected
+    assert as_dict(freq.term_frequencies(rows, top, small=True)) == expected
     assert as_dict(freq.term_frequencies(rows, top, small=False)) == expected
-    assert as_dict(freq.term_frequencies(freq.weighted_lines(corpus), top)) == running
+    assert as_dict(freq.term_frequencies(freq.weighted_lines(corpus), top, small=True)) == running
     assert as_dict(freq.term_frequencies(freq.weighted_lines(corpus), top, small=False)) == running
 
 
@@ -68,7 +68,9 @@ def test_term_frequency(corpus):
 def test_scores_are_dense(corpus, running):
     top = ranked(corpus)
     rows = freq.weighted_lines(corpus) if running else words.token_documents(corpus)
-    found = {(r["doc_id"], r["term"]): (r["tf"], r["tfidf"]) for r in freq.tf_idf(rows, top, 10).collect()}
+    found = {(r["doc_id"], r["term"]): (r["tf"], r["tfidf"]) for r in freq.tf_idf(rows, top, 10, small=True).collect()}
+    large = freq.tf_idf(rows, top, 10, small=False).collect()
+    assert {(r["doc_id"], r["term"]): (r["tf"], r["tfidf"]) for r in large} == found
     known = {r["term"]: r["df"] for r in top.collect()}
     with_lines = [i for i, t in enumerate(TEXTS) if t]  # also those without tokens
     assert set(found) == {(i, t) for i in with_lines for t in known}
@@ -81,5 +83,5 @@ def test_scores_are_dense(corpus, running):
 def test_running_counts_equal_plain_ones_on_one_line(docs):
     corpus = words.normalise(docs("a b a", "b c\n"))
     top = ranked(corpus)
-    plain = freq.tf_idf(words.token_documents(corpus), top, freq.document_count(corpus))
-    assert plain.exceptAll(freq.tf_idf(freq.weighted_lines(corpus), top, freq.document_count(corpus))).count() == 0
+    plain = freq.tf_idf(words.token_documents(corpus), top, freq.document_count(corpus), True)
+    assert plain.exceptAll(freq.tf_idf(freq.weighted_lines(corpus), top, freq.document_count(corpus), True)).count() == 0

@@ -27,22 +27,22 @@ def followers(lines: DataFrame, d: int, keep: tuple[str, ...] = ()) -> DataFrame
 
 
 def events(
-    lines: DataFrame, vocabulary: DataFrame | None, d: int = 1, keep: tuple[str, ...] = ()
+    lines: DataFrame, vocabulary: DataFrame | None, d: int = 1, small: bool = False, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """-> (*keep, pos1, pos2, w1, w2), one row per co-occurrence event."""
     first = followers(lines, d, keep)
     if vocabulary is not None:
-        first = in_vocabulary(first, vocabulary, "w1")
+        first = in_vocabulary(first, vocabulary, "w1", small)
     both = first.select(*keep, "pos", "w1", F.posexplode("next").alias("gap", "w2")).where("w2 is not null")
     if vocabulary is not None:
-        both = in_vocabulary(both, vocabulary, "w2")
+        both = in_vocabulary(both, vocabulary, "w2", small)
     return both.select(
         *keep, F.col("pos").alias("pos1"), (F.col("pos") + F.col("gap") + 1).alias("pos2"), "w1", "w2"
     )
 
 
 def directed_counts(
-    lines: DataFrame, vocabulary: DataFrame, d: int = 1, small: bool = True, keep: tuple[str, ...] = ()
+    lines: DataFrame, vocabulary: DataFrame, d: int = 1, small: bool = False, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """-> (*keep, w1, w2, n).
 
@@ -50,7 +50,7 @@ def directed_counts(
     vocabulary pairs are shuffled. Otherwise all events are counted first and the
     lookup works on the counts.
     """
-    counted = events(lines, vocabulary if small else None, d, keep)
+    counted = events(lines, vocabulary if small else None, d, small, keep)
     counted = counted.groupBy(*keep, "w1", "w2").agg(F.count("*").alias("n"))
     if small:
         return counted
@@ -58,17 +58,15 @@ def directed_counts(
 
 
 def pair_counts(
-    lines: DataFrame, vocabulary: DataFrame, d: int = 1, small: bool = True, keep: tuple[str, ...] = ()
+    lines: DataFrame, vocabulary: DataFrame, d: int = 1, small: bool = False, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """-> (*keep, w1, w2, n) with w1 <= w2: the direction is dropped."""
-    low, high = F.least("w1", "w2"), F.greatest("w1", "w2")
     if small:
-        rows, n = events(lines, vocabulary, d, keep), F.count("*")
+        rows = events(lines, vocabulary, d, small, keep).withColumn("n", F.lit(1).cast("long"))
     else:
-        rows, n = directed_counts(lines, vocabulary, d, small, keep), F.sum("n")
-    return rows.select(*keep, low.alias("w1"), high.alias("w2"), *([] if small else ["n"])).groupBy(
-        *keep, "w1", "w2"
-    ).agg(n.alias("n"))
+        rows = directed_counts(lines, vocabulary, d, small, keep)
+    pair = rows.select(*keep, F.least("w1", "w2").alias("w1"), F.greatest("w1", "w2").alias("w2"), "n")
+    return pair.groupBy(*keep, "w1", "w2").agg(F.sum("n").alias("n"))
 
 
 def roll_up(counts: DataFrame) -> DataFrame:

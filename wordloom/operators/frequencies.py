@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.porter import stems_udf
 from wordloom.functions.text import split_lines, whole_lines
+from wordloom.operators.vocabulary import lookup_side
 from wordloom.operators.words import exploded, token_lines
 
 
@@ -60,24 +61,26 @@ def _weight(rows: DataFrame) -> Column:
     return F.col("weight") if "weight" in rows.columns else F.lit(1).cast("long")
 
 
-def term_frequencies(rows: DataFrame, ranked: DataFrame, small: bool = True) -> DataFrame:
+def term_frequencies(rows: DataFrame, ranked: DataFrame, small: bool = False) -> DataFrame:
     """(doc_id, tokens[, weight]) and (term, df, idx) -> (doc_id, term, idx, tf), tf > 0."""
     hits = exploded(rows, "doc_id", _weight(rows).alias("weight"), name="term")
-    lookup = ranked.select("term", "idx")
+    terms = lookup_side(ranked.select("term", "idx"), small)
     if small:
-        counted = hits.join(lookup, "term").groupBy("doc_id", "idx").agg(F.sum("weight").alias("tf"))
-        return counted.join(lookup, "idx").select("doc_id", "term", "idx", "tf")
+        counted = hits.join(terms, "term").groupBy("doc_id", "idx").agg(F.sum("weight").alias("tf"))
+        return counted.join(terms, "idx").select("doc_id", "term", "idx", "tf")
     counted = hits.groupBy("doc_id", "term").agg(F.sum("weight").alias("tf"))
-    return counted.join(lookup, "term").select("doc_id", "term", "idx", "tf")
+    return counted.join(terms, "term").select("doc_id", "term", "idx", "tf")
 
 
-def dense_term_frequencies(rows: DataFrame, ranked: DataFrame) -> DataFrame:
+def dense_term_frequencies(rows: DataFrame, ranked: DataFrame, small: bool = False) -> DataFrame:
     """-> (doc_id, idx, tf) with a row for every document and ranked term, zeros included.
 
     Each document carries every ranked term once with weight 0, next to its own tokens,
     so that one aggregation both counts and completes: no join of documents and terms.
     Rows of multi-row documents name the row that does this in `opens`.
     """
+    if not small:
+        return _completed(rows, ranked)
     terms = ranked.agg(F.collect_list("term")).scalar()
     if "opens" in rows.columns:
         terms = F.when(F.col("opens"), terms).otherwise(F.array().cast("array<string>"))
@@ -87,7 +90,17 @@ def dense_term_frequencies(rows: DataFrame, ranked: DataFrame) -> DataFrame:
     )
     weight = F.when(F.col("pos") < F.col("n_own"), F.lit(0).cast("long")).otherwise(F.col("weight"))
     hits = hits.select("doc_id", "term", weight.alias("weight"))
-    return hits.join(ranked.select("term", "idx"), "term").groupBy("doc_id", "idx").agg(F.sum("weight").alias("tf"))
+    known = lookup_side(ranked.select("term", "idx"), small)
+    return hits.join(known, "term").groupBy("doc_id", "idx").agg(F.sum("weight").alias("tf"))
+
+
+def _completed(rows: DataFrame, ranked: DataFrame) -> DataFrame:
+    """The same for a ranking too large to be carried by every document: zeros by index."""
+    indices = F.sequence(F.lit(0).cast("long"), ranked.agg(F.count("*")).scalar() - 1)
+    opening = rows.where("opens") if "opens" in rows.columns else rows
+    zeros = opening.select("doc_id", F.explode(indices).alias("idx"), F.lit(0).cast("long").alias("tf"))
+    found = term_frequencies(rows, ranked, small=False).select("doc_id", F.col("idx").cast("long").alias("idx"), "tf")
+    return zeros.union(found).groupBy("doc_id", "idx").agg(F.sum("tf").alias("tf"))
 
 
 def idf(frequencies: DataFrame, n_docs: int | Column) -> DataFrame:
@@ -96,9 +109,10 @@ def idf(frequencies: DataFrame, n_docs: int | Column) -> DataFrame:
     return frequencies.withColumn("idf", F.log(n / (F.col("df") + 1)))
 
 
-def tf_idf(rows: DataFrame, ranked: DataFrame, n_docs: int | Column) -> DataFrame:
+def tf_idf(rows: DataFrame, ranked: DataFrame, n_docs: int | Column, small: bool = False) -> DataFrame:
     """-> (doc_id, term, tf, tfidf) for every document and ranked term."""
-    scores = dense_term_frequencies(rows, ranked).join(idf(ranked, n_docs), "idx")
+    known = lookup_side(idf(ranked, n_docs), small)
+    scores = dense_term_frequencies(rows, ranked, small).join(known, "idx")
     return scores.select("doc_id", "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 

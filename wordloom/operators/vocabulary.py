@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A vocabulary up to this size is joined as a filter in front of the aggregation,
-# where Spark broadcasts it. Beyond it counting comes first and the lookup, on the
-# counted rows, may shuffle.
+# What may be called small: a vocabulary up to this size is broadcast, as a filter in
+# front of the aggregation. Beyond it, or where nothing is known, counting comes first
+# and the lookup shuffles the counted rows.
 SMALL_ROWS = 100_000
 SMALL_BYTES = 8 << 20
 
@@ -30,7 +30,7 @@ def rank_index(frequencies: DataFrame) -> DataFrame:
 
 
 def is_small(vocabulary: DataFrame, word: str = "word") -> bool:
-    """Measure a vocabulary whose size is not known from a top-k, such as one from a file."""
+    """Measure a vocabulary that is not a top-k of at most SMALL_ROWS, such as one from a file."""
     rows, size = (
         vocabulary.limit(SMALL_ROWS + 1)
         .agg(F.count("*"), F.coalesce(F.sum(F.octet_length(word) + 16), F.lit(0)))
@@ -39,6 +39,10 @@ def is_small(vocabulary: DataFrame, word: str = "word") -> bool:
     return rows <= SMALL_ROWS and size <= SMALL_BYTES
 
 
-def in_vocabulary(rows: DataFrame, vocabulary: DataFrame, column: str = "token") -> DataFrame:
+def lookup_side(vocabulary: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(vocabulary) if small else vocabulary
+
+
+def in_vocabulary(rows: DataFrame, vocabulary: DataFrame, column: str = "token", small: bool = False) -> DataFrame:
     """Keep the rows whose `column` is a word of the vocabulary."""
-    return rows.join(vocabulary.select(F.col("word").alias(column)), column, "left_semi")
+    return rows.join(lookup_side(vocabulary.select(F.col("word").alias(column)), small), column, "left_semi")

@@ -22,6 +22,8 @@ TOP_TERMS = 100
 DISTANCES = (1, 2, 3, 4)
 ASSUMED_DOCUMENTS = 10_000
 
+SMALL = max(TOP_WORDS, TOP_TERMS) <= vocab.SMALL_ROWS
+
 STOP_LIST = Path(__file__).parents[2] / "FIXTURES.md"
 
 
@@ -78,32 +80,32 @@ def n_documents(spark, sf_dir):
 
 
 def vocab_positions(spark, sf_dir) -> DataFrame:
-    return vocab.in_vocabulary(words.tokens(lines(spark, sf_dir)), top_words(spark, sf_dir)).select(
+    return vocab.in_vocabulary(words.tokens(lines(spark, sf_dir)), top_words(spark, sf_dir), small=SMALL).select(
         "doc_id", "line_no", "pos", F.col("token").alias("word")
     )
 
 
 def cooc_events(spark, sf_dir, d=2) -> DataFrame:
-    return cooc.events(token_lines(spark, sf_dir), top_words(spark, sf_dir), d, ("doc_id", "line_no"))
+    return cooc.events(token_lines(spark, sf_dir), top_words(spark, sf_dir), d, SMALL, ("doc_id", "line_no"))
 
 
 def cooc_pairs(spark, sf_dir, d=1, strip_vocabulary=False) -> DataFrame:
-    return cooc.pair_counts(token_lines(spark, sf_dir), top_words(spark, sf_dir, strip=strip_vocabulary), d)
+    return cooc.pair_counts(token_lines(spark, sf_dir), top_words(spark, sf_dir, strip=strip_vocabulary), d, SMALL)
 
 
 def cooc_pairs_per_line(spark, sf_dir, d=2) -> DataFrame:
     return cooc.pair_counts(
-        token_lines(spark, sf_dir), top_words(spark, sf_dir), d, keep=("doc_id", "line_no")
+        token_lines(spark, sf_dir), top_words(spark, sf_dir), d, SMALL, keep=("doc_id", "line_no")
     )
 
 
 def cooc_directed(spark, sf_dir, d=2, keep=()) -> DataFrame:
-    return cooc.directed_counts(token_lines(spark, sf_dir), top_words(spark, sf_dir), d, keep=keep)
+    return cooc.directed_counts(token_lines(spark, sf_dir), top_words(spark, sf_dir), d, SMALL, keep)
 
 
 def stripes_dense(spark, sf_dir, d=1, strip_vocabulary=False) -> DataFrame:
     vocabulary = top_words(spark, sf_dir, strip=strip_vocabulary)
-    directed = cooc.directed_counts(token_lines(spark, sf_dir), vocabulary, d)
+    directed = cooc.directed_counts(token_lines(spark, sf_dir), vocabulary, d, SMALL)
     return cooc.stripe_text(cooc.stripes(directed, vocabulary))
 
 
@@ -112,18 +114,18 @@ def idf(spark, sf_dir) -> DataFrame:
 
 
 def tf(spark, sf_dir, stem=False) -> DataFrame:
-    found = freq.term_frequencies(token_rows(spark, sf_dir, stem=stem), ranked_terms(spark, sf_dir, stem=stem))
+    found = freq.term_frequencies(token_rows(spark, sf_dir, stem=stem), ranked_terms(spark, sf_dir, stem=stem), SMALL)
     return found.select("doc_id", "term", "tf")
 
 
 def tf_cumulative(spark, sf_dir) -> DataFrame:
-    found = freq.term_frequencies(freq.weighted_lines(documents(spark, sf_dir)), ranked_terms(spark, sf_dir))
+    found = freq.term_frequencies(freq.weighted_lines(documents(spark, sf_dir)), ranked_terms(spark, sf_dir), SMALL)
     return found.select("doc_id", "term", "tf")
 
 
 def tf_idf(spark, sf_dir, stem=False) -> DataFrame:
     scores = freq.tf_idf(
-        token_rows(spark, sf_dir, stem=stem), ranked_terms(spark, sf_dir, stem=stem), n_documents(spark, sf_dir)
+        token_rows(spark, sf_dir, stem=stem), ranked_terms(spark, sf_dir, stem=stem), n_documents(spark, sf_dir), SMALL
     )
     return _rounded(scores, "tfidf")
 
@@ -132,7 +134,7 @@ def tf_idf_ref_settings(spark, sf_dir) -> DataFrame:
     """Terms from stripped text, looked up in unstripped text, running counts, fixed N."""
     rows = freq.stemmed(freq.weighted_lines(documents(spark, sf_dir)))
     ranked = ranked_terms(spark, sf_dir, strip=True, stem=True)
-    return _rounded(freq.tf_idf(rows, ranked, ASSUMED_DOCUMENTS), "tfidf")
+    return _rounded(freq.tf_idf(rows, ranked, ASSUMED_DOCUMENTS, SMALL), "tfidf")
 
 
 def stem_dictionary(spark, sf_dir) -> DataFrame:

@@ -93,4 +93,5 @@ def tf_idf(
     ranked = read_document_frequencies(spark, frequencies)
     if n_docs is None:
         n_docs = freq.document_count(read_documents(spark, corpus).select(F.lit(1)))
-    write_scores(freq.tf_idf(freq.stemmed(rows) if stem else rows, ranked, n_docs), output)
+    rows = freq.stemmed(rows) if stem else rows
+    write_scores(freq.tf_idf(rows, ranked, n_docs, small=vocab.is_small(ranked, "term")), output)

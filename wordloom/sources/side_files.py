@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions.stop_patterns import application_order
@@ -12,42 +12,38 @@ from wordloom.functions.stop_patterns import application_order
 MAX_STOP_PATTERNS = 100_000
 
 
+def _placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their place: (file, block, row, value). Rows of a block are numbered without gaps."""
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        "value",
+    )
+
+
 def read_stop_patterns(spark: SparkSession, *paths: str) -> list[str]:
     """Union of several stop lists (one pattern per line, blanks kept) in application order.
 
     A missing file is an error. The list goes into the query itself, so its size is
     checked before it comes to the driver.
     """
-    listed = [
-        spark.read.text(path).select(
-            F.lit(i).alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-            "value",
-        )
-        for i, path in enumerate(paths)
-    ]
-    rows = reduce(DataFrame.union, listed).orderBy("file", "block", "row").limit(MAX_STOP_PATTERNS + 1).collect()
+    listed = [_placed_lines(spark, path).withColumn("list", F.lit(i)) for i, path in enumerate(paths)]
+    in_order = reduce(DataFrame.union, listed).orderBy("list", "file", "block", "row")
+    rows = in_order.select("value").limit(MAX_STOP_PATTERNS + 1).collect()
     if len(rows) > MAX_STOP_PATTERNS:
         raise ValueError(f"more than {MAX_STOP_PATTERNS} stop patterns in {paths}")
     return application_order(row["value"] for row in rows)
 
 
-def _tab_fields(spark: SparkSession, path: str) -> DataFrame:
+def _tab_fields(lines: DataFrame) -> DataFrame:
     # Not the CSV reader: it would turn the empty word into null.
-    return spark.read.text(path).select(
-        F.split("value", "\t", -1).alias("fields"),
-        F.struct(
-            F.col("_metadata.file_path"),
-            F.col("_metadata.file_block_start"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("place"),
-    )
+    return lines.withColumn("fields", F.split("value", "\t", -1))
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """First field of each line -> distinct (word)."""
-    return _tab_fields(spark, path).select(F.col("fields")[0].alias("word")).distinct()
+    return _tab_fields(spark.read.text(path)).select(F.col("fields")[0].alias("word")).distinct()
 
 
 def read_word_counts(spark: SparkSession, path: str) -> DataFrame:
@@ -55,17 +51,27 @@ def read_word_counts(spark: SparkSession, path: str) -> DataFrame:
 
     Lines with another number of fields, or whose count is no integer, are skipped.
     """
-    counted = _tab_fields(spark, path).where(F.size("fields") == 2)
+    counted = _tab_fields(_placed_lines(spark, path)).where(F.size("fields") == 2)
     counted = counted.select(
-        F.col("fields")[0].alias("word"), F.col("fields")[1].try_cast("bigint").alias("n"), "place"
+        F.col("fields")[0].alias("word"),
+        F.col("fields")[1].try_cast("bigint").alias("n"),
+        F.struct("file", "block", "row").alias("place"),
     )
     return counted.where("n is not null").groupBy("word").agg(F.max_by("n", "place").alias("n"))
 
 
 def read_document_frequencies(spark: SparkSession, path: str) -> DataFrame:
-    """Lines `term <tab> df` -> (term, df, idx), idx being the line number from 0."""
-    lines = _tab_fields(spark, path).select(
-        F.col("fields")[0].alias("term"), F.col("fields")[1].cast("bigint").alias("df"), "place"
+    """Lines `term <tab> df` -> (term, df, idx), idx being the line number from 0.
+
+    A line number is the number of the line in its block plus the lines of the blocks
+    before; only the list of blocks is ever sorted as a whole.
+    """
+    lines = _placed_lines(spark, path)
+    blocks = lines.groupBy("file", "block").agg(F.min("row").alias("first"), F.count("*").alias("size"))
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    return _tab_fields(lines).join(blocks, ["file", "block"]).select(
+        F.col("fields")[0].alias("term"),
+        F.col("fields")[1].cast("bigint").alias("df"),
+        (F.col("row") - F.col("first") + F.col("offset")).alias("idx"),
     )
-    in_order = F.posexplode(F.array_sort(F.collect_list(F.struct("place", "term", "df"))))
-    return lines.agg(in_order.alias("idx", "entry")).select("entry.term", "entry.df", "idx")
