@@ -124,3 +124,8 @@ def test_a_line_that_loses_everything_stays_a_line(docs):
     corpus = words.normalise(docs("xyz\nof", "of", "of\n"), stop_patterns=["of"])
     rows = words.token_documents(corpus).orderBy("doc_id").collect()
     assert [r["tokens"] for r in rows] == [["xyz", ""], [""], [""]]
+
+
+def test_patterns_that_cannot_occur_any_more_are_skipped():
+    assert stops.effective(["an", "a", "have", "he", "e", "the", "it"]) == ["an", "a", "he", "e", "it"]
+    assert len(stops.effective(stop_patterns())) < 300

@@ -40,12 +40,27 @@ def is_literal(pattern: str) -> bool:
     return not set(pattern) & set(r"\^$.|?*+()[]{}")
 
 
+def effective(patterns: Sequence[str]) -> list[str]:
+    """Literal patterns without those that can no longer occur when their turn comes.
+
+    A pattern of one character takes that character out for good, and with it every
+    later pattern that contains it.
+    """
+    kept: list[str] = []
+    gone: set[str] = set()
+    for pattern in patterns:
+        if gone.isdisjoint(pattern):
+            kept.append(pattern)
+            gone.update(pattern if len(pattern) == 1 else "")
+    return kept
+
+
 def remove_patterns(text: Column, patterns: Sequence[str]) -> Column:
     """Delete `patterns` one after the other, in the order given."""
     if not patterns:
         return text
     if all(is_literal(p) for p in patterns):
-        return _literal_remover(tuple(patterns))(text)
+        return _literal_remover(effective(patterns))(text)
     return fold_patterns(text, patterns)
 
 
@@ -68,7 +83,7 @@ def _fold_literals(text: Column, patterns: list[str]) -> Column:
     return F.aggregate(listed, text, lambda acc, p: F.replace(acc, p, F.lit("")))
 
 
-def _literal_remover(patterns: tuple[str, ...]):
+def _literal_remover(patterns: list[str]):
     """Arrow UDF: one vectorised pass over the batch per pattern."""
 
     @F.arrow_udf("string")
