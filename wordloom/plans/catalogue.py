@@ -1,4 +1,8 @@
-"""The named queries: each takes (spark, sf_dir) and reads `documents` there."""
+"""The named queries over the table `documents`.
+
+Each is a function of the corpus; `all_queries` reads that once per query and hands it on,
+so that a vocabulary and its lookup share the scan.
+"""
 
 from __future__ import annotations
 
@@ -33,112 +37,107 @@ def stop_patterns() -> list[str]:
     return application_order(["", *json.loads(block)])
 
 
-def documents(spark: SparkSession, sf_dir: str, strip: bool = False, case_sensitive: bool = False) -> DataFrame:
-    corpus = read_table(spark, f"{sf_dir}/documents.parquet")
+def documents(corpus: DataFrame, strip: bool = False, case_sensitive: bool = False) -> DataFrame:
     return words.normalise(corpus, case_sensitive, stop_patterns() if strip else ())
 
 
-def counts(spark, sf_dir, **how) -> DataFrame:
-    return words.word_counts(words.token_documents(documents(spark, sf_dir, **how)))
+def counts(corpus: DataFrame, **how) -> DataFrame:
+    return words.word_counts(words.token_documents(documents(corpus, **how)))
 
 
-def top_words(spark, sf_dir, **how) -> DataFrame:
-    return vocab.top_k(counts(spark, sf_dir, **how), TOP_WORDS)
+def top_words(corpus: DataFrame, **how) -> DataFrame:
+    return vocab.top_k(counts(corpus, **how), TOP_WORDS)
 
 
-def lines(spark, sf_dir, **how) -> DataFrame:
-    return words.line_records(documents(spark, sf_dir, **how))
+def lines(corpus: DataFrame, **how) -> DataFrame:
+    return words.line_records(documents(corpus, **how))
 
 
-def token_lines(spark, sf_dir, **how) -> DataFrame:
-    return words.token_lines(lines(spark, sf_dir, **how))
+def token_lines(corpus: DataFrame, **how) -> DataFrame:
+    return words.token_lines(lines(corpus, **how))
 
 
-def token_rows(spark, sf_dir, stem=False, **how) -> DataFrame:
-    rows = words.token_documents(documents(spark, sf_dir, **how))
+def token_rows(corpus: DataFrame, stem=False, **how) -> DataFrame:
+    rows = words.token_documents(documents(corpus, **how))
     return freq.stemmed(rows) if stem else rows
 
 
-def doc_terms(spark, sf_dir, stem=False, **how) -> DataFrame:
-    return freq.document_terms(token_rows(spark, sf_dir, **how), stem=stem)
-
-
-def doc_freq(spark, sf_dir, **how) -> DataFrame:
-    return freq.document_frequencies(doc_terms(spark, sf_dir, **how))
+def doc_terms(corpus: DataFrame, stem=False, **how) -> DataFrame:
+    return freq.document_terms(token_rows(corpus, **how), stem=stem)
 
 
-def top_terms(spark, sf_dir, **how) -> DataFrame:
-    return vocab.top_k(doc_freq(spark, sf_dir, **how), TOP_TERMS, "term", "df")
+def doc_freq(corpus: DataFrame, **how) -> DataFrame:
+    return freq.document_frequencies(doc_terms(corpus, **how))
 
 
-def ranked_terms(spark, sf_dir, **how) -> DataFrame:
-    return vocab.rank_index(top_terms(spark, sf_dir, **how))
+def top_terms(corpus: DataFrame, **how) -> DataFrame:
+    return vocab.top_k(doc_freq(corpus, **how), TOP_TERMS, "term", "df")
 
 
-def n_documents(spark, sf_dir):
-    return freq.document_count(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+def ranked_terms(corpus: DataFrame, **how) -> DataFrame:
+    return vocab.rank_index(top_terms(corpus, **how))
 
 
-def vocab_positions(spark, sf_dir) -> DataFrame:
-    return vocab.in_vocabulary(words.tokens(lines(spark, sf_dir)), top_words(spark, sf_dir), small=SMALL).select(
+def vocab_positions(corpus: DataFrame) -> DataFrame:
+    return vocab.in_vocabulary(words.tokens(lines(corpus)), top_words(corpus), small=SMALL).select(
         "doc_id", "line_no", "pos", F.col("token").alias("word")
     )
 
 
-def cooc_events(spark, sf_dir, d=2) -> DataFrame:
-    return cooc.events(token_lines(spark, sf_dir), top_words(spark, sf_dir), d, SMALL, ("doc_id", "line_no"))
+def cooc_events(corpus: DataFrame, d=2) -> DataFrame:
+    return cooc.events(token_lines(corpus), top_words(corpus), d, SMALL, ("doc_id", "line_no"))
 
 
-def cooc_pairs(spark, sf_dir, d=1, strip_vocabulary=False) -> DataFrame:
-    return cooc.pair_counts(token_lines(spark, sf_dir), top_words(spark, sf_dir, strip=strip_vocabulary), d, SMALL)
+def cooc_pairs(corpus: DataFrame, d=1, strip_vocabulary=False) -> DataFrame:
+    return cooc.pair_counts(token_lines(corpus), top_words(corpus, strip=strip_vocabulary), d, SMALL)
 
 
-def cooc_pairs_per_line(spark, sf_dir, d=2) -> DataFrame:
+def cooc_pairs_per_line(corpus: DataFrame, d=2) -> DataFrame:
     return cooc.pair_counts(
-        token_lines(spark, sf_dir), top_words(spark, sf_dir), d, SMALL, keep=("doc_id", "line_no")
+        token_lines(corpus), top_words(corpus), d, SMALL, keep=("doc_id", "line_no")
     )
 
 
-def cooc_directed(spark, sf_dir, d=2, keep=()) -> DataFrame:
-    return cooc.directed_counts(token_lines(spark, sf_dir), top_words(spark, sf_dir), d, SMALL, keep)
+def cooc_directed(corpus: DataFrame, d=2, keep=()) -> DataFrame:
+    return cooc.directed_counts(token_lines(corpus), top_words(corpus), d, SMALL, keep)
 
 
-def stripes_dense(spark, sf_dir, d=1, strip_vocabulary=False) -> DataFrame:
-    vocabulary = top_words(spark, sf_dir, strip=strip_vocabulary)
-    directed = cooc.directed_counts(token_lines(spark, sf_dir), vocabulary, d, SMALL)
+def stripes_dense(corpus: DataFrame, d=1, strip_vocabulary=False) -> DataFrame:
+    vocabulary = top_words(corpus, strip=strip_vocabulary)
+    directed = cooc.directed_counts(token_lines(corpus), vocabulary, d, SMALL)
     return cooc.stripe_text(cooc.stripes(directed, vocabulary))
 
 
-def idf(spark, sf_dir) -> DataFrame:
-    return _rounded(freq.idf(top_terms(spark, sf_dir), n_documents(spark, sf_dir)), "idf")
+def idf(corpus: DataFrame) -> DataFrame:
+    return _rounded(freq.idf(top_terms(corpus), freq.document_count(corpus)), "idf")
 
 
-def tf(spark, sf_dir, stem=False) -> DataFrame:
-    found = freq.term_frequencies(token_rows(spark, sf_dir, stem=stem), ranked_terms(spark, sf_dir, stem=stem), SMALL)
+def tf(corpus: DataFrame, stem=False) -> DataFrame:
+    found = freq.term_frequencies(token_rows(corpus, stem=stem), ranked_terms(corpus, stem=stem), SMALL)
     return found.select("doc_id", "term", "tf")
 
 
-def tf_cumulative(spark, sf_dir) -> DataFrame:
-    found = freq.term_frequencies(freq.weighted_lines(documents(spark, sf_dir)), ranked_terms(spark, sf_dir), SMALL)
+def tf_cumulative(corpus: DataFrame) -> DataFrame:
+    found = freq.term_frequencies(freq.weighted_lines(documents(corpus)), ranked_terms(corpus), SMALL)
     return found.select("doc_id", "term", "tf")
 
 
-def tf_idf(spark, sf_dir, stem=False) -> DataFrame:
+def tf_idf(corpus: DataFrame, stem=False) -> DataFrame:
     scores = freq.tf_idf(
-        token_rows(spark, sf_dir, stem=stem), ranked_terms(spark, sf_dir, stem=stem), n_documents(spark, sf_dir), SMALL
+        token_rows(corpus, stem=stem), ranked_terms(corpus, stem=stem), freq.document_count(corpus), SMALL
     )
     return _rounded(scores, "tfidf")
 
 
-def tf_idf_ref_settings(spark, sf_dir) -> DataFrame:
+def tf_idf_ref_settings(corpus: DataFrame) -> DataFrame:
     """Terms from stripped text, looked up in unstripped text, running counts, fixed N."""
-    rows = freq.stemmed(freq.weighted_lines(documents(spark, sf_dir)))
-    ranked = ranked_terms(spark, sf_dir, strip=True, stem=True)
+    rows = freq.stemmed(freq.weighted_lines(documents(corpus)))
+    ranked = ranked_terms(corpus, strip=True, stem=True)
     return _rounded(freq.tf_idf(rows, ranked, ASSUMED_DOCUMENTS, SMALL), "tfidf")
 
 
-def stem_dictionary(spark, sf_dir) -> DataFrame:
-    return freq.stem_dictionary(counts(spark, sf_dir))
+def stem_dictionary(corpus: DataFrame) -> DataFrame:
+    return freq.stem_dictionary(counts(corpus))
 
 
 def _rounded(scores: DataFrame, column: str) -> DataFrame:
@@ -148,27 +147,27 @@ def _rounded(scores: DataFrame, column: str) -> DataFrame:
 def all_queries() -> dict:
     named = {
         "line_records": lines,
-        "lines_stripped": lambda s, p: lines(s, p, strip=True),
-        "tokens": lambda s, p: words.tokens(lines(s, p)),
+        "lines_stripped": lambda c: lines(c, strip=True),
+        "tokens": lambda c: words.tokens(lines(c)),
         "word_count": counts,
-        "word_count_case_sensitive": lambda s, p: counts(s, p, case_sensitive=True),
-        "word_count_stripped": lambda s, p: counts(s, p, strip=True),
-        "word_count_sorted_tsv": lambda s, p: sorted_tsv(counts(s, p)),
+        "word_count_case_sensitive": lambda c: counts(c, case_sensitive=True),
+        "word_count_stripped": lambda c: counts(c, strip=True),
+        "word_count_sorted_tsv": lambda c: sorted_tsv(counts(c)),
         "top50_words": top_words,
-        "top50_words_stripped": lambda s, p: top_words(s, p, strip=True),
-        "vocab_index": lambda s, p: vocab.lexicographic_index(top_words(s, p)),
+        "top50_words_stripped": lambda c: top_words(c, strip=True),
+        "vocab_index": lambda c: vocab.lexicographic_index(top_words(c)),
         "vocab_positions": vocab_positions,
         "cooc_events": cooc_events,
-        "cooc_pairs_key": lambda s, p: cooc.pair_keys(cooc_pairs(s, p)),
+        "cooc_pairs_key": lambda c: cooc.pair_keys(cooc_pairs(c)),
         "cooc_pairs_per_line": cooc_pairs_per_line,
-        "cooc_pairs_rollup": lambda s, p: cooc.roll_up(cooc_pairs_per_line(s, p)),
-        "cooc_pairs_ref_vocab": lambda s, p: cooc_pairs(s, p, strip_vocabulary=True),
+        "cooc_pairs_rollup": lambda c: cooc.roll_up(cooc_pairs_per_line(c)),
+        "cooc_pairs_ref_vocab": lambda c: cooc_pairs(c, strip_vocabulary=True),
         "cooc_directed": cooc_directed,
-        "cooc_directed_rollup": lambda s, p: cooc.roll_up(cooc_directed(s, p, keep=("doc_id", "line_no"))),
-        "stripes_ref_vocab": lambda s, p: stripes_dense(s, p, strip_vocabulary=True),
+        "cooc_directed_rollup": lambda c: cooc.roll_up(cooc_directed(c, keep=("doc_id", "line_no"))),
+        "stripes_ref_vocab": lambda c: stripes_dense(c, strip_vocabulary=True),
         "doc_terms_distinct": doc_terms,
         "doc_freq": doc_freq,
-        "doc_freq_stripped": lambda s, p: doc_freq(s, p, strip=True),
+        "doc_freq_stripped": lambda c: doc_freq(c, strip=True),
         "top100_df": top_terms,
         "df_top_indexed": ranked_terms,
         "idf": idf,
@@ -176,14 +175,21 @@ def all_queries() -> dict:
         "tf_cumulative": tf_cumulative,
         "tfidf": tf_idf,
         "stem_dictionary": stem_dictionary,
-        "doc_freq_stemmed": lambda s, p: doc_freq(s, p, stem=True),
-        "top100_df_stemmed": lambda s, p: top_terms(s, p, stem=True),
-        "top100_df_stripped_stemmed": lambda s, p: top_terms(s, p, strip=True, stem=True),
-        "tf_stemmed": lambda s, p: tf(s, p, stem=True),
-        "tfidf_stemmed": lambda s, p: tf_idf(s, p, stem=True),
+        "doc_freq_stemmed": lambda c: doc_freq(c, stem=True),
+        "top100_df_stemmed": lambda c: top_terms(c, stem=True),
+        "top100_df_stripped_stemmed": lambda c: top_terms(c, strip=True, stem=True),
+        "tf_stemmed": lambda c: tf(c, stem=True),
+        "tfidf_stemmed": lambda c: tf_idf(c, stem=True),
         "tfidf_ref_settings": tf_idf_ref_settings,
     }
     for d in DISTANCES:
-        named[f"cooc_pairs_d{d}"] = lambda s, p, d=d: cooc_pairs(s, p, d)
-        named[f"stripes_dense_d{d}"] = lambda s, p, d=d: stripes_dense(s, p, d)
-    return named
+        named[f"cooc_pairs_d{d}"] = lambda c, d=d: cooc_pairs(c, d)
+        named[f"stripes_dense_d{d}"] = lambda c, d=d: stripes_dense(c, d)
+    return {name: _over_documents(query) for name, query in named.items()}
+
+
+def _over_documents(query):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(read_table(spark, f"{sf_dir}/documents.parquet"))
+
+    return run
