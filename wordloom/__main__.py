@@ -1,4 +1,4 @@
-"""Run one job: spark-submit -m wordloom JOB ARGUMENTS, or python -m wordloom ..."""
+"""Run one job: python -m wordloom JOB ARGUMENTS."""
 
 from __future__ import annotations
 
