@@ -37,7 +37,7 @@ RULES: tuple[tuple[str, str], ...] = (
     ("few_words", "n_words < 50"),
     ("repeated_words", "100 * n_repeat_words > 50 * n_words"),
     ("symbols", "100 * n_symbols > 10 * n_words"),
-    ("duplicate_lines", "100 * n_dup_lines > 30 * n_lines"),
+    ("duplicate_lines", "100 * n_dup_lines > 50 * n_lines"),
     ("shouting", "100 * n_shouted > 30 * n_words"),
     ("short_words", "word_chars < 2 * n_words"),
     ("long_words", "word_chars > 15 * n_words"),
@@ -213,7 +213,7 @@ WITH docs AS (
     FROM tokens LEFT JOIN lines USING (row_no) LEFT JOIN covered USING (row_no)
 ), judged AS (
     SELECT *, ((n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT
-        + 4 * (100 * n_symbols > 10 * n_words)::BIGINT + 8 * (100 * n_dup_lines > 30 * n_lines)::BIGINT
+        + 4 * (100 * n_symbols > 10 * n_words)::BIGINT + 8 * (100 * n_dup_lines > 50 * n_lines)::BIGINT
         + 16 * (100 * n_shouted > 30 * n_words)::BIGINT + 32 * (word_chars < 2 * n_words)::BIGINT
         + 64 * (word_chars > 15 * n_words)::BIGINT)::BIGINT AS failures
     FROM measured
