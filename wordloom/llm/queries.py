@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from wordloom.llm import quality
+from wordloom.llm import chat, mixing, quality, url_filters
 
 QUERIES = {
+    "op1_chat_formatting": chat.query,
+    "op2_mixing": mixing.query,
+    "op4_url_filters": url_filters.query,
     "op7_quality_rules": quality.query,
 }
 
 SQL = {
+    "op4_url_filters": url_filters.SQL,
     "op7_quality_rules": quality.SQL,
 }
