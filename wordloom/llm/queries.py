@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from wordloom.llm import chat, mixing, quality, url_filters
+from wordloom.llm import chat, decontamination, mixing, quality, url_filters
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
     "op2_mixing": mixing.query,
     "op4_url_filters": url_filters.query,
+    "op6_decontamination": decontamination.query,
     "op7_quality_rules": quality.query,
 }
 
 SQL = {
     "op4_url_filters": url_filters.SQL,
+    "op6_decontamination": decontamination.SQL,
     "op7_quality_rules": quality.SQL,
 }

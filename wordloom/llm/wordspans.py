@@ -33,8 +33,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE_VALUES = mixed(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+# For words without punctuation: every ASCII byte that is no letter or digit.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -58,11 +60,11 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 class Slice:
     """Some consecutive texts: `data` holds their bytes, `bounds` where each begins and ends."""
 
-    def __init__(self, first: int, data: np.ndarray, bounds: np.ndarray, lower: bool = False):
+    def __init__(self, first: int, data: np.ndarray, bounds: np.ndarray, lower: bool = False, breaks: np.ndarray = SPACE):
         self.first, self.bounds, self.n = first, bounds, len(bounds) - 1
         self.data = _LOWER[data] if lower else data
         self._sums: np.ndarray | None = None
-        solid = ~_SPACE[self.data]
+        solid = ~breaks[self.data]
         before = np.empty(len(data) + 1, bool)  # is what stands before this byte part of the same text's word
         before[0], before[1:] = False, solid
         before[bounds] = False
@@ -98,7 +100,7 @@ class Slice:
         return np.diff(sums[self.bounds])
 
 
-def slices(texts: pa.Array, lower: bool = False, limit: int = SLICE_BYTES) -> Iterator[Slice]:
+def slices(texts: pa.Array, lower: bool = False, limit: int = SLICE_BYTES, breaks: np.ndarray = SPACE) -> Iterator[Slice]:
     """Slices that cover all texts in order; null reads as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -117,7 +119,7 @@ def slices(texts: pa.Array, lower: bool = False, limit: int = SLICE_BYTES) -> It
     while at < len(texts):
         to = int(np.searchsorted(bounds, bounds[at] + limit, "right")) - 1
         to = min(max(to, at + 1), len(texts))
-        yield Slice(at, raw[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at], lower)
+        yield Slice(at, raw[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at], lower, breaks)
         at = to
 
 
