@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from wordloom.llm import chat, decontamination, mixing, quality, url_filters
+from wordloom.llm import chat, decontamination, line_runs, mixing, quality, url_filters
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
     "op2_mixing": mixing.query,
+    "op3_line_dedup": line_runs.query,
     "op4_url_filters": url_filters.query,
     "op6_decontamination": decontamination.query,
     "op7_quality_rules": quality.query,
 }
 
 SQL = {
+    "op3_line_dedup": line_runs.SQL,
     "op4_url_filters": url_filters.SQL,
     "op6_decontamination": decontamination.SQL,
     "op7_quality_rules": quality.SQL,
