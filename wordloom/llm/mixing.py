@@ -39,7 +39,7 @@ ROUNDS = 12
 
 # Documents of a source are placed in two steps, ranges of hashes and rows within one.
 PLACES = 4096
-CHUNK_SLOTS = 1 << 14
+CHUNK_SLOTS = 1 << 12
 
 
 def word_count(text: Column) -> Column:
@@ -140,7 +140,9 @@ def slots(planned: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     plan = plan.select("*", shards.alias("n_shards")).where("n_slots > 0")
     # A source's slots in chunks, which are dealt over the tasks before they are written out.
     chunks = plan.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_slots") - 1, F.lit(CHUNK_SLOTS))).alias("from"))
-    chunks = chunks.repartition("source", "from")
+    # The number is given, as otherwise so few bytes would be put into one task.
+    tasks = int(planned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(tasks, "source", "from")
     dealt = chunks.select(
         "source",
         "n_blocks",
@@ -164,7 +166,7 @@ def mixed_pieces(dealt: DataFrame, blocks: DataFrame) -> DataFrame:
     """Slots and packed blocks -> (shard, source, block, doc_id, size, copy, words): the mix, written out."""
     key = lambda side: side.withColumn("at", F.struct("source", "block"))
     pieces = key(blocks).drop("source", "block")
-    return key(dealt).join(pieces, "at").drop("at")
+    return key(dealt).hint("merge").join(pieces.hint("merge"), "at").drop("at")
 
 
 def taken(documents: DataFrame) -> DataFrame:
@@ -178,7 +180,8 @@ def taken(documents: DataFrame) -> DataFrame:
     key = F.struct("source", "block").alias("at")
     times = slots(plan).select(key).groupBy("at").agg(F.count("*").alias("times"))
     blocks = packed(sizes).select(key, "source", "doc_id", "size", "copy", "words")
-    took = blocks.join(times, "at").groupBy("source", "doc_id", "size", "copy").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    # Sizes of what is generated from a few rows are estimated far too low, so the join is told not to broadcast.
+    took = blocks.join(times.hint("merge"), "at").groupBy("source", "doc_id", "size", "copy").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     # Documents of which nothing was taken come back with 0 words, and so do those without a word.
     rows = sizes.groupBy("source", "doc_id", "size").agg(F.count("*").alias("copies"))
     rows = rows.select("source", "doc_id", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
