@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wordloom.llm import chat, decontamination, line_runs, mixing, quality, secrets, url_filters
+from wordloom.llm import chat, decontamination, line_runs, mixing, ngram_join, quality, secrets, url_filters
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_url_filters": url_filters.query,
     "op6_decontamination": decontamination.query,
     "op7_quality_rules": quality.query,
+    "op8_ngram_join": ngram_join.query,
     "op10_secret_scan": secrets.query,
 }
 
