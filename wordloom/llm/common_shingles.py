@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm.wordspans import U64, slices
@@ -67,7 +67,7 @@ def _packer(of: Hashes, bits: int, lower: bool):
         yield _batch(bucket[cuts], np.full(len(cuts), rows[0]), None, None, blobs)
         # Of each document: its number of hashes and those that are known to be shared already.
         shared = np.repeat(several, count)
-        tokens = _tokens(hashes[shared], bits)
+        tokens = tokens_of(hashes[shared], bits)
         order = np.argsort(text[shared], kind="stable")
         ends = np.cumsum(np.bincount(text[shared], minlength=s.n))
         tokens = tokens[order]
@@ -77,7 +77,7 @@ def _packer(of: Hashes, bits: int, lower: bool):
     return pack
 
 
-def _tokens(hashes: np.ndarray, bits: int) -> np.ndarray:
+def tokens_of(hashes: np.ndarray, bits: int) -> np.ndarray:
     return ((hashes >> U64(64 - bits) << U64(48)) | (hashes & _LOW)).astype(np.int64)
 
 
@@ -150,13 +150,19 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
+def token_bits(spark: SparkSession) -> int:
+    """Bits of a hash that name its bucket: some buckets for each task."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(6, min(16, (8 * tasks - 1).bit_length()))
+
+
 def shared_tokens(documents: DataFrame, of: Hashes, lower: bool = False) -> DataFrame:
     """(row, doc_id, text), rows numbered without gaps in each partition -> (row, doc_id, n, tokens), a row per document.
 
     `n` is the number of distinct hashes of the document, `tokens` those that another row has too, unordered.
     """
     tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(6, min(16, (8 * tasks - 1).bit_length()))
+    bits = token_bits(documents.sparkSession)
     packed = documents.select("row", "doc_id", "text").mapInArrow(_packer(of, bits, lower), PACKED)
     # Rows of documents are dealt evenly, those of buckets meet.
     deal = F.when(F.col("bucket") >= 0, F.col("bucket").cast("long")).otherwise(-1 - F.col("row"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wordloom.llm import chat, decontamination, line_runs, mixing, ngram_join, quality, secrets, url_filters
+from wordloom.llm import chat, decontamination, line_runs, mixing, ngram_join, quality, secrets, substrings, url_filters
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_decontamination": decontamination.query,
     "op7_quality_rules": quality.query,
     "op8_ngram_join": ngram_join.query,
+    "op9_substring_dedup": substrings.query,
     "op10_secret_scan": secrets.query,
 }
 
