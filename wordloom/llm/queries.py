@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from wordloom.llm import chat, decontamination, line_runs, mixing, ngram_join, quality, secrets, substrings, url_filters
+from wordloom.llm import chat, decontamination, html_text, line_runs, mixing, ngram_join, quality, secrets, substrings, url_filters
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
     "op2_mixing": mixing.query,
     "op3_line_dedup": line_runs.query,
     "op4_url_filters": url_filters.query,
+    "op5_html_extraction": html_text.query,
     "op6_decontamination": decontamination.query,
     "op7_quality_rules": quality.query,
     "op8_ngram_join": ngram_join.query,

@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
-def cut(rows: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder of the session and go on from there.
+def _set_folder(rows: DataFrame) -> None:
+    """The checkpoint folder is the one the cluster names in `spark.checkpoint.dir`.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`. Only where none is named, as in
-    tests on one machine, a temporary one is made.
+    Only where none is named, as in tests on one machine, a temporary one is made.
     """
     context = rows.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+
+
+def cut(rows: DataFrame) -> DataFrame:
+    """Write the rows to the checkpoint folder of the session and go on from there."""
+    _set_folder(rows)
     return rows.checkpoint()
+
+
+def kept_as_table(rows: DataFrame) -> DataFrame:
+    """Write the rows as a Parquet table of their own in the checkpoint folder and read them back."""
+    context = rows.sparkSession.sparkContext
+    _set_folder(rows)
+    path = f"{context.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
