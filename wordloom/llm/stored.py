@@ -19,10 +19,17 @@ def _set_folder(rows: DataFrame) -> None:
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
 
 
+FILES_PER_CORE = 4
+
+
 def cut(rows: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder of the session and go on from there."""
+    """Write the rows to the checkpoint folder of the session and go on from there.
+
+    A few files per core at most: what is cut is small, and the shared folder need not hold a file per partition of
+    the shuffle before it. Partitions are only strung together for that, not moved.
+    """
     _set_folder(rows)
-    return rows.checkpoint()
+    return rows.coalesce(FILES_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism).checkpoint()
 
 
 def kept_as_table(rows: DataFrame) -> DataFrame:
