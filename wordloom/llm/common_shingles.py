@@ -6,7 +6,8 @@ their leading bits, as packed arrays instead of rows. A hash that several docume
 shared there and goes to its bucket once, without its documents; so no bucket gets more entries of a hash
 than there are slices, however many documents have it.
 
-A token is a hash with its leading bucket bits and its last 48 bits, 54 to 64 bits in all.
+A token is a hash with its leading bucket bits and its last 40 bits, 46 to 56 bits in all. Packed arrays hold sorted
+hashes as differences and the numbers of their documents, byte planes one after the other, compressed.
 """
 
 from __future__ import annotations
@@ -20,12 +21,13 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.wordspans import U64, slices
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _MOST_ROWS = 0xFFFF  # of a slice; as a document's number it stands for "several"
-_LOW = U64((1 << 48) - 1)
+_BITS = 40
+_LOW = U64((1 << _BITS) - 1)
 
 PACKED = "bucket int, row bigint, doc_id bigint, n bigint, packed binary"
-PARTS = "row bigint, doc_id bigint, n bigint, tokens array<bigint>"
+PARTS = "row bigint, doc_id bigint, n bigint, token bigint"
 
 # Slice -> (text of each hash, hash), every hash once per text.
 Hashes = Callable[..., tuple[np.ndarray, np.ndarray]]
@@ -41,8 +43,6 @@ def distinct_pairs(text: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _packer(of: Hashes, bits: int, lower: bool):
-    shift = U64(64 - bits)
-
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, ids = batch.column("row").to_numpy(), batch.column("doc_id")
@@ -53,21 +53,23 @@ def _packer(of: Hashes, bits: int, lower: bool):
                     yield from _slice(s, rows[at : at + s.n], ids.slice(at, s.n))
 
     def _slice(s, rows: np.ndarray, ids: pa.Array) -> Iterator[pa.RecordBatch]:
-        text, hashes = distinct_pairs(*of(s))
+        text, hashes = of(s)
+        # In order of the tokens, so that what a bucket holds is sorted.
+        text, hashes = distinct_pairs(text, tokens_of(hashes, bits).view(U64))
         n = np.bincount(text, minlength=s.n)
         first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
         count = np.diff(np.append(first, len(hashes)))
         several = count > 1
         document = text[first]
         document[several] = _MOST_ROWS
-        entries = ((hashes[first] & _LOW) << U64(16)) | document.astype(U64)
-        bucket = (hashes[first] >> shift).astype(np.int64)
+        values = hashes[first] & _LOW
+        bucket = (hashes[first] >> U64(_BITS)).astype(np.int64)
         cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
-        blobs = [entries[a:b].tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(entries)))]
+        blobs = [_pressed(values[a:b], document[a:b]) for a, b in zip(cuts, np.append(cuts[1:], len(values)))]
         yield _batch(bucket[cuts], np.full(len(cuts), rows[0]), None, None, blobs)
         # Of each document: its number of hashes and those that are known to be shared already.
         shared = np.repeat(several, count)
-        tokens = tokens_of(hashes[shared], bits)
+        tokens = hashes[shared].view(np.int64)
         order = np.argsort(text[shared], kind="stable")
         ends = np.cumsum(np.bincount(text[shared], minlength=s.n))
         tokens = tokens[order]
@@ -78,7 +80,29 @@ def _packer(of: Hashes, bits: int, lower: bool):
 
 
 def tokens_of(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return ((hashes >> U64(64 - bits) << U64(48)) | (hashes & _LOW)).astype(np.int64)
+    return ((hashes >> U64(64 - bits) << U64(_BITS)) | (hashes & _LOW)).view(np.int64)
+
+
+def shard_of(tokens: np.ndarray) -> np.ndarray:
+    """The bucket of a token."""
+    return tokens >> _BITS
+
+
+def _pressed(values: np.ndarray, documents: np.ndarray) -> bytes:
+    """Sorted 40-bit values and 16-bit numbers."""
+    steps = np.diff(values, prepend=U64(0))
+    planes = steps.view(np.uint8).reshape(-1, 8)[:, : _BITS // 8].T.tobytes() + documents.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()
+    return len(values).to_bytes(4, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpressed(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(blob[:4], "little")
+    width = _BITS // 8
+    planes = np.frombuffer(pa.decompress(blob[4:], n * (width + 2), "zstd", asbytes=True), np.uint8).reshape(width + 2, n)
+    steps = np.zeros((n, 8), np.uint8)
+    steps[:, :width] = planes[:width].T
+    documents = np.ascontiguousarray(planes[width:].T).view("<u2").ravel()
+    return np.cumsum(steps.view(U64).ravel(), dtype=U64), documents.astype(np.int64)
 
 
 def _batch(bucket, row, ids, n, blobs) -> pa.RecordBatch:
@@ -95,17 +119,9 @@ def _batch(bucket, row, ids, n, blobs) -> pa.RecordBatch:
     )
 
 
-def _parts(rows: np.ndarray, tokens: np.ndarray) -> pa.RecordBatch:
-    order = np.argsort(rows, kind="stable")
-    rows, tokens = rows[order], tokens[order]
-    first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1])[: len(rows)])
-    offsets = np.append(first, len(rows)).astype(np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))
-    size = len(first)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(rows[first]), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64()), lists],
-        ["row", "doc_id", "n", "tokens"],
-    )
+def _parts(rows, ids, n, tokens) -> pa.RecordBatch:
+    none = lambda x: pa.nulls(len(rows), pa.int64()) if x is None else x
+    return pa.RecordBatch.from_arrays([pa.array(rows), none(ids), none(n), none(tokens)], ["row", "doc_id", "n", "token"])
 
 
 def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,32 +131,30 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush() -> Iterator[pa.RecordBatch]:
         if len(blobs) == 0:
             return
-        entries = [np.frombuffer(b, U64) for b in blobs]
-        base = np.repeat(np.array(bases, np.int64), [len(e) for e in entries])
-        entry = np.concatenate(entries)
-        order = np.argsort(entry, kind="stable")
-        entry, base = entry[order], base[order]
-        value, document = entry >> U64(16), (entry & U64(0xFFFF)).astype(np.int64)
+        entries = [_unpressed(b) for b in blobs]
+        base = np.repeat(np.array(bases, np.int64), [len(v) for v, _ in entries])
+        value, document = np.concatenate([v for v, _ in entries]), np.concatenate([d for _, d in entries])
+        order = np.argsort(value, kind="stable")
+        value, document, base = value[order], document[order], base[order]
         same = value[1:] == value[:-1]
-        shared = np.zeros(len(entry), bool)
+        shared = np.zeros(len(value), bool)
         shared[1:] |= same
         shared[:-1] |= same
         shared &= document != _MOST_ROWS
         if shared.any():
-            tokens = (U64(bucket) << U64(48) | value[shared]).astype(np.int64)
-            yield _parts(base[shared] + document[shared], tokens)
+            tokens = (U64(bucket) << U64(_BITS) | value[shared]).view(np.int64)
+            yield _parts(base[shared] + document[shared], None, None, pa.array(tokens))
 
     for batch in batches:
         buckets = batch.column("bucket").to_numpy()
         known = np.flatnonzero(buckets < 0)
         if len(known):
             some = batch.take(pa.array(known))
-            lists = [np.frombuffer(b, np.int64) for b in some.column("packed").to_pylist()]
-            offsets = np.append(0, np.cumsum([len(x) for x in lists])).astype(np.int32)
-            tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists)))
-            yield pa.RecordBatch.from_arrays(
-                [some.column("row"), some.column("doc_id"), some.column("n"), tokens], ["row", "doc_id", "n", "tokens"]
-            )
+            rows = some.column("row").to_numpy()
+            yield _parts(rows, some.column("doc_id"), some.column("n"), None)
+            lists = some.column("packed").to_pylist()
+            tokens = np.frombuffer(b"".join(lists), np.int64)
+            yield _parts(np.repeat(rows, [len(x) // 8 for x in lists]), None, None, pa.array(tokens))
         for i in np.flatnonzero(buckets >= 0):
             if buckets[i] != bucket:
                 yield from flush()
@@ -169,5 +183,5 @@ def shared_tokens(documents: DataFrame, of: Hashes, lower: bool = False) -> Data
     dealt = packed.repartition(tasks, deal).sortWithinPartitions("bucket")
     parts = dealt.mapInArrow(_matched, PARTS)
     return parts.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n").alias("n"), F.flatten(F.collect_list("tokens")).alias("tokens")
+        F.max("doc_id").alias("doc_id"), F.max("n").alias("n"), F.collect_list("token").alias("tokens")
     )

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm.common_shingles import shared_tokens, token_bits, tokens_of
+from wordloom.llm.common_shingles import shard_of, shared_tokens, token_bits, tokens_of
 from wordloom.llm.fm_index import FMIndex, range_minima
 from wordloom.llm.wordspans import U64, Slice, mixed, shingle_hashes, slices
 
@@ -110,7 +110,7 @@ def _segmenter(bits: int, send: str):
         start, stop = begins[first], begins[last] + WINDOW
         k1, k2 = _content_keys(words, start, stop)
         row, doc = rows[text[first]], ids[text[first]]
-        shard = (token[first] >> 48) & ((1 << bits) - 1)
+        shard = shard_of(token[first])
         none = pa.nulls(len(first), pa.binary())
         if send == "members":
             within = start - s.first_word[text[first] - s.first]
