@@ -14,8 +14,8 @@ document with a smaller id goes; windows are judged on the input. The steps:
 4. What a segment learns about its windows goes back to the documents that have it, by a join on its content.
 
 Null text has no words. A null id is neither smaller nor larger than others: such documents keep all their words
-and take none from others. Documents with equal ids take nothing from each other. Words are compared by 64-bit
-hashes. Columns other than `doc_id` and `text` stay outside. The input has to be a table, or cut, as rows are
+and take none from others. Documents with equal ids take nothing from each other. Windows are equal if 40 bits of the
+hashes of all their words are. Columns other than `doc_id` and `text` stay outside. The input has to be a table, or cut, as rows are
 numbered by their place in it.
 """
 
@@ -36,6 +36,8 @@ from wordloom.llm.wordspans import U64, Slice, mixed, shingle_hashes, slices
 WINDOW = 13
 ANCHOR_WORDS = 5
 NO_ID = np.iinfo(np.int64).max
+WORD_BYTES = 5
+SLICE_BYTES = 2 << 20
 
 SEGMENTS = "row bigint, doc_id bigint, start int, k1 bigint, k2 bigint, shard int, copies int, words binary"
 FIRSTS = "k1 bigint, k2 bigint, firsts array<bigint>"
@@ -61,6 +63,21 @@ def anchors(s: Slice) -> tuple[np.ndarray, np.ndarray]:
 _FACTORS = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F))
 
 
+def _narrow(words: np.ndarray) -> np.ndarray:
+    return words >> U64(64 - 8 * WORD_BYTES)
+
+
+def _packed(words: np.ndarray) -> np.ndarray:
+    """Narrow words as rows of bytes."""
+    return np.ascontiguousarray(words).view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    wide = np.zeros((len(blob) // WORD_BYTES, 8), np.uint8)
+    wide[:, :WORD_BYTES] = np.frombuffer(blob, np.uint8).reshape(-1, WORD_BYTES)
+    return wide.view(U64).ravel()
+
+
 def _content_keys(words: np.ndarray, start: np.ndarray, stop: np.ndarray) -> list[np.ndarray]:
     """Two hashes of each range of words."""
     keys = []
@@ -87,7 +104,7 @@ def _segmenter(bits: int, send: str):
             lists = batch.column("tokens")
             shared = lists.flatten().to_numpy()
             owner = np.repeat(np.arange(len(rows)), lists.value_lengths().fill_null(0).to_numpy())
-            for s in slices(batch.column("text")):
+            for s in slices(batch.column("text"), limit=SLICE_BYTES):
                 if s.n_words.sum() < WINDOW:
                     continue
                 yield from _of_slice(s, rows, ids, shared, owner)
@@ -108,6 +125,7 @@ def _segmenter(bits: int, send: str):
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(begins)) - 1
         start, stop = begins[first], begins[last] + WINDOW
+        words = _narrow(words)
         k1, k2 = _content_keys(words, start, stop)
         row, doc = rows[text[first]], ids[text[first]]
         shard = shard_of(token[first])
@@ -121,7 +139,8 @@ def _segmenter(bits: int, send: str):
         fresh[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
         once = order[fresh]
         copies = np.diff(np.append(np.flatnonzero(fresh), len(order)))
-        held = pa.array([words[a:b].tobytes() for a, b in zip(start[once], stop[once])], pa.binary())
+        packed = _packed(words)
+        held = pa.array([packed[a:b].tobytes() for a, b in zip(start[once], stop[once])], pa.binary())
         yield _segment_batch(row[once], doc[once], start[once], k1[once], k2[once], shard[once], copies, held)
 
     return segments
@@ -151,16 +170,20 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _shard_firsts(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = pa.Table.from_batches(held)
-    k1, k2, doc, copies = (table.column(c).to_numpy() for c in ("k1", "k2", "doc_id", "copies"))
+    doc, copies = (table.column(c).to_numpy() for c in ("doc_id", "copies"))
+    blobs = table.column("words").to_pylist()
+    ends = np.cumsum([len(b) // WORD_BYTES for b in blobs])
+    starts = np.append(0, ends[:-1])
+    words = _unpacked(b"".join(blobs))
+    k1, k2 = _content_keys(words, starts, ends)
     order = np.lexsort((doc, k2, k1))
     fresh = np.ones(len(order), bool)
     fresh[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
     once = order[fresh]
     total = np.add.reduceat(copies[order], np.flatnonzero(fresh))
     least = doc[once]
-    blobs = table.column("words").take(pa.array(once)).to_pylist()
-    lengths = np.array([len(b) // 8 for b in blobs])
-    words = np.frombuffer(b"".join(blobs), U64)
+    lengths = (ends - starts)[once]
+    words = words[np.repeat(starts[once] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())]
     # The sequence: each segment's words, numbered from 2, then a 1; at its end the only 0.
     names, number = np.unique(words, return_inverse=True)
     segment = np.repeat(np.arange(len(once)), lengths)
@@ -192,7 +215,7 @@ def repeated_windows(documents: DataFrame) -> DataFrame:
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     known = shared_tokens(documents, anchors).select("row", "tokens").where(F.size("tokens") > 0)
     held = documents.join(known, "row").select("row", "doc_id", "text", "tokens")
-    contents = held.mapInArrow(_segmenter(bits, "contents"), SEGMENTS).select("shard", "k1", "k2", "doc_id", "copies", "words")
+    contents = held.mapInArrow(_segmenter(bits, "contents"), SEGMENTS).select("shard", "doc_id", "copies", "words")
     firsts = contents.repartition(tasks, "shard").sortWithinPartitions("shard").mapInArrow(_indexed, FIRSTS)
     members = held.mapInArrow(_segmenter(bits, "members"), SEGMENTS).where(F.col("doc_id") < NO_ID)
     found = members.select("row", "doc_id", "start", "k1", "k2").hint("merge").join(firsts, ["k1", "k2"])
