@@ -6,7 +6,7 @@ their leading bits, as packed arrays instead of rows. A hash that several docume
 shared there and goes to its bucket once, without its documents; so no bucket gets more entries of a hash
 than there are slices, however many documents have it.
 
-A token is a hash with its leading bucket bits and its last 40 bits, 46 to 56 bits in all. Packed arrays hold sorted
+A token is the leading 46 to 56 bits of a hash: those of its bucket and 40 more. Packed arrays hold sorted
 hashes as differences and the numbers of their documents, byte planes one after the other, compressed.
 """
 
@@ -24,7 +24,7 @@ from wordloom.llm.wordspans import U64, slices
 SLICE_BYTES = 2 << 20
 _MOST_ROWS = 0xFFFF  # of a slice; as a document's number it stands for "several"
 _BITS = 40
-_LOW = U64((1 << _BITS) - 1)
+_LOW = U64((1 << _BITS) - 1)  # of a token: what its bucket does not say
 
 PACKED = "bucket int, row bigint, doc_id bigint, n bigint, packed binary"
 PARTS = "row bigint, doc_id bigint, n bigint, token bigint"
@@ -54,9 +54,9 @@ def _packer(of: Hashes, bits: int, lower: bool):
 
     def _slice(s, rows: np.ndarray, ids: pa.Array) -> Iterator[pa.RecordBatch]:
         text, hashes = of(s)
-        # In order of the tokens, so that what a bucket holds is sorted.
-        text, hashes = distinct_pairs(text, tokens_of(hashes, bits).view(U64))
+        text, hashes = distinct_pairs(text, hashes)
         n = np.bincount(text, minlength=s.n)
+        hashes = tokens_of(hashes, bits).view(U64)
         first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
         count = np.diff(np.append(first, len(hashes)))
         several = count > 1
@@ -80,7 +80,7 @@ def _packer(of: Hashes, bits: int, lower: bool):
 
 
 def tokens_of(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return ((hashes >> U64(64 - bits) << U64(_BITS)) | (hashes & _LOW)).view(np.int64)
+    return (hashes >> U64(64 - bits - _BITS)).view(np.int64)
 
 
 def shard_of(tokens: np.ndarray) -> np.ndarray:
@@ -181,7 +181,8 @@ def shared_tokens(documents: DataFrame, of: Hashes, lower: bool = False) -> Data
     # Rows of documents are dealt evenly, those of buckets meet.
     deal = F.when(F.col("bucket") >= 0, F.col("bucket").cast("long")).otherwise(-1 - F.col("row"))
     dealt = packed.repartition(tasks, deal).sortWithinPartitions("bucket")
-    parts = dealt.mapInArrow(_matched, PARTS)
+    # A document's tokens come from many buckets: dealt as they are, as adding them up before would only make them larger.
+    parts = dealt.mapInArrow(_matched, PARTS).repartition(tasks, "row")
     return parts.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("n").alias("n"), F.collect_list("token").alias("tokens")
     )

@@ -34,6 +34,7 @@ from wordloom.llm.wordspans import Slice, shingle_hashes, shingle_starts
 
 WORDS = 3
 LEAST = 90  # per cent
+PART = 4  # one in so many tokens is looked at first; that is more than what may be unshared
 
 
 def shingles(s: Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -73,20 +74,29 @@ def document_sets(documents: DataFrame) -> DataFrame:
 
 
 def classes(sets: DataFrame) -> DataFrame:
-    """-> (class, class_id, copies, first_doc, n, one, tokens), a row per class."""
+    """-> (class, class_id, copies, first_doc, one), a row per class, which is named by its first row."""
     held = sets.where("tokens is not null")
     return held.groupBy("class").agg(
-        F.min("row").alias("class_id"),
-        F.count("*").alias("copies"),
-        F.min("doc_id").alias("first_doc"),
-        F.first("n").alias("n"),
-        F.first("one").alias("one"),
-        F.first("tokens").alias("tokens"),
+        F.min("row").alias("class_id"), F.count("*").alias("copies"), F.min("doc_id").alias("first_doc"), F.first("one").alias("one")
     )
 
 
-def ordered_sets(known: DataFrame) -> DataFrame:
-    """Classes -> (class_id, copies, n, s, tokens, prefix, group): tokens of several classes, rare ones first."""
+def _possibly_linked(held: DataFrame) -> DataFrame:
+    """(class_id, n, tokens) without classes of which too much is their own already in a part of the tokens.
+
+    For documents that have copies but nothing similar this saves looking at the rest.
+    """
+    each = held.select("class_id", F.explode(F.filter("tokens", lambda t: t % PART == 0)).alias("token"))
+    own = each.groupBy("token").agg(F.count("*").alias("f"), F.min("class_id").alias("class_id")).where("f = 1")
+    own = own.groupBy("class_id").agg(F.count("*").alias("own"))
+    shared = F.size("tokens") - F.coalesce("own", F.lit(0))
+    return held.join(own, "class_id", "left").where(100 * shared >= LEAST * F.col("n")).select("class_id", "copies", "n", "tokens")
+
+
+def ordered_sets(sets: DataFrame, known: DataFrame) -> DataFrame:
+    """Sets and classes -> (class_id, copies, n, s, tokens, prefix, group): tokens of several classes, rare ones first."""
+    held = sets.where("tokens is not null").select(F.col("row").alias("class_id"), "n", "tokens")
+    known = cut(_possibly_linked(held.join(known.select("class_id", "copies"), "class_id")))
     each = known.select("class_id", F.explode("tokens").alias("token"))
     frequency = each.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
     ranked = each.join(frequency, "token").groupBy("class_id").agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("ranked"))
@@ -173,7 +183,7 @@ def joined(documents: DataFrame) -> DataFrame:
     """
     sets = document_sets(documents)
     known = cut(classes(sets))
-    pairs = links(cut(ordered_sets(known)))
+    pairs = links(cut(ordered_sets(sets, known)))
     roots = components(pairs).select(F.col("node").alias("class_id"), "root")
     placed = known.join(roots, "class_id", "left").select(
         "class", "first_doc", F.coalesce("root", F.when(F.col("one") & (F.col("copies") > 1), F.col("class_id"))).alias("root")
