@@ -78,6 +78,8 @@ def test_identities(docs, known, d):
         folded[min(w1, w2), max(w1, w2)] += n
     assert pairs == folded
     assert as_dict(cooc.roll_up(cooc.pair_counts(lines, known, d, keep=("doc_id", "line_no")))) == pairs
+    assert as_dict(cooc.roll_up(cooc.counts_per_row(lines, known, d, keep=("doc_id",)))) == pairs
+    assert as_dict(cooc.roll_up(cooc.counts_per_row(lines, known, d, directed=True))) == directed
     assert as_dict(cooc.pair_counts(lines, known, d, small=False)) == pairs
     assert as_dict(cooc.directed_counts(lines, known, d, small=False)) == directed
     wider = as_dict(cooc.pair_counts(lines, known, d + 1))
@@ -88,8 +90,25 @@ def test_stripes_follow_the_vocabulary(docs, known):
     lines = token_lines(docs, *TEXTS)
     dense = {r["word"]: r["stripe"] for r in cooc.stripes(cooc.directed_counts(lines, known, 2), known).collect()}
     assert "zz" not in dense and all(len(v) == 4 for v in dense.values())
-    directed = cooc.directed_counts(lines, known, 2).agg(F.sum("n")).first()[0]
-    assert sum(map(sum, dense.values())) == directed
+    directed = cooc.directed_counts(lines, known, 2)
+    assert sum(map(sum, dense.values())) == directed.agg(F.sum("n")).first()[0]
+    sparse = {(r["word"], r["idx"]): r["n"] for r in cooc.sparse_stripes(directed, known).collect()}
+    assert sparse == {(w, i): n for w, v in dense.items() for i, n in enumerate(v) if n}
+
+
+@pytest.mark.parametrize("d", [0, -1])
+def test_no_distance_no_pairs(docs, known, d):
+    lines = token_lines(docs, *TEXTS)
+    for small in (True, False):
+        assert cooc.pair_counts(lines, known, d, small).count() == 0
+        assert cooc.directed_counts(lines, known, d, small).count() == 0
+    assert cooc.counts_per_row(lines, known, d).count() == 0
+
+
+def test_index_of_any_vocabulary(spark):
+    names = ["", "a", "aa", "aab", "ab", "b", "\u00e9", "\u4e2d\u6587", "z" * 50, "aa"]
+    index = vocab.lexicographic_index(spark.createDataFrame([(w,) for w in names], "word string")).collect()
+    assert {r["word"]: r["idx"] for r in index} == {w: i for i, w in enumerate(sorted(set(names), key=str.encode))}
 
 
 def test_top_k_ties_and_index(spark):
@@ -97,7 +116,7 @@ def test_top_k_ties_and_index(spark):
     best = vocab.top_k(counts, 3)
     assert [(r["word"], r["n"]) for r in best.collect()] == [("", 5), ("a", 2), ("b", 2)]
     assert {r["word"]: r["idx"] for r in vocab.lexicographic_index(best).collect()} == {"": 0, "a": 1, "b": 2}
-    ranked = vocab.rank_index(best.select(F.col("word").alias("term"), F.col("n").alias("df")))
+    ranked = vocab.rank_index(best.select(F.col("word").alias("term"), F.col("n").alias("df")), 3)
     assert {r["term"]: r["idx"] for r in ranked.collect()} == {"": 0, "a": 1, "b": 2}
 
 

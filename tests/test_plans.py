@@ -81,14 +81,23 @@ def test_document_terms_need_no_shuffle_of_their_own(corpus):
 
 
 @pytest.mark.parametrize("stem", [False, True])
-def test_scores_take_one_shuffle_beside_the_terms(corpus, stem):
+def test_scores_take_no_shuffle_beside_the_terms(corpus, stem):
     rows = words.token_documents(corpus)
     terms = freq.document_frequencies(freq.document_terms(rows, stem=stem))
-    ranked = vocab.rank_index(vocab.top_k(terms, 100, "term", "df"))
+    ranked = vocab.rank_index(terms, 100)
     plan = executed(freq.tf_idf(freq.stemmed(rows) if stem else rows, ranked, 100, small=True))
-    assert len(exchanges(plan)) == 2
-    assert "Cartesian" not in plan and "NestedLoop" not in plan and "SortMergeJoin" not in plan
-    assert plan.count("ArrowEvalPython") == (2 if stem else 0)
+    assert len(exchanges(plan)) == 1  # that of the vocabulary
+    assert "Join" not in plan
+    assert plan.count("ArrowEvalPython") <= (3 if stem else 1)
+    assert plan.count("split(") == 2  # once for the terms, once for the counts
+
+
+def test_tf_queries_take_no_shuffle_beside_the_terms(spark):
+    for name in ("tf", "tf_stemmed", "tf_cumulative", "tfidf", "tfidf_stemmed", "tfidf_ref_settings", "cooc_pairs_per_line"):
+        plan = executed(all_queries()[name](spark, SMALLEST))
+        assert len(exchanges(plan)) <= 1 and "RoundRobin" not in plan, name
+    for name in ("cooc_pairs_rollup", "cooc_directed_rollup"):
+        assert len(exchanges(executed(all_queries()[name](spark, SMALLEST)))) <= 2, name
 
 
 def test_no_query_plans_a_cross_join(spark):

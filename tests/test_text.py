@@ -94,7 +94,7 @@ def test_stripped_words_of_the_stated_list(docs, word, left):
 
 @settings(max_examples=8, deadline=None)
 @given(
-    texts=st.lists(st.text("adehls \n.", min_size=1, max_size=40), min_size=20, max_size=40),
+    texts=st.lists(st.text("adehls \n\r.", min_size=1, max_size=40), min_size=20, max_size=40),
     literals=st.permutations(["a", "de ", "he", "es ", "hade", "l"]),
     regex=st.sampled_from([[], ["s."]]),
 )
@@ -120,6 +120,29 @@ def test_arrow_and_fold_forms_agree(spark):
     assert [r["a"] for r in both] == [r["b"] for r in both]
 
 
+def test_a_deletion_joins_no_line_ends(docs):
+    for patterns in (["the"], ["th."]):
+        corpus = words.normalise(docs("foo\rthe\nbar"), stop_patterns=patterns)
+        assert [r["line"] for r in words.line_records(corpus).orderBy("line_no").collect()] == ["foo", "", "bar"]
+
+
+def test_long_runs_of_separators(docs):
+    texts = ["-\n" * 100_000 + "end", "\u4e2d\u6587\n" * 100_000, "a\r\n" + "\r\n" * 50_000 + "..\n" * 50_000 + "b"]
+    corpus = words.normalise(docs(*texts))
+    whole = {r["doc_id"]: r["tokens"] for r in words.token_documents(corpus).collect()}
+    assert whole == {i: [t for line in model_lines(x) for t in model_tokens(line)] for i, x in enumerate(texts)}
+
+
+def test_stop_lists_of_any_length(spark):
+    patterns = [p for i in range(1000) for p in (f"w{i:04d}", f"v{i:04d}[a-c]?")]
+    text = "w0001v0002aw0999 v0500xw0500v0999c end"
+    expected = text
+    for p in patterns:
+        expected = re.sub(p, "", expected)
+    line = spark.createDataFrame([(text,)], "line string")
+    assert line.select(stops.remove_patterns(F.col("line"), patterns)).first()[0] == expected
+
+
 def test_a_line_that_loses_everything_stays_a_line(docs):
     corpus = words.normalise(docs("xyz\nof", "of", "of\n"), stop_patterns=["of"])
     rows = words.token_documents(corpus).orderBy("doc_id").collect()

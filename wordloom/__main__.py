@@ -25,12 +25,16 @@ def parser() -> argparse.ArgumentParser:
     job("word_count", "corpus", "output")
     job("top", "counts", "output", text=False).add_argument("-k", type=int, default=50)
     for name in ("pairs", "stripes"):
-        job(name, "corpus", "vocabulary", "output").add_argument("-d", type=int, default=1)
+        sub = job(name, "corpus", "vocabulary", "output")
+        sub.add_argument("-d", type=int, default=1)
+        if name == "stripes":
+            sub.add_argument("--sparse", action="store_true")
     job("document_frequency", "corpus", "output").add_argument("--no-stem", dest="stem", action="store_false")
     scores = job("tf_idf", "corpus", "frequencies", "output")
     scores.add_argument("--no-stem", dest="stem", action="store_false")
     scores.add_argument("--n-docs", type=int)
     scores.add_argument("--running", action="store_true")
+    scores.add_argument("--sparse", action="store_true")
     return main
 
 

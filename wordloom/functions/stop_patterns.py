@@ -65,22 +65,21 @@ def remove_patterns(text: Column, patterns: Sequence[str]) -> Column:
 
 
 def fold_patterns(text: Column, patterns: Sequence[str]) -> Column:
-    """The same inside the JVM: needed for regular expressions, slower for long lists."""
-    literals: list[str] = []
-    for pattern in patterns:
-        if is_literal(pattern):
-            literals.append(pattern)
-            continue
-        text = F.regexp_replace(_fold_literals(text, literals), pattern, "")
-        literals = []
-    return _fold_literals(text, literals)
-
+    """The same inside the JVM: needed for regular expressions, slower for long lists.
 
-def _fold_literals(text: Column, patterns: list[str]) -> Column:
+    One fold over the list, however long, so that the depth of the expression does not grow with it. The
+    first character of an entry tells literals from regular expressions.
+    """
     if not patterns:
         return text
-    listed = F.array(*[F.lit(p) for p in patterns])
-    return F.aggregate(listed, text, lambda acc, p: F.replace(acc, p, F.lit("")))
+    listed = F.array(*[F.lit(("=" if is_literal(p) else "~") + p) for p in patterns])
+
+    def delete(acc: Column, entry: Column) -> Column:
+        pattern = F.substr(entry, F.lit(2))
+        literal = F.replace(acc, pattern, F.lit(""))
+        return F.when(F.startswith(entry, F.lit("=")), literal).otherwise(F.regexp_replace(acc, pattern, F.lit("")))
+
+    return F.aggregate(listed, text, delete)
 
 
 def _literal_remover(patterns: list[str]):

@@ -1,12 +1,14 @@
 """Case folding and tokenising as built-in column expressions.
 
 Splitting leaves parts that are no lines or tokens at the ends of its array. They are
-cut off in a second step that takes the array as a column, so that the split is
-computed once.
+cut off by a function that names the array once (`bound`), so that the split stays a single
+expression wherever plans merge.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,23 +18,34 @@ SEPARATOR = r"[^\w']+"
 LINE_END = r"\r\n?|\n"
 
 # A separator within a line, or a line end with the separators before it and the lines
-# of nothing but separators after it. The lookahead lets word characters fail at once.
+# of nothing but separators after it. The lookahead lets word characters fail at once, and all
+# repeats are possessive: none of them can give back anything that would match, and without
+# that each line of separators would take a frame of the stack.
 _GAP = r"[^\w'\r\n]"
-LINE_OR_TOKEN_END = rf"(?=[^\w'])(?:{_GAP}*+(?:{LINE_END})(?:{_GAP}+(?:{LINE_END}))*|{_GAP}+)"
+LINE_OR_TOKEN_END = rf"(?=[^\w'])(?:{_GAP}*+(?:{LINE_END})(?:{_GAP}++(?:{LINE_END}))*+|{_GAP}++)"
+
+
+def bound(value: Column, result: Callable[[Column], Column]) -> Column:
+    """`result` of a value that is computed once, however often `result` uses it."""
+    return F.transform(F.array(value), result)[0]
 
 
 def fold_case(text: Column, case_sensitive: bool = False) -> Column:
     return text if case_sensitive else F.lower(text)
 
 
+def with_plain_ends(text: Column) -> Column:
+    """All line ends written as one character."""
+    return F.regexp_replace(text, r"\r\n?", "\n")
+
+
 def split_lines(text: Column) -> Column:
     return F.split(text, LINE_END, -1)
 
 
 def whole_lines(parts: Column) -> Column:
     """Lines: empty ones count, but nothing follows a final line end."""
-    last_is_empty = (F.element_at(parts, -1) == "").cast("int")
-    return F.slice(parts, F.lit(1), F.size(parts) - last_is_empty)
+    return bound(parts, lambda p: F.slice(p, F.lit(1), F.size(p) - (F.element_at(p, -1) == "").cast("int")))
 
 
 def split_tokens(line: Column) -> Column:
@@ -46,11 +59,15 @@ def whole_tokens(parts: Column) -> Column:
     just that token, and a line of separators alone has none. Separators are maximal
     runs, so only the first and the last part can be empty.
     """
-    n = F.size(parts)
-    last_is_empty = F.element_at(parts, -1) == ""
-    only_separators = (n == 2) & last_is_empty & (F.element_at(parts, 1) == "")
-    drop = F.when(only_separators, 2).when(last_is_empty & (n > 1), 1).otherwise(0)
-    return F.slice(parts, F.lit(1), n - drop)
+
+    def cut(p: Column) -> Column:
+        n = F.size(p)
+        last_is_empty = F.element_at(p, -1) == ""
+        only_separators = (n == 2) & last_is_empty & (F.element_at(p, 1) == "")
+        drop = F.when(only_separators, 2).when(last_is_empty & (n > 1), 1).otherwise(0)
+        return F.slice(p, F.lit(1), n - drop)
+
+    return bound(parts, cut)
 
 
 def split_document(text: Column) -> Column:
@@ -63,9 +80,9 @@ def whole_document(parts: Column) -> Column:
     Between two line ends there is an empty part exactly where a line by itself has an
     empty token. The parts outside the first and the last line end are no tokens.
     """
-    return F.slice(parts, F.lit(2), F.size(parts) - 2)
+    return bound(parts, lambda p: F.slice(p, F.lit(2), F.size(p) - 2))
 
 
 def ended(text: Column) -> Column:
     """Text whose last line has a line end too."""
-    return F.when(F.right(text, F.lit(1)).isin("\r", "\n"), text).otherwise(F.concat(text, F.lit("\n")))
+    return bound(text, lambda t: F.when(F.right(t, F.lit(1)).isin("\r", "\n"), t).otherwise(F.concat(t, F.lit("\n"))))

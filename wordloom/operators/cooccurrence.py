@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.operators.vocabulary import in_vocabulary
+from wordloom.functions.in_row import pair_tally
+from wordloom.functions.text import bound
+from wordloom.operators.vocabulary import in_vocabulary, lexicographic_index, word_list
 
 
 def followers(lines: DataFrame, d: int, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -29,8 +31,8 @@ def followers(lines: DataFrame, d: int, keep: tuple[str, ...] = ()) -> DataFrame
 def events(
     lines: DataFrame, vocabulary: DataFrame | None, d: int = 1, small: bool = False, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """-> (*keep, pos1, pos2, w1, w2), one row per co-occurrence event."""
-    first = followers(lines, d, keep)
+    """-> (*keep, pos1, pos2, w1, w2), one row per co-occurrence event; none for d < 1."""
+    first = followers(lines, max(d, 1), keep).where(F.lit(d >= 1))
     if vocabulary is not None:
         first = in_vocabulary(first, vocabulary, "w1", small)
     both = first.select(*keep, "pos", "w1", F.posexplode("next").alias("gap", "w2")).where("w2 is not null")
@@ -60,13 +62,24 @@ def directed_counts(
 def pair_counts(
     lines: DataFrame, vocabulary: DataFrame, d: int = 1, small: bool = False, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """-> (*keep, w1, w2, n) with w1 <= w2: the direction is dropped."""
+    """-> (*keep, w1, w2, n) with w1 <= w2: the direction is dropped, before anything is counted."""
+    rows = events(lines, vocabulary if small else None, d, small, keep)
+    pair = rows.select(*keep, F.least("w1", "w2").alias("w1"), F.greatest("w1", "w2").alias("w2"))
+    counted = pair.groupBy(*keep, "w1", "w2").agg(F.count("*").alias("n"))
     if small:
-        rows = events(lines, vocabulary, d, small, keep).withColumn("n", F.lit(1).cast("long"))
-    else:
-        rows = directed_counts(lines, vocabulary, d, small, keep)
-    pair = rows.select(*keep, F.least("w1", "w2").alias("w1"), F.greatest("w1", "w2").alias("w2"), "n")
-    return pair.groupBy(*keep, "w1", "w2").agg(F.sum("n").alias("n"))
+        return counted
+    return in_vocabulary(in_vocabulary(counted, vocabulary, "w1"), vocabulary, "w2").select(*keep, "w1", "w2", "n")
+
+
+def counts_per_row(
+    lines: DataFrame, vocabulary: DataFrame, d: int = 1, directed: bool = False, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """-> (*keep, w1, w2, n), counted inside each row: no exchange. For a small vocabulary.
+
+    With keys that name a row this is `pair_counts`, or `directed_counts`, by row.
+    """
+    pairs = pair_tally(F.col("tokens"), word_list(vocabulary), d, directed)
+    return lines.select(*keep, F.inline(pairs))
 
 
 def roll_up(counts: DataFrame) -> DataFrame:
@@ -79,17 +92,30 @@ def pair_keys(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.concat_ws(",", "w1", "w2").alias("pair"), "n")
 
 
+def sparse_stripes(directed: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(w1, w2, n) -> (word, idx, n): the cells of the stripes that are not 0, for any vocabulary."""
+    place = lexicographic_index(vocabulary).withColumnRenamed("word", "w2")
+    return directed.join(place, "w2").select(F.col("w1").alias("word"), "idx", "n")
+
+
 def stripes(directed: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(w1, w2, n) -> (word, stripe): counts for all vocabulary words in word order.
 
-    Only pairs that were counted are grouped, at most one per vocabulary word.
+    A stripe is one array as wide as the vocabulary; use it for a vocabulary that may be a list beside
+    every row (`vocabulary.is_listed`), and `sparse_stripes` for others.
     """
-    words = vocabulary.agg(F.array_sort(F.collect_set("word"))).scalar()
-    sparse = directed.groupBy(F.col("w1").alias("word")).agg(
-        F.map_from_entries(F.collect_list(F.struct("w2", "n"))).alias("counts")
-    )
-    dense = F.transform("words", lambda w: F.coalesce(F.col("counts")[w], F.lit(0)))
-    return sparse.withColumn("words", words).select("word", dense.alias("stripe"))
+    width = vocabulary.agg(F.countDistinct("word").cast("int")).scalar()
+    cells = F.array_sort(F.collect_list(F.struct("idx", "n")))
+    zeros = lambda n: F.array_repeat(F.lit(0).cast("long"), n)
+
+    def dense(entries, width):
+        places = F.transform(entries, lambda e: e["idx"])
+        gaps = F.zip_with(places, F.concat(F.array(F.lit(-1)), places), lambda i, last: i - last - 1)
+        filled = F.zip_with(F.slice(gaps, F.lit(1), F.size(entries)), entries, lambda gap, e: F.concat(zeros(gap), F.array(e["n"])))
+        return F.concat(F.flatten(filled), zeros(width - F.element_at(places, -1) - 1))
+
+    grouped = sparse_stripes(directed, vocabulary).groupBy("word").agg(cells.alias("cells")).withColumn("width", width)
+    return grouped.select("word", bound(F.col("cells"), lambda c: dense(c, F.col("width"))).alias("stripe"))
 
 
 def stripe_text(dense: DataFrame) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wordloom.functions.in_row import word_tally
 from wordloom.functions.porter import stems_udf
-from wordloom.functions.text import split_lines, whole_lines
+from wordloom.functions.text import split_lines, split_tokens, whole_lines, whole_tokens
 from wordloom.operators.vocabulary import lookup_side
-from wordloom.operators.words import exploded, token_lines
+from wordloom.operators.words import exploded
 
 
 def stemmed(rows: DataFrame) -> DataFrame:
@@ -40,66 +41,71 @@ def document_frequencies(terms: DataFrame) -> DataFrame:
     return terms.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def weighted_lines(documents: DataFrame) -> DataFrame:
-    """(doc_id, text) -> one row per line, its tokens weighing n_lines - line_no.
+def weighted_documents(documents: DataFrame) -> DataFrame:
+    """(doc_id, text) -> (doc_id, tokens, weights), a token weighing n_lines - line_no.
 
     The weight of a token is the number of lines from its own to the last one: what a
     running count amounts to that is reported after every line and then summed.
     """
-    lines = documents.select("doc_id", split_lines(F.col("text")).alias("parts"))
-    lines = lines.select("doc_id", whole_lines(F.col("parts")).alias("lines"))
-    lines = lines.select("doc_id", F.size("lines").alias("n_lines"), F.posexplode_outer("lines").alias("line_no", "line"))
-    return token_lines(lines.where("line is not null")).select(
-        "doc_id",
-        "tokens",
-        (F.col("n_lines") - F.col("line_no")).cast("long").alias("weight"),
-        (F.col("line_no") == 0).alias("opens"),
-    )
+    lines = documents.select("doc_id", whole_lines(split_lines(F.col("text"))).alias("lines"))
+    split = F.transform("lines", lambda line: whole_tokens(split_tokens(line)))
+    rows = lines.select("doc_id", F.size("lines").alias("n_lines"), split.alias("by_line"))
+    weights = F.transform("by_line", lambda t, i: F.array_repeat((F.col("n_lines") - i).cast("long"), F.size(t)))
+    return rows.select("doc_id", F.flatten("by_line").alias("tokens"), F.flatten(weights).alias("weights"))
 
 
-def _weight(rows: DataFrame) -> Column:
-    return F.col("weight") if "weight" in rows.columns else F.lit(1).cast("long")
+def weighted_rows(numbered: DataFrame) -> DataFrame:
+    """(doc_id, line_no, n_lines, tokens), a row per line -> (doc_id, tokens, weights) by the same weights."""
+    weight = (F.col("n_lines") - F.col("line_no")).cast("long")
+    return numbered.select("doc_id", "tokens", F.array_repeat(weight, F.size("tokens")).alias("weights"))
 
 
-def term_frequencies(rows: DataFrame, ranked: DataFrame, small: bool = False) -> DataFrame:
-    """(doc_id, tokens[, weight]) and (term, df, idx) -> (doc_id, term, idx, tf), tf > 0."""
-    hits = exploded(rows, "doc_id", _weight(rows).alias("weight"), name="term")
-    terms = lookup_side(ranked.select("term", "idx"), small)
-    if small:
-        counted = hits.join(terms, "term").groupBy("doc_id", "idx").agg(F.sum("weight").alias("tf"))
-        return counted.join(terms, "idx").select("doc_id", "term", "idx", "tf")
-    counted = hits.groupBy("doc_id", "term").agg(F.sum("weight").alias("tf"))
-    return counted.join(terms, "term").select("doc_id", "term", "idx", "tf")
+def _weights(rows: DataFrame) -> Column | None:
+    return F.col("weights") if "weights" in rows.columns else None
+
+
+def _hits(rows: DataFrame) -> DataFrame:
+    """-> (doc_id, term, weight), a row per token."""
+    if "weights" not in rows.columns:
+        return exploded(rows, "doc_id", F.lit(1).cast("long").alias("weight"), name="term")
+    each = rows.select("doc_id", F.explode_outer(F.arrays_zip("tokens", "weights")).alias("t"))
+    return each.where("t.tokens is not null").select("doc_id", F.col("t.tokens").alias("term"), F.col("t.weights").alias("weight"))
+
 
+def _tallied(rows: DataFrame, ranked: DataFrame) -> DataFrame:
+    """(doc_id, tokens[, weights]) and a listed ranking -> (doc_id, r, tf): its rows beside the counts of the row.
+
+    The ranking is one array, read once; counting happens inside the row, nothing is shuffled.
+    """
+    entry = F.struct("idx", *[c for c in ranked.columns if c != "idx"])
+    listed = ranked.agg(F.array_sort(F.collect_list(entry))).scalar()
+    held = rows.withColumn("ranking", listed)
+    terms = F.transform("ranking", lambda r: r["term"])
+    held = held.select("doc_id", "ranking", word_tally(F.col("tokens"), _weights(held), terms).alias("tfs"))
+    pairs = F.zip_with("ranking", "tfs", lambda r, n: F.struct(r.alias("r"), n.alias("tf")))
+    return held.select("doc_id", F.inline(pairs))
 
-def dense_term_frequencies(rows: DataFrame, ranked: DataFrame, small: bool = False) -> DataFrame:
-    """-> (doc_id, idx, tf) with a row for every document and ranked term, zeros included.
 
-    Each document carries every ranked term once with weight 0, next to its own tokens,
-    so that one aggregation both counts and completes: no join of documents and terms.
-    Rows of multi-row documents name the row that does this in `opens`.
+def term_frequencies(rows: DataFrame, ranked: DataFrame, small: bool = False, whole_documents: bool = True) -> DataFrame:
+    """(doc_id, tokens[, weights]) and (term, df, idx) -> (doc_id, term, idx, tf), tf > 0.
+
+    `small`: the ranking may be a list beside every row. Rows that are parts of documents are added up.
     """
-    if not small:
-        return _completed(rows, ranked)
-    terms = ranked.agg(F.collect_list("term")).scalar()
-    if "opens" in rows.columns:
-        terms = F.when(F.col("opens"), terms).otherwise(F.array().cast("array<string>"))
-    rows = rows.select("doc_id", _weight(rows).alias("weight"), terms.alias("own"), "tokens")
-    hits = rows.select(
-        "doc_id", "weight", F.size("own").alias("n_own"), F.posexplode(F.concat("own", "tokens")).alias("pos", "term")
-    )
-    weight = F.when(F.col("pos") < F.col("n_own"), F.lit(0).cast("long")).otherwise(F.col("weight"))
-    hits = hits.select("doc_id", "term", weight.alias("weight"))
-    known = lookup_side(ranked.select("term", "idx"), small)
-    return hits.join(known, "term").groupBy("doc_id", "idx").agg(F.sum("weight").alias("tf"))
-
-
-def _completed(rows: DataFrame, ranked: DataFrame) -> DataFrame:
-    """The same for a ranking too large to be carried by every document: zeros by index."""
+    if small:
+        found = _tallied(rows, ranked.select("term", "idx")).where("tf > 0").select("doc_id", "r.term", "r.idx", "tf")
+        if whole_documents:
+            return found
+        return found.groupBy("doc_id", "term", "idx").agg(F.sum("tf").alias("tf"))
+    counted = _hits(rows).groupBy("doc_id", "term").agg(F.sum("weight").alias("tf"))
+    return counted.join(ranked.select("term", "idx"), "term").select("doc_id", "term", "idx", "tf")
+
+
+def _completed(rows: DataFrame, ranked: DataFrame, small: bool, whole_documents: bool) -> DataFrame:
+    """-> (doc_id, idx, tf) with a row for every document and ranked term: zeros by index, added up with what is found."""
     indices = F.sequence(F.lit(0).cast("long"), ranked.agg(F.count("*")).scalar() - 1)
-    opening = rows.where("opens") if "opens" in rows.columns else rows
-    zeros = opening.select("doc_id", F.explode(indices).alias("idx"), F.lit(0).cast("long").alias("tf"))
-    found = term_frequencies(rows, ranked, small=False).select("doc_id", F.col("idx").cast("long").alias("idx"), "tf")
+    documents = rows.select("doc_id") if whole_documents else rows.select("doc_id").distinct()
+    zeros = documents.select("doc_id", F.explode(indices).alias("idx"), F.lit(0).cast("long").alias("tf"))
+    found = term_frequencies(rows, ranked, small, whole_documents).select("doc_id", F.col("idx").cast("long").alias("idx"), "tf")
     return zeros.union(found).groupBy("doc_id", "idx").agg(F.sum("tf").alias("tf"))
 
 
@@ -109,10 +115,24 @@ def idf(frequencies: DataFrame, n_docs: int | Column) -> DataFrame:
     return frequencies.withColumn("idf", F.log(n / (F.col("df") + 1)))
 
 
-def tf_idf(rows: DataFrame, ranked: DataFrame, n_docs: int | Column, small: bool = False) -> DataFrame:
-    """-> (doc_id, term, tf, tfidf) for every document and ranked term."""
-    known = lookup_side(idf(ranked, n_docs), small)
-    scores = dense_term_frequencies(rows, ranked, small).join(known, "idx")
+def tf_idf(rows: DataFrame, ranked: DataFrame, n_docs: int | Column, small: bool = False, whole_documents: bool = True) -> DataFrame:
+    """-> (doc_id, term, tf, tfidf) for every document and ranked term; an empty ranking gives none.
+
+    The result is dense, documents times terms; for a long ranking multiply `sparse_tf_idf` instead.
+    """
+    known = idf(ranked, n_docs)
+    if small and whole_documents:
+        scores = _tallied(rows, known).select("doc_id", "r.term", "tf", "r.idf")
+    else:
+        at = known.select(F.col("idx").cast("long").alias("idx"), "term", "idf")
+        scores = _completed(rows, ranked.where("idx is not null"), small, whole_documents).join(lookup_side(at, small), "idx")
+    return scores.select("doc_id", "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+
+
+def sparse_tf_idf(rows: DataFrame, ranked: DataFrame, n_docs: int | Column, small: bool = False, whole_documents: bool = True) -> DataFrame:
+    """The same without the rows whose tf is 0, for a ranking of any length."""
+    found = term_frequencies(rows, ranked, small, whole_documents).select("doc_id", "term", "tf")
+    scores = found.join(lookup_side(idf(ranked, n_docs).select("term", "idf"), small), "term")
     return scores.select("doc_id", "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 

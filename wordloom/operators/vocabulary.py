@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # What may be called small: a vocabulary up to this size is broadcast, as a filter in
@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 SMALL_ROWS = 100_000
 SMALL_BYTES = 8 << 20
 
+# What may be a list beside every row: rankings whose counts make a dense array per document.
+LISTED_ROWS = 1_000
+LISTED_BYTES = 64 << 10
+
 
 def top_k(counts: DataFrame, k: int, word: str = "word", n: str = "n") -> DataFrame:
     """The k rows of highest count; equal counts in word order."""
@@ -18,25 +22,47 @@ def top_k(counts: DataFrame, k: int, word: str = "word", n: str = "n") -> DataFr
 
 
 def lexicographic_index(vocabulary: DataFrame) -> DataFrame:
-    """(word) -> (word, idx), idx from 0 in word order."""
-    words = vocabulary.agg(F.array_sort(F.collect_set("word")).alias("words"))
-    return words.select(F.posexplode("words").alias("idx", "word")).select("word", "idx")
+    """(word) -> (word, idx), idx from 0 in word order, for a vocabulary of any size.
+
+    Words are numbered within their first two characters, and those prefixes among each other.
+    """
+    words = vocabulary.select("word", F.substring("word", 1, 2).alias("prefix")).distinct()
+    sizes = words.groupBy("prefix").agg(F.count("*").alias("size"))
+    before = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("prefix", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    within = F.row_number().over(Window.partitionBy("prefix").orderBy("word")) - 1
+    numbered = words.withColumn("within", within).join(offsets, "prefix")
+    return numbered.select("word", (F.col("offset") + F.col("within")).cast("int").alias("idx"))
 
 
-def rank_index(frequencies: DataFrame) -> DataFrame:
-    """(term, df) -> (term, df, idx), idx from 0 by falling df. Takes a top-k frame."""
+def rank_index(frequencies: DataFrame, k: int) -> DataFrame:
+    """(term, df) -> (term, df, idx) of the k most frequent, idx from 0 by falling df."""
     rank = F.row_number().over(Window.orderBy(F.desc("df"), F.asc("term"))) - 1
-    return frequencies.select("term", "df", rank.alias("idx"))
+    return top_k(frequencies, k, "term", "df").select("term", "df", rank.alias("idx"))
 
 
-def is_small(vocabulary: DataFrame, word: str = "word") -> bool:
-    """Measure a vocabulary that is not a top-k of at most SMALL_ROWS, such as one from a file."""
+def _fits(vocabulary: DataFrame, word: str, most_rows: int, most_bytes: int) -> bool:
     rows, size = (
-        vocabulary.limit(SMALL_ROWS + 1)
+        vocabulary.limit(most_rows + 1)
         .agg(F.count("*"), F.coalesce(F.sum(F.octet_length(word) + 16), F.lit(0)))
         .first()
     )
-    return rows <= SMALL_ROWS and size <= SMALL_BYTES
+    return rows <= most_rows and size <= most_bytes
+
+
+def is_small(vocabulary: DataFrame, word: str = "word") -> bool:
+    """May this vocabulary be broadcast? Measures rows and bytes, of a top-k too: a word can be long."""
+    return _fits(vocabulary, word, SMALL_ROWS, SMALL_BYTES)
+
+
+def is_listed(ranked: DataFrame, word: str = "term") -> bool:
+    """May this ranking be a list beside every row?"""
+    return _fits(ranked, word, LISTED_ROWS, LISTED_BYTES)
+
+
+def word_list(vocabulary: DataFrame) -> Column:
+    """The words of a small vocabulary in order, as one array: a scalar sub-query."""
+    return vocabulary.agg(F.array_sort(F.collect_set("word"))).scalar()
 
 
 def lookup_side(vocabulary: DataFrame, small: bool) -> DataFrame:

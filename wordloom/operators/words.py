@@ -17,6 +17,7 @@ from wordloom.functions.text import (
     whole_document,
     whole_lines,
     whole_tokens,
+    with_plain_ends,
 )
 
 
@@ -31,9 +32,11 @@ def normalise(documents: DataFrame, case_sensitive: bool = False, stop_patterns:
     patterns = [p for p in stop_patterns if not set(p) & {"\r", "\n"}]
     if not patterns:
         return documents.withColumn("text", text)
+    # With `\n` between lines no deletion can make one line end of two.
+    text = with_plain_ends(ended(text))
     if all(map(is_literal, patterns)):  # cannot match across lines, so one pass over the text
-        return documents.withColumn("text", remove_patterns(ended(text), patterns))
-    stripped = F.transform(split_lines(ended(text)), lambda line: fold_patterns(line, patterns))
+        return documents.withColumn("text", remove_patterns(text, patterns))
+    stripped = F.transform(split_lines(text), lambda line: fold_patterns(line, patterns))
     return documents.withColumn("text", F.array_join(stripped, "\n"))
 
 

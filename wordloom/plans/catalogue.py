@@ -6,7 +6,6 @@ so that a vocabulary and its lookup share the scan.
 
 from __future__ import annotations
 
-import json
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +16,7 @@ from wordloom.operators import cooccurrence as cooc
 from wordloom.operators import frequencies as freq
 from wordloom.operators import vocabulary as vocab
 from wordloom.operators import words
+from wordloom.sources import side_files
 from wordloom.sources.corpus import read_table
 from wordloom.sources.writers import sorted_tsv
 
@@ -26,15 +26,20 @@ TOP_TERMS = 100
 DISTANCES = (1, 2, 3, 4)
 ASSUMED_DOCUMENTS = 10_000
 
-SMALL = max(TOP_WORDS, TOP_TERMS) <= vocab.SMALL_ROWS
+# The named vocabularies have at most this many words, whatever the corpus. A word is a run of word characters, which
+# junk can make long; where that matters measure with `vocabulary.is_small`.
+SMALL = max(TOP_WORDS, TOP_TERMS) <= vocab.LISTED_ROWS
 
-STOP_LIST = Path(__file__).parents[2] / "FIXTURES.md"
+# How many partitions a session wants its corpus dealt out to; by default those of the scan.
+PARTITIONS = "wordloom.partitions"
+
+# One pattern a line, blanks at the end matter.
+STOP_LIST = Path(__file__).parents[1] / "data" / "stop_list.txt"
 
 
 def stop_patterns() -> list[str]:
-    """The stop list is a parameter; the named queries take the one the fixtures state."""
-    block = STOP_LIST.read_text().split("```json")[1].split("```")[0]
-    return application_order(["", *json.loads(block)])
+    """The stop list is a parameter; the named queries take the one that comes with the package."""
+    return application_order(["", *STOP_LIST.read_text().split("\n")[:-1]])
 
 
 def documents(corpus: DataFrame, strip: bool = False, case_sensitive: bool = False) -> DataFrame:
@@ -75,7 +80,7 @@ def top_terms(corpus: DataFrame, **how) -> DataFrame:
 
 
 def ranked_terms(corpus: DataFrame, **how) -> DataFrame:
-    return vocab.rank_index(top_terms(corpus, **how))
+    return vocab.rank_index(doc_freq(corpus, **how), TOP_TERMS)
 
 
 def vocab_positions(corpus: DataFrame) -> DataFrame:
@@ -93,13 +98,20 @@ def cooc_pairs(corpus: DataFrame, d=1, strip_vocabulary=False) -> DataFrame:
 
 
 def cooc_pairs_per_line(corpus: DataFrame, d=2) -> DataFrame:
-    return cooc.pair_counts(
-        token_lines(corpus), top_words(corpus), d, SMALL, keep=("doc_id", "line_no")
-    )
+    return cooc.counts_per_row(token_lines(corpus), top_words(corpus), d, keep=("doc_id", "line_no"))
+
+
+def cooc_directed(corpus: DataFrame, d=2) -> DataFrame:
+    return cooc.directed_counts(token_lines(corpus), top_words(corpus), d, SMALL)
+
+
+def cooc_directed_rollup(corpus: DataFrame, d=2) -> DataFrame:
+    return cooc.roll_up(cooc.counts_per_row(token_lines(corpus), top_words(corpus), d, directed=True))
 
 
-def cooc_directed(corpus: DataFrame, d=2, keep=()) -> DataFrame:
-    return cooc.directed_counts(token_lines(corpus), top_words(corpus), d, SMALL, keep)
+def stripes_sparse(corpus: DataFrame, d=2) -> DataFrame:
+    vocabulary = top_words(corpus)
+    return cooc.sparse_stripes(cooc.directed_counts(token_lines(corpus), vocabulary, d, SMALL), vocabulary)
 
 
 def stripes_dense(corpus: DataFrame, d=1, strip_vocabulary=False) -> DataFrame:
@@ -118,7 +130,7 @@ def tf(corpus: DataFrame, stem=False) -> DataFrame:
 
 
 def tf_cumulative(corpus: DataFrame) -> DataFrame:
-    found = freq.term_frequencies(freq.weighted_lines(documents(corpus)), ranked_terms(corpus), SMALL)
+    found = freq.term_frequencies(freq.weighted_documents(documents(corpus)), ranked_terms(corpus), SMALL)
     return found.select("doc_id", "term", "tf")
 
 
@@ -131,7 +143,7 @@ def tf_idf(corpus: DataFrame, stem=False) -> DataFrame:
 
 def tf_idf_ref_settings(corpus: DataFrame) -> DataFrame:
     """Terms from stripped text, looked up in unstripped text, running counts, fixed N."""
-    rows = freq.stemmed(freq.weighted_lines(documents(corpus)))
+    rows = freq.stemmed(freq.weighted_documents(documents(corpus)))
     ranked = ranked_terms(corpus, strip=True, stem=True)
     return _rounded(freq.tf_idf(rows, ranked, ASSUMED_DOCUMENTS, SMALL), "tfidf")
 
@@ -140,6 +152,26 @@ def stem_dictionary(corpus: DataFrame) -> DataFrame:
     return freq.stem_dictionary(counts(corpus))
 
 
+def tsv_lines(corpus: DataFrame) -> DataFrame:
+    """Lines as a reader of tab-separated files gets them, made of the corpus: some words repeat, some lines are bad."""
+    word = F.substring("line", 1, 3)
+    value = (
+        F.when(F.col("line_no") % 5 == 4, word)
+        .when(F.col("line_no") % 7 == 3, F.concat(word, F.lit("\tx")))
+        .otherwise(F.concat(word, F.lit("\t"), F.length("line").cast("string")))
+    )
+    placed = lines(corpus).where(~F.col("line").contains("\t"))
+    return placed.select(F.lit("corpus").alias("file"), F.col("doc_id").alias("block"), F.col("line_no").alias("row"), value.alias("value"))
+
+
+def stop_lists_united(corpus: DataFrame) -> DataFrame:
+    """Two lists that share every second line: their patterns, and where each is first."""
+    one = tsv_lines(corpus)
+    other = one.withColumn("value", F.when(F.col("row") % 2 == 0, F.concat("value", F.lit("+"))).otherwise(F.col("value")))
+    united = side_files.united_patterns(one, other)
+    return united.select("pattern", "first.list", F.col("first.block").alias("doc_id"), F.col("first.row").alias("line_no"))
+
+
 def _rounded(scores: DataFrame, column: str) -> DataFrame:
     return scores.withColumn(column, F.round(column, 6))
 
@@ -163,7 +195,12 @@ def all_queries() -> dict:
         "cooc_pairs_rollup": lambda c: cooc.roll_up(cooc_pairs_per_line(c)),
         "cooc_pairs_ref_vocab": lambda c: cooc_pairs(c, strip_vocabulary=True),
         "cooc_directed": cooc_directed,
-        "cooc_directed_rollup": lambda c: cooc.roll_up(cooc_directed(c, keep=("doc_id", "line_no"))),
+        "cooc_directed_rollup": cooc_directed_rollup,
+        "stripes_sparse": stripes_sparse,
+        "counts_parsed": lambda c: side_files.parse_word_counts(tsv_lines(c)),
+        "vocabulary_parsed": lambda c: side_files.parse_vocabulary(tsv_lines(c)),
+        "df_ranks_parsed": lambda c: side_files.parse_document_frequencies(tsv_lines(c)),
+        "stop_lists_united": stop_lists_united,
         "stripes_ref_vocab": lambda c: stripes_dense(c, strip_vocabulary=True),
         "doc_terms_distinct": doc_terms,
         "doc_freq": doc_freq,
@@ -190,6 +227,7 @@ def all_queries() -> dict:
 
 def _over_documents(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(read_table(spark, f"{sf_dir}/documents.parquet"))
+        partitions = spark.conf.get(PARTITIONS, None)
+        return query(read_table(spark, f"{sf_dir}/documents.parquet", partitions=partitions and int(partitions)))
 
     return run

@@ -11,7 +11,7 @@ from wordloom.operators import cooccurrence as cooc
 from wordloom.operators import frequencies as freq
 from wordloom.operators import vocabulary as vocab
 from wordloom.operators import words
-from wordloom.sources.corpus import read_documents, read_lines, spread
+from wordloom.sources.corpus import read_documents, read_lines, read_numbered_lines
 from wordloom.sources.side_files import (
     read_document_frequencies,
     read_stop_patterns,
@@ -21,14 +21,12 @@ from wordloom.sources.side_files import (
 from wordloom.sources.writers import sorted_tsv, tab_line, write_lines, write_scores
 
 
-def _token_lines(spark: SparkSession, corpus: str, stop_files: Sequence[str], case_sensitive: bool) -> DataFrame:
+def _token_lines(
+    spark: SparkSession, corpus: str, stop_files: Sequence[str], case_sensitive: bool, numbered: bool = False
+) -> DataFrame:
     patterns = read_stop_patterns(spark, *stop_files) if stop_files else []
-    return words.token_lines(words.normalise_lines(read_lines(spark, corpus), case_sensitive, patterns))
-
-
-def _documents(spark: SparkSession, corpus: str, stop_files: Sequence[str], case_sensitive: bool) -> DataFrame:
-    patterns = read_stop_patterns(spark, *stop_files) if stop_files else []
-    return words.normalise(spread(read_documents(spark, corpus)), case_sensitive, patterns)
+    lines = read_numbered_lines(spark, corpus) if numbered else read_lines(spark, corpus)
+    return words.token_lines(words.normalise_lines(lines, case_sensitive, patterns))
 
 
 def word_count(spark, corpus: str, output: str, stop_files: Sequence[str] = (), case_sensitive: bool = False) -> None:
@@ -54,21 +52,31 @@ def pairs(
 
 
 def stripes(
-    spark, corpus: str, vocabulary: str, output: str, d: int = 1, stop_files: Sequence[str] = (), case_sensitive: bool = False
+    spark, corpus: str, vocabulary: str, output: str, d: int = 1, sparse: bool = False,
+    stop_files: Sequence[str] = (), case_sensitive: bool = False
 ) -> None:
-    """`word <tab> [n0, n1, ...]` in word order."""
+    """`word <tab> [n0, n1, ...]` in word order; or, `sparse`, `word <tab> idx <tab> n` for the cells that are not 0.
+
+    Dense stripes are for vocabularies that may be a list beside every row, others have to be sparse.
+    """
     known = read_vocabulary(spark, vocabulary)
+    if not sparse and not vocab.is_listed(known, "word"):
+        raise ValueError(f"{vocabulary} is too large for dense stripes; write sparse ones")
     lines = _token_lines(spark, corpus, stop_files, case_sensitive)
     directed = cooc.directed_counts(lines, known, d, small=vocab.is_small(known))
-    write_lines(sorted_tsv(cooc.stripe_text(cooc.stripes(directed, known)), "word", "stripe"), output)
+    if sparse:
+        cells = cooc.sparse_stripes(directed, known).orderBy("word", "idx")
+        write_lines(cells.select(tab_line("word", "idx", "n").alias("line")), output)
+    else:
+        write_lines(sorted_tsv(cooc.stripe_text(cooc.stripes(directed, known)), "word", "stripe"), output)
 
 
 def document_frequency(
     spark, corpus: str, output: str, stop_files: Sequence[str] = (), case_sensitive: bool = False, stem: bool = True
 ) -> None:
-    """`term <tab> df` in term order; each file of the corpus is a document."""
-    rows = words.token_documents(_documents(spark, corpus, stop_files, case_sensitive))
-    frequencies = freq.document_frequencies(freq.document_terms(rows, stem=stem))
+    """`term <tab> df` in term order; each file of the corpus is a document, read line by line."""
+    rows = _token_lines(spark, corpus, stop_files, case_sensitive)
+    frequencies = freq.document_frequencies(freq.document_terms(rows, whole_documents=False, stem=stem))
     write_lines(sorted_tsv(frequencies, "term", "df"), output)
 
 
@@ -79,6 +87,7 @@ def tf_idf(
     output: str,
     n_docs: int | None = None,
     running: bool = False,
+    sparse: bool = False,
     stop_files: Sequence[str] = (),
     case_sensitive: bool = False,
     stem: bool = True,
@@ -86,12 +95,13 @@ def tf_idf(
     """`doc <tab> term <tab> score` for every document and every line of `frequencies`.
 
     `n_docs` is the corpus size in the idf, by default that of this corpus. `running`
-    weighs the tokens of a line by the number of lines from there to the end.
+    weighs the tokens of a line by the number of lines from there to the end. `sparse` leaves out zeros.
     """
-    documents = _documents(spark, corpus, stop_files, case_sensitive)
-    rows = freq.weighted_lines(documents) if running else words.token_documents(documents)
+    rows = _token_lines(spark, corpus, stop_files, case_sensitive, numbered=running)
+    rows = freq.weighted_rows(rows) if running else rows
     ranked = read_document_frequencies(spark, frequencies)
     if n_docs is None:
         n_docs = freq.document_count(read_documents(spark, corpus).select(F.lit(1)))
     rows = freq.stemmed(rows) if stem else rows
-    write_scores(freq.tf_idf(rows, ranked, n_docs, small=vocab.is_small(ranked, "term")), output)
+    score = freq.sparse_tf_idf if sparse else freq.tf_idf
+    write_scores(score(rows, ranked, n_docs, small=vocab.is_listed(ranked), whole_documents=False), output)

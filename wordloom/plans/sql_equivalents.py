@@ -1,15 +1,26 @@
 """The named queries once more, in DuckDB SQL over the view `documents`.
 
 They are written from the definitions, line by line and token by token, and share
-no logic with the DataFrame code: only the fixed values are taken from there.
+no logic with the DataFrame code; the tables of the stemmer are stated here once more, from
+the published rules, so that a wrong one there does not agree with itself. Sizes and the stop
+list are those of the queries.
 """
 
 from __future__ import annotations
 
-from wordloom.functions.porter import STEP_2, STEP_3, STEP_4
 from wordloom.plans.catalogue import ASSUMED_DOCUMENTS, DISTANCES, TOP_TERMS, TOP_WORDS, stop_patterns
 
 
+# The rules of steps 2, 3 and 4 in the order of the paper, with its two amendments.
+RULES_2 = (
+    ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"), ("bli", "ble"), ("alli", "al"),
+    ("entli", "ent"), ("eli", "e"), ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"),
+    ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"), ("logi", "log"),
+)
+RULES_3 = (("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""), ("ness", ""))
+RULES_4 = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize".split()
+
+
 def _quote(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -126,14 +137,14 @@ def _stems(name: str, tokens: str) -> str:
         "CASE WHEN ends_with(w, 'y') AND contains(substr(shape, 1, length(w) - 1), 'v') "
         "THEN left(w, length(w) - 1) || 'i' ELSE w END",
     ))
-    for rules in (STEP_2, STEP_3):
+    for rules in (dict(RULES_2), dict(RULES_3)):
         steps.append((
             f"{_longest(rules)} AS suffix",
             f"CASE WHEN suffix <> '' AND {_m('length(w) - length(suffix)')} > 0 "
             f"THEN left(w, length(w) - length(suffix)) || {_mapped(rules)} ELSE w END",
         ))
     steps.append((
-        f"{_longest(STEP_4)} AS suffix",
+        f"{_longest(RULES_4)} AS suffix",
         f"CASE WHEN suffix <> '' AND {_m('length(w) - length(suffix)')} > 1 "
         "AND (suffix <> 'ion' OR substr(w, length(w) - 3, 1) IN ('s', 't')) "
         "THEN left(w, length(w) - length(suffix)) ELSE w END",
@@ -190,6 +201,12 @@ SELECT d.doc_id, r.term, coalesce(f.tf, 0) AS tf,
 FROM with_lines d CROSS JOIN ranked r LEFT JOIN found f ON f.doc_id = d.doc_id AND f.term = r.term"""
 
 
+PARSED = """tsv AS (SELECT doc_id, line_no, CASE WHEN line_no % 5 = 4 THEN substr(line, 1, 3)
+    WHEN line_no % 7 = 3 THEN substr(line, 1, 3) || chr(9) || 'x'
+    ELSE substr(line, 1, 3) || chr(9) || length(line) END AS value FROM l WHERE NOT contains(line, chr(9))),
+good AS (SELECT *, split_part(value, chr(9), 1) AS word, try_cast(split_part(value, chr(9), 2) AS BIGINT) AS n FROM
+    (SELECT *, row_number() OVER (ORDER BY doc_id, line_no) - 1 AS idx FROM tsv) WHERE contains(value, chr(9)))"""
+
 N_DOCS = "(SELECT count(*) FROM documents)"
 RUNNING = "sum(n_lines - line_no)"
 
@@ -228,6 +245,20 @@ def all_sql() -> dict[str, str]:
         "cooc_directed": f"{_with(tok, vocab, _events(2))} {DIRECTED}",
         "cooc_directed_rollup": f"{_with(tok, vocab, _events(2))} {DIRECTED}",
         "stripes_ref_vocab": _stripes(1, *ref_vocab),
+        "stripes_sparse": f"""{_with(tok, vocab, _events(2), f"dir AS ({DIRECTED})")},
+            place AS (SELECT word, (row_number() OVER (ORDER BY word) - 1)::INTEGER AS idx FROM vocab)
+            SELECT w1 AS word, idx, n FROM dir JOIN place ON word = w2""",
+        "counts_parsed": f"""{_with(_lines("l"), PARSED)}
+            SELECT word, arg_max(n, idx) AS n FROM good WHERE n IS NOT NULL GROUP BY word""",
+        "vocabulary_parsed": f"{_with(_lines('l'), PARSED)} SELECT DISTINCT split_part(value, chr(9), 1) AS word FROM tsv",
+        "df_ranks_parsed": f"""{_with(_lines("l"), PARSED)}
+            SELECT word AS term, arg_max(n, idx) AS df, max(idx)::BIGINT AS idx FROM good WHERE n IS NOT NULL GROUP BY word""",
+        "stop_lists_united": f"""{_with(_lines("l"), PARSED)}
+            SELECT pattern, first.list AS list, first.doc_id AS doc_id, first.line_no AS line_no FROM (
+            SELECT value AS pattern, min({{'list': list, 'doc_id': doc_id, 'line_no': line_no}}) AS first FROM (
+                SELECT value, 0::INTEGER AS list, doc_id, line_no FROM tsv
+                UNION ALL SELECT CASE WHEN line_no % 2 = 0 THEN value || '+' ELSE value END, 1::INTEGER, doc_id, line_no FROM tsv)
+            GROUP BY value)""",
         "doc_terms_distinct": f"{_with(tok)} SELECT DISTINCT doc_id, token AS term FROM tok",
         "doc_freq": f"{df} SELECT term, df FROM freqs",
         "doc_freq_stripped": f"{_with(stripped, _doc_freq('freqs', 'stripped'))} SELECT term, df FROM freqs",

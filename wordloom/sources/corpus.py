@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TASKS_PER_CORE = 3
+from wordloom.sources.side_files import numbered_lines, placed_lines
 
 
-def read_table(spark: SparkSession, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Parquet table with one row per document -> (doc_id, text)."""
-    table = spark.read.parquet(path)
-    return spread(table.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+def read_table(
+    spark: SparkSession, path: str, doc_id: str = "doc_id", text: str = "text", partitions: int | None = None
+) -> DataFrame:
+    """Parquet table with one row per document -> (doc_id, text).
+
+    `partitions` deals the rows out anew, which moves every text: for a table of few row groups
+    on many cores. Left out, the partitions are those of the scan.
+    """
+    table = spark.read.parquet(path).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return table if partitions is None else table.repartition(partitions)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -24,20 +30,14 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("_metadata.file_name").alias("doc_id"), F.col("value").alias("text"))
 
 
+def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Directory of text files -> (doc_id, line_no, n_lines, line), also splittable inside large files."""
+    lines = numbered_lines(placed_lines(spark, path), per_file=True)
+    name = F.substring_index("file", "/", -1)
+    return lines.select(name.alias("doc_id"), F.col("idx").alias("line_no"), "n_lines", F.col("value").alias("line"))
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Directory of text files -> (doc_id, line), splittable inside large files."""
     lines = spark.read.text(path)
     return lines.select(F.col("_metadata.file_name").alias("doc_id"), F.col("value").alias("line"))
-
-
-def spread(corpus: DataFrame) -> DataFrame:
-    """Use all cores for a corpus that the scan would leave on a few of them.
-
-    Scan partitions are at most `spark.sql.files.maxPartitionBytes` long, so whatever
-    is moved here is small: fewer such pieces than there are cores. Corpora of
-    cluster size have many more pieces and are never shuffled.
-    """
-    cores = corpus.sparkSession.sparkContext.defaultParallelism
-    if corpus.rdd.getNumPartitions() >= cores:
-        return corpus
-    return corpus.repartition(cores * TASKS_PER_CORE)

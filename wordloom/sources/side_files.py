@@ -1,4 +1,8 @@
-"""The small text files that go with a corpus: stop lists, vocabularies, word counts."""
+"""The small text files that go with a corpus: stop lists, vocabularies, word counts.
+
+Reading is in two steps: lines with their place in the files, and what the lines say. The second
+takes any table of placed lines (file, block, row, value), whose order is that of the three keys.
+"""
 
 from __future__ import annotations
 
@@ -9,11 +13,11 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.stop_patterns import application_order
 
-MAX_STOP_PATTERNS = 100_000
+PLACE = ("file", "block", "row")
 
 
-def _placed_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their place: (file, block, row, value). Rows of a block are numbered without gaps."""
+def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """-> (file, block, row, value). Rows of a block are numbered without gaps."""
     return spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -22,18 +26,34 @@ def _placed_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def numbered_lines(lines: DataFrame, per_file: bool = False) -> DataFrame:
+    """Placed lines -> the same with `idx`, the number of the line from 0, over all files or in each, and `n_lines`.
+
+    A line number is the number of the line in its block plus the lines of the blocks before; only the
+    list of blocks is ever sorted as a whole.
+    """
+    blocks = lines.groupBy("file", "block").agg(F.min("row").alias("first"), F.count("*").alias("size"))
+    group = Window.partitionBy("file") if per_file else Window.partitionBy(F.lit(0))
+    before = group.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumns({"offset": F.coalesce(F.sum("size").over(before), F.lit(0)), "n_lines": F.sum("size").over(group)})
+    idx = F.col("row") - F.col("first") + F.col("offset")
+    return lines.join(blocks, ["file", "block"]).select(*lines.columns, idx.alias("idx"), "n_lines")
+
+
+def united_patterns(*lists: DataFrame) -> DataFrame:
+    """Placed lines of several stop lists -> distinct (pattern, first), `first` being its first place."""
+    listed = [lines.withColumn("list", F.lit(i)) for i, lines in enumerate(lists)]
+    place = F.struct("list", *PLACE)
+    return reduce(DataFrame.union, listed).groupBy(F.col("value").alias("pattern")).agg(F.min(place).alias("first"))
+
+
 def read_stop_patterns(spark: SparkSession, *paths: str) -> list[str]:
     """Union of several stop lists (one pattern per line, blanks kept) in application order.
 
-    A missing file is an error. The list goes into the query itself, so its size is
-    checked before it comes to the driver.
+    A missing file is an error. The list becomes part of the query, so it comes to the driver.
     """
-    listed = [_placed_lines(spark, path).withColumn("list", F.lit(i)) for i, path in enumerate(paths)]
-    in_order = reduce(DataFrame.union, listed).orderBy("list", "file", "block", "row")
-    rows = in_order.select("value").limit(MAX_STOP_PATTERNS + 1).collect()
-    if len(rows) > MAX_STOP_PATTERNS:
-        raise ValueError(f"more than {MAX_STOP_PATTERNS} stop patterns in {paths}")
-    return application_order(row["value"] for row in rows)
+    united = united_patterns(*[placed_lines(spark, path) for path in paths])
+    return application_order(row["pattern"] for row in united.orderBy("first").select("pattern").collect())
 
 
 def _tab_fields(lines: DataFrame) -> DataFrame:
@@ -41,37 +61,40 @@ def _tab_fields(lines: DataFrame) -> DataFrame:
     return lines.withColumn("fields", F.split("value", "\t", -1))
 
 
-def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
+def parse_vocabulary(lines: DataFrame) -> DataFrame:
     """First field of each line -> distinct (word)."""
-    return _tab_fields(spark.read.text(path)).select(F.col("fields")[0].alias("word")).distinct()
+    return _tab_fields(lines).select(F.col("fields")[0].alias("word")).distinct()
 
 
-def read_word_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Lines `word <tab> count` -> (word, n); of a repeated word the last line counts.
+def parse_word_counts(lines: DataFrame) -> DataFrame:
+    """Placed lines `word <tab> count` -> (word, n); of a repeated word the last line counts.
 
     Lines with another number of fields, or whose count is no integer, are skipped.
     """
-    counted = _tab_fields(_placed_lines(spark, path)).where(F.size("fields") == 2)
+    counted = _tab_fields(lines).where(F.size("fields") == 2)
     counted = counted.select(
-        F.col("fields")[0].alias("word"),
-        F.col("fields")[1].try_cast("bigint").alias("n"),
-        F.struct("file", "block", "row").alias("place"),
+        F.col("fields")[0].alias("word"), F.col("fields")[1].try_cast("bigint").alias("n"), F.struct(*PLACE).alias("place")
     )
     return counted.where("n is not null").groupBy("word").agg(F.max_by("n", "place").alias("n"))
 
 
-def read_document_frequencies(spark: SparkSession, path: str) -> DataFrame:
-    """Lines `term <tab> df` -> (term, df, idx), idx being the line number from 0.
+def parse_document_frequencies(lines: DataFrame) -> DataFrame:
+    """Placed lines `term <tab> df` -> (term, df, idx), idx being the line number from 0.
 
-    A line number is the number of the line in its block plus the lines of the blocks
-    before; only the list of blocks is ever sorted as a whole.
+    Of a repeated term the last line counts. The line of a skipped entry keeps its number.
     """
-    lines = _placed_lines(spark, path)
-    blocks = lines.groupBy("file", "block").agg(F.min("row").alias("first"), F.count("*").alias("size"))
-    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    return _tab_fields(lines).join(blocks, ["file", "block"]).select(
-        F.col("fields")[0].alias("term"),
-        F.col("fields")[1].cast("bigint").alias("df"),
-        (F.col("row") - F.col("first") + F.col("offset")).alias("idx"),
-    )
+    entries = _tab_fields(numbered_lines(lines)).where(F.size("fields") >= 2)
+    entries = entries.select(F.col("fields")[0].alias("term"), F.col("fields")[1].try_cast("bigint").alias("df"), "idx")
+    return entries.where("df is not null").groupBy("term").agg(F.max_by("df", "idx").alias("df"), F.max("idx").alias("idx"))
+
+
+def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
+    return parse_vocabulary(placed_lines(spark, path))
+
+
+def read_word_counts(spark: SparkSession, path: str) -> DataFrame:
+    return parse_word_counts(placed_lines(spark, path))
+
+
+def read_document_frequencies(spark: SparkSession, path: str) -> DataFrame:
+    return parse_document_frequencies(placed_lines(spark, path))
