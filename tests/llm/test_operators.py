@@ -1,0 +1,367 @@
+"""Operators that SQL can't express, against brute force; and odd rows for all of them."""
+
+import hashlib
+import itertools
+import random
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from wordloom.llm import chat, html_blocks, html_text, mixing, ngram_join, quality, queries, secrets, substrings, url_filters
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+
+
+def run(spark, name, folder):
+    return next(q for n, q in queries.QUERIES.items() if n.startswith(name + "_"))(spark, folder)
+
+
+# op1
+
+
+TURNS = [
+    (1, 0, "user", "hi"), (1, 1, "assistant", "a<|end|>b\\<|"), (1, 2, "user", None), (1, 3, "assistant", "[INST]\\[\\INST]"),
+    (2, 5, "assistant", ""), (2, 1, "system", "</s>"), (None, None, None, None), (None, 2, "assistant", "x"),
+    (3, 0, "user", "no reply"), (4, 0, "assistant", "twice"), (4, 0, "assistant", "twice"), (4, 0, "a<|says|>b", "odd role"),
+    *[(5, i, ("user", "assistant")[i % 2], f"t{i}") for i in range(300)],
+]
+
+
+def conversations(turns):
+    out = defaultdict(list)
+    for conv, turn, role, text in turns:
+        out[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    return {c: sorted(t) for c, t in out.items()}
+
+
+def test_chat_reads_back(spark, tables):
+    found = {r["conv_id"]: r for r in run(spark, "op1", tables(conversations=TURNS)).collect()}
+    control = "</s>[INST] ok [/INST]"
+    expected = conversations([*TURNS, (-1, 0, "user", control), (-1, 1, "assistant", control)])
+    assert set(found) == set(expected)
+    for conv, turns in expected.items():
+        row, replies = found[conv], [t for _, _, role, t in turns if role == "assistant"]
+        assert row["n_turns"] == len(turns)
+        assert row["turns_sha256"] == sha("".join(f"{role}\n{text}\n" for _, _, role, text in turns))
+        assert (row["loss_chars"], row["loss_sha256"]) == (sum(map(len, replies)), sha("".join(replies)))
+        assert row["n_examples"] == len(replies)
+        assert row["formatted_chars"] > sum(len(t) for *_, t in turns)
+
+
+def test_examples_are_beginnings_of_the_conversation(spark):
+    rows = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
+    placed = chat.placed_turns(chat.formatted_turns(rows))
+    pieces = defaultdict(list)
+    for r in chat.example_pieces(placed, chat.examples(placed)).collect():
+        pieces[r["conv_id"], r["context_chars"]].append((r["starts"], r["piece"], r["trainable"]))
+    whole = defaultdict(str)
+    for r in placed.orderBy("starts").collect():
+        whole[r["conv_id"]] += r["piece"]
+    examples = chat.examples(placed).collect()
+    assert len(examples) == sum(1 for t in TURNS if t[2] == "assistant") == len(pieces)
+    for e in examples:
+        own = sorted(pieces[e["conv_id"], e["context_chars"]])
+        assert "".join(p for _, p, _ in own) == whole[e["conv_id"]][: e["example_chars"]]
+        assert [t for _, _, t in own] == [False] * (len(own) - 1) + [True]
+
+
+# op2
+
+
+def brute_targets(sizes):
+    names = sorted((s for s in sizes if s is not None), key=str.encode) + ([None] if None in sizes else [])
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    total, target, open_ = 1.5 * sum(sizes.values()), {}, set(names)
+    while open_:
+        left = total - sum(target.values())
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        above = {s for s in open_ if share[s] > 2 * sizes[s]}
+        if not above:
+            target |= share
+            break
+        target |= {s: 2.0 * sizes[s] for s in above}
+        open_ -= above
+    return target
+
+
+def test_mix(spark, tables):
+    rng = random.Random(7)
+    rows = [(i, "w " * rng.choice((0, 1, 40, 900)), "en", rng.choice(["a", "b", "b", "b", "c", "Z", "é", None, "lone"]), 0) for i in range(400)]
+    rows += [(500, None, "en", "empty", None), (None, "x y", None, "a", None), (7, rows[7][1], "en", rows[7][3], 0), (600, "q " * 5000, "en", "big", 0)]
+    folder = tables(documents=rows, extra="size")
+    found = run(spark, "op2", folder).collect()
+    assert len(found) == len(rows)
+    sizes = defaultdict(int)
+    for _, text, _, source, _ in rows:
+        sizes[source] += len((text or "").split())
+    target, taken = brute_targets(sizes), defaultdict(int)
+    of = {(i, len((t or "").split())): s for i, t, _, s, _ in rows}
+    for r in found:
+        source = of[r["doc_id"], r["size"]]
+        assert r["source_size"] == sizes[source] and r["target"] == pytest.approx(target[source])
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        taken[source] += r["taken"]
+    for source, words in taken.items():
+        # Rounding to a block, and the last block of a source may be shorter than the others.
+        assert abs(words - target[source]) <= 1.5 * mixing.BLOCK_WORDS
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        again = run(spark, "op2", folder).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, found), key=repr)
+
+
+def test_slots_take_each_block_once_per_pass(spark):
+    plan = spark.createDataFrame([("a", 1000, 1500.0), (None, 70, 140.0), ("none", 0, 0.0)], "source string, source_size long, target double")
+    dealt = mixing.slots(plan, block_words=10, shard_slots=16)
+    times = defaultdict(dict)
+    for r in dealt.groupBy("source", "block").count().collect():
+        times[r["source"]][r["block"]] = r["count"]
+    assert sum(times["a"].values()) == 150 and set(times["a"].values()) == {1, 2} and len(times["a"]) == 100
+    assert times[None] == {i: 2 for i in range(7)} and "none" not in times
+    assert mixing.shard_counts(dealt).agg(F.sum("n")).first()[0] == dealt.count() == 164
+
+
+# op4
+
+
+def test_rules_are_filed_under_the_rarest_whole_token(spark):
+    rules = url_filters.rule_table(spark, [("ab.example.com/en/x", "block")], [("*spam-farm.*", "block"), ("*x", "allow"), ("/q/*", "block")])
+    assert {r["rule"]: sorted(r["keys"]) for r in rules.collect()} == {
+        "ab.example.com/en/x": ["ab", "com", "en", "example"], "*spam-farm.*": ["farm"], "*x": [], "/q/*": ["q"],
+    }
+    addresses = spark.createDataFrame([("a.example.com/en/",), ("ab.example.com/q/",)], "address string")
+    filed = url_filters.rule_index(rules, url_filters.token_rows(addresses)).collect()
+    assert {r["rule"]: r["token"] for r in filed} == {"ab.example.com/en/x": "ab", "*spam-farm.*": "farm", "*x": "", "/q/*": "q"}
+
+
+# op5
+
+
+PAGE = """<html><head><title>no</title><style>p{}</style></head><body><nav><ul><li><a href=/>Home</a></li></ul></nav>
+<article><h1>A &amp; B</h1><p>First  para&#8217;s
+ text, with <b>bold</b>words &lt;here&gt;.<p>Second one<br>goes on. It is a full sentence, too.<script>x="</p>"</script>
+<div class="comments"><p>Nice article, thank you for it, really.</p></div></article><footer>&copy; me</footer>"""
+
+
+def test_blocks():
+    found = [(b.text, b.path[-1][0]) for b in html_blocks.blocks(PAGE)]
+    assert found == [
+        ("Home", "li"), ("A & B", "h1"), ("First para’s text, with boldwords <here>.", "p"), ("Second one goes on. It is a full sentence, too.", "p"),
+        ("Nice article, thank you for it, really.", "p"), ("© me", "footer"),
+    ]
+    for broken in ("", "<", "a < b", "<p", "<!-- x", "<script>x", "&am", "<p title='a>b'>t</p", "</p></p>x", "<p \"'>x", "\x00<\x00>"):
+        html_blocks.blocks(broken)
+    assert [b.text for b in html_blocks.blocks("a < b &lt;i&gt; <p title='x>y'>t")] == ["a < b <i>", "t"]
+
+
+@pytest.fixture(scope="module")
+def sample(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("page_id").select("html")
+    return [r["html"] for r in pages.collect()]
+
+
+def test_held_out_layouts(sample):
+    model = html_text.trained(sample[:100], layouts=250)
+    held = [html_blocks.blocks(h) for h in sample[100:]]
+    whole = sum(model.decode(html_text.features(p)) == [html_text.marked_up(b) for b in p] for p in held)
+    assert whole >= 0.99 * len(held)
+    rng, right, total = random.Random(1), 0, 0
+    texts = [b.text.replace("&", "&amp;").replace("<", "&lt;") for p in held for b in p if html_text.marked_up(b)]
+    other = [b.text.replace("&", "&amp;").replace("<", "&lt;") for p in held for b in p if not html_text.marked_up(b)]
+    for _ in range(100):
+        page = html_blocks.blocks(html_text.layout(rng, texts, other))
+        labels = [int(html_text._MARK in b.text) for b in page]
+        for b in page:
+            b.text = b.text.replace(html_text._MARK, "") or "."
+        right += sum(a == b for a, b in zip(model.decode(html_text.features(page)), labels))
+        total += len(page)
+    assert right >= 0.99 * total
+
+
+def test_pages(spark, tables, sample):
+    pages = [(i, "u", h) for i, h in enumerate(sample[:60])] + [(60, None, None), (61, "", ""), (61, "", " <p> "), (None, "u", sample[0])]
+    pages.append((62, "u", "<article>" + "<p>A sentence, and more of it.</p>" * 5000 + "</article>"))
+    found = run(spark, "op5", tables(pages=pages, extra="n_blocks")).collect()
+    assert len(found) == len(pages)
+    texts = {(r["page_id"], r["url"]): (r["text"], r["n_chars"]) for r in found}
+    assert texts[60, None] == texts[61, ""] == ("", 0)
+    for i, h in enumerate(sample[:60]):
+        expected = "\n\n".join(b.text for b in html_blocks.blocks(h) if html_text.marked_up(b))
+        assert texts[i, "u"] == (expected, len(expected))
+    assert texts[None, "u"] == texts[0, "u"]
+    assert texts[62, "u"][0].count("\n\n") == 4999
+
+
+# op7
+
+
+def test_ledger_and_ablation(spark):
+    rows = spark.createDataFrame([("a " * 60, "x"), (None, "y"), ("b c d e f g " * 8 + "# " * 10, "z")], "text string, ledger_of string")
+    ledger = quality.with_ledger(rows).select("ledger_of", "ledger.failures").collect()
+    bit = quality.BIT
+    assert {r["ledger_of"]: r["failures"] for r in ledger} == {
+        "x": bit["repeated_words"] | bit["short_words"], "y": bit["few_words"], "z": bit["repeated_words"] | bit["symbols"] | bit["short_words"],
+    }
+    found = {(r["policy"], r["rule"]): (r["rejected"], r["by_rule"], r["only_rule"]) for r in quality.ablation(quality.with_ledger(rows).select("ledger.failures")).collect()}
+    assert found["base", "few_words"] == (3, 1, 1) and found["base", "repeated_words"] == (3, 2, 2)
+    assert found["v1", "repeated_words"] == (3, 2, 1) and found["v2", "symbols"] == (3, 1, 0)
+
+
+# op8
+
+
+def near_copies(rng, n_bases=6, n_copies=25, extra=()):
+    vocabulary = [f"w{i}" for i in range(400)]
+    passage = " ".join(rng.choice(vocabulary) for _ in range(60))
+    texts = [None, "", "  ", "one", "ONE", "one two", "one two", *extra]
+    for _ in range(n_bases):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice((5, 40, 150, 260)))]
+        if rng.random() < 0.5:
+            base += passage.split()
+        for _ in range(n_copies):
+            copy = list(base)
+            for _ in range(rng.choice((0, 0, 1, 1, 2, 3, 6))):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary).upper() if rng.random() < 0.3 else rng.choice(vocabulary)
+            texts.append(" ".join(copy) if rng.random() < 0.9 else "\n".join(copy[: rng.randrange(1, len(copy) + 1)]))
+    rng.shuffle(texts)
+    return texts
+
+
+def brute_components(texts, ids):
+    sets = []
+    for t in texts:
+        w = WORD.findall((t or "").translate(LOWER))
+        sets.append({tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) > 2 else {tuple(w)} if w else set())
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        if sets[i] and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]):
+            root[find(j)] = find(i)
+    least = {}
+    for i, row in enumerate(ids):
+        least[find(i)] = min(least.get(find(i), row), row)
+    return [(row, len(sets[i]), least[find(i)]) for i, row in enumerate(ids)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_links_and_components(spark, documents, seed):
+    rng = random.Random(seed)
+    texts = near_copies(rng, extra=["z " * 50_000, "long " + "z " * 50_000])
+    ids = rng.sample(range(1000), len(texts))
+    found = run(spark, "op8", documents(*texts, ids=ids, extra="component_id")).collect()
+    assert sorted(map(tuple, found)) == sorted(brute_components(texts, ids))
+
+
+def test_one_document_of_each_group_stays(spark, documents):
+    folder = documents("a b c d e", "a B c d e", "a b c d e", "f g h", None, "", None, ids=[5, 3, 9, 1, None, 2, 2], extra="row")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = ngram_join.stage(spark, docs, folder)
+    assert kept.columns == docs.columns
+    assert sorted(kept.select("doc_id", "text").collect(), key=repr) == sorted([(3, "a B c d e"), (1, "f g h"), (None, None), (2, ""), (2, None)], key=repr)
+
+
+# op9
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_repeated_windows(spark, documents, seed):
+    rng = random.Random(seed)
+    texts = near_copies(rng, 5, 12, extra=["again and " * 400, "again and " * 30, " ".join(f"n{i}" for i in range(13))] * 2)
+    ids = rng.sample(range(1000), len(texts))
+    first, expected = {}, []
+    for row, text in sorted(zip(ids, texts)):
+        words = WORD.findall(text or "")
+        gone = set()
+        for i in range(len(words) - 12):
+            if first.setdefault(tuple(words[i : i + 13]), row) < row:
+                gone.update(range(i, i + 13))
+        expected.append((row, len(words), len(gone), sha(" ".join(w for i, w in enumerate(words) if i not in gone))))
+    found = run(spark, "op9", documents(*texts, ids=ids, extra="starts")).collect()
+    assert sorted(map(tuple, found)) == expected
+
+
+def test_equal_and_null_ids_take_nothing_from_each_other(spark, documents):
+    text = " ".join(f"n{i}" for i in range(20))
+    found = run(spark, "op9", documents(text, text, text, text, ids=[4, 4, None, 6])).collect()
+    assert sorted((r["doc_id"] or 0, r["n_removed"]) for r in found) == [(0, 0), (4, 0), (4, 0), (6, 20)]
+    assert substrings.WINDOW == 13
+
+
+# op10
+
+
+def brute_spans(text):
+    text, out = text or "", []
+    kinds = [
+        (r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        (r"AKIA[A-Z0-9]+", 0, 20), (r"[0-9a-f]+", 0, 24),
+    ]
+    for k, (pattern, group, least) in enumerate(kinds):
+        out += [(m.start(), k, m.end()) for m in re.finditer(pattern, text) if len(m[group]) >= least]
+    return ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(out))
+
+
+def test_secrets(spark, documents):
+    rng = random.Random(5)
+    key = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    base64, base62 = secrets.ALPHABETS[9][1], secrets.ALPHABETS[8][1]
+    planted = [key(base64, 40) for _ in range(20)] + [key(base62, 32) for _ in range(20)]
+    words = ["Donaudampfschifffahrtsgesellschaft", "thisisjustalongwordwithoutmeaning", "12345678901234567890123456", "ThisIsACamelCaseIdentifierOfCode"]
+    fixed = [
+        None, "", "password = 'hunter22'; API_KEY:abc", "é é token=tok token: \"abcdef\" tOkEn=======", "AKIA" + "A1" * 8, "AKIA AKIAAKIA" + "B2" * 9,
+        "deadbeef" * 3, "deadbeef" * 2 + "g" + "0" * 30, "passwd =abcdefg", "paſſword=abcdefg toKen=abcdefg", "secret=a" + "b" * 100_000,
+    ]
+    texts = fixed + [f"the value {p} is here" for p in planted] + [f"a {w} b" for w in words * 5]
+    found = {r["doc_id"]: r for r in run(spark, "op10", documents(*texts, extra="hits")).collect()}
+    assert len(found) == len(texts)
+    for i, text in enumerate(texts):
+        base = brute_spans(text)
+        assert found[i]["base_sha256"] == sha(base)
+        assert set(filter(None, base.split(","))) <= set(found[i]["spans"].split(","))
+        assert [found[i][f"n_{k}"] for k in ("assign", "access", "hex")] == [base.count(k) for k in ("assign", "access", "hex")]
+    random_spans = lambda i: "random" in found[i]["spans"]
+    hits = [random_spans(len(fixed) + i) for i in range(len(planted))]
+    assert sum(hits) >= 0.9 * len(hits)
+    assert not any(random_spans(len(fixed) + len(planted) + i) for i in range(len(words) * 5))
+
+
+# the pipeline
+
+
+def test_pipeline(spark, documents):
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    text = lambda n: "\n".join(" ".join(f"word{rng.randrange(3000)}" for _ in range(20)) for _ in range(n))
+    clean = [text(6) for _ in range(20)]
+    near = [clean[0].replace(clean[0].split()[30], "changed"), clean[1]]
+    item = " ".join(f"item{i}" for i in range(30))
+    leak = text(3) + "\n" + item + "\n" + text(3)
+    junk = [None, "", "short", "rep " * 100]
+    folder = documents(*clean, *near, leak, *junk, sources=["a", None, "b"] * 9)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.mode("overwrite").parquet(f"{folder}/benchmark.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        then = stage(spark, docs, folder)
+        assert then.columns == docs.columns, name
+        docs = then.checkpoint()
+    assert {r["doc_id"] for r in docs.collect()} - {20} == set(range(20))
+    mix = corpus_pipeline.run(spark, folder)
+    assert {r["doc_id"] for r in mix.collect()} - {20} == set(range(20))
+
+
+def test_pipeline_of_nothing(spark, tables):
+    import corpus_pipeline
+
+    assert corpus_pipeline.run(spark, tables()).collect() == []
