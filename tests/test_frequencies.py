@@ -96,6 +96,17 @@ def test_scores_are_dense(corpus, running):
         assert score == pytest.approx(n * math.log(10 / (1 + known[term])))
 
 
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("whole", [True, False])
+def test_rankings_with_gaps_and_empty_ones(spark, corpus, small, whole):
+    rows = words.token_documents(corpus)
+    gaps = spark.createDataFrame([("b", 2, 1), ("zz", 1, 4)], "term string, df long, idx long")
+    found = freq.tf_idf(rows, gaps, 10, small, whole).collect()
+    assert len(found) == 2 * sum(1 for t in TEXTS if t)
+    assert sorted((r["doc_id"], r["tf"]) for r in found if r["tf"]) == [(0, 1), (1, 3)]
+    assert freq.tf_idf(rows, gaps.where("false"), 10, small, whole).count() == 0
+
+
 def test_running_counts_equal_plain_ones_on_one_line(docs):
     corpus = words.normalise(docs("a b a", "b c\n"))
     top = ranked(corpus)

@@ -101,8 +101,8 @@ def term_frequencies(rows: DataFrame, ranked: DataFrame, small: bool = False, wh
 
 
 def _completed(rows: DataFrame, ranked: DataFrame, small: bool, whole_documents: bool) -> DataFrame:
-    """-> (doc_id, idx, tf) with a row for every document and ranked term: zeros by index, added up with what is found."""
-    indices = F.sequence(F.lit(0).cast("long"), ranked.agg(F.count("*")).scalar() - 1)
+    """-> (doc_id, idx, tf) for every document and index up to the last: zeros, added up with what is found."""
+    indices = F.sequence(F.lit(0).cast("long"), ranked.agg(F.max("idx").cast("long")).scalar())
     documents = rows.select("doc_id") if whole_documents else rows.select("doc_id").distinct()
     zeros = documents.select("doc_id", F.explode(indices).alias("idx"), F.lit(0).cast("long").alias("tf"))
     found = term_frequencies(rows, ranked, small, whole_documents).select("doc_id", F.col("idx").cast("long").alias("idx"), "tf")
@@ -125,7 +125,8 @@ def tf_idf(rows: DataFrame, ranked: DataFrame, n_docs: int | Column, small: bool
         scores = _tallied(rows, known).select("doc_id", "r.term", "tf", "r.idf")
     else:
         at = known.select(F.col("idx").cast("long").alias("idx"), "term", "idf")
-        scores = _completed(rows, ranked.where("idx is not null"), small, whole_documents).join(lookup_side(at, small), "idx")
+        # Indices may have gaps; the join leaves those out.
+        scores = _completed(rows, ranked, small, whole_documents).join(lookup_side(at, small), "idx")
     return scores.select("doc_id", "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
