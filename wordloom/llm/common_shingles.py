@@ -6,8 +6,8 @@ their leading bits, as packed arrays instead of rows. A hash that several docume
 shared there and goes to its bucket once, without its documents; so no bucket gets more entries of a hash
 than there are slices, however many documents have it.
 
-A token is the leading 46 to 56 bits of a hash: those of its bucket and 40 more. Packed arrays hold sorted
-hashes as differences and the numbers of their documents, byte planes one after the other, compressed.
+A token is the leading 46 to 56 bits of a hash: those of its bucket and 40 more. Packed arrays hold 40 bits of
+each hash, by document, and the numbers of the documents as differences, byte planes one after the other, compressed.
 """
 
 from __future__ import annotations
@@ -62,8 +62,9 @@ def _packer(of: Hashes, bits: int, lower: bool):
         several = count > 1
         document = text[first]
         document[several] = _MOST_ROWS
-        values = hashes[first] & _LOW
         bucket = (hashes[first] >> U64(_BITS)).astype(np.int64)
+        order = np.lexsort((document, bucket))
+        values, document, bucket = (hashes[first] & _LOW)[order], document[order], bucket[order]
         cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
         blobs = [_pressed(values[a:b], document[a:b]) for a, b in zip(cuts, np.append(cuts[1:], len(values)))]
         yield _batch(bucket[cuts], np.full(len(cuts), rows[0]), None, None, blobs)
@@ -89,9 +90,9 @@ def shard_of(tokens: np.ndarray) -> np.ndarray:
 
 
 def _pressed(values: np.ndarray, documents: np.ndarray) -> bytes:
-    """Sorted 40-bit values and 16-bit numbers."""
-    steps = np.diff(values, prepend=U64(0))
-    planes = steps.view(np.uint8).reshape(-1, 8)[:, : _BITS // 8].T.tobytes() + documents.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()
+    """40-bit values and sorted 16-bit numbers."""
+    steps = np.diff(documents, prepend=0).astype("<u2")
+    planes = values.view(np.uint8).reshape(-1, 8)[:, : _BITS // 8].T.tobytes() + steps.view(np.uint8).reshape(-1, 2).T.tobytes()
     return len(values).to_bytes(4, "little") + pa.compress(planes, "zstd", asbytes=True)
 
 
@@ -99,10 +100,10 @@ def _unpressed(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int.from_bytes(blob[:4], "little")
     width = _BITS // 8
     planes = np.frombuffer(pa.decompress(blob[4:], n * (width + 2), "zstd", asbytes=True), np.uint8).reshape(width + 2, n)
-    steps = np.zeros((n, 8), np.uint8)
-    steps[:, :width] = planes[:width].T
-    documents = np.ascontiguousarray(planes[width:].T).view("<u2").ravel()
-    return np.cumsum(steps.view(U64).ravel(), dtype=U64), documents.astype(np.int64)
+    values = np.zeros((n, 8), np.uint8)
+    values[:, :width] = planes[:width].T
+    steps = np.ascontiguousarray(planes[width:].T).view("<u2").ravel()
+    return values.view(U64).ravel(), np.cumsum(steps, dtype=np.int64)
 
 
 def _batch(bucket, row, ids, n, blobs) -> pa.RecordBatch:
