@@ -45,6 +45,7 @@ def test_numbered_lines(spark, write, tmp_path):
     assert sorted((r["doc_id"], r["line_no"], r["n_lines"], r["line"]) for r in rows) == [
         ("a%20one+two.txt", 0, 2, "x"), ("a%20one+two.txt", 1, 2, "y"), ("b.txt", 0, 1, "z"),
     ]
+    assert sorted(corpus.read_names(spark, str(tmp_path / "c")).collect()) == [("a%20one+two.txt",), ("b.txt",)]
     names = {r["doc_id"] for r in corpus.read_lines(spark, str(tmp_path / "c")).collect()}
     assert names == {r["doc_id"] for r in rows}
 

@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wordloom.operators import cooccurrence as cooc
 from wordloom.operators import frequencies as freq
 from wordloom.operators import vocabulary as vocab
 from wordloom.operators import words
-from wordloom.sources.corpus import read_documents, read_lines, read_numbered_lines
+from wordloom.sources.corpus import read_lines, read_names, read_numbered_lines
 from wordloom.sources.side_files import (
     read_document_frequencies,
     read_stop_patterns,
@@ -101,7 +100,7 @@ def tf_idf(
     rows = freq.weighted_rows(rows) if running else rows
     ranked = read_document_frequencies(spark, frequencies)
     if n_docs is None:
-        n_docs = freq.document_count(read_documents(spark, corpus).select(F.lit(1)))
+        n_docs = freq.document_count(read_names(spark, corpus))
     rows = freq.stemmed(rows) if stem else rows
     score = freq.sparse_tf_idf if sparse else freq.tf_idf
     write_scores(score(rows, ranked, n_docs, small=vocab.is_listed(ranked), whole_documents=False), output)

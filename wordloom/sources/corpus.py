@@ -30,6 +30,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("_metadata.file_name").alias("doc_id"), F.col("value").alias("text"))
 
 
+def read_names(spark: SparkSession, path: str) -> DataFrame:
+    """Directory of files -> (doc_id), without reading any."""
+    return spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_name").alias("doc_id"))
+
+
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Directory of text files -> (doc_id, line_no, n_lines, line), also splittable inside large files."""
     lines = numbered_lines(placed_lines(spark, path), per_file=True)
