@@ -9,7 +9,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from wordloom.llm import chat, html_blocks, html_text, mixing, ngram_join, quality, queries, secrets, substrings, url_filters
+from wordloom.llm import chat, html_blocks, html_text, line_runs, mixing, ngram_join, quality, queries, secrets, substrings, url_filters
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -127,6 +127,22 @@ def test_slots_take_each_block_once_per_pass(spark):
     assert mixing.shard_counts(dealt).agg(F.sum("n")).first()[0] == dealt.count() == 164
 
 
+# op3
+
+
+def test_maximal_runs(spark, documents):
+    folder = documents("a\nb\nc\nd\ne\nf\ng", "x\nb\nc\nd\ne\nf\ny\nf\ng", "p\np\np\np", "x\nb\nc\nz")
+    rows = line_runs.numbered(spark.read.parquet(f"{folder}/documents.parquet").coalesce(1).orderBy("doc_id").select("doc_id", "text").checkpoint())
+    levels = line_runs.suffix_levels(line_runs.line_ids(rows))
+    assert [depth for depth, _ in levels] == [1, 2, 4]
+    doc = {r["row"]: r["doc_id"] for r in rows.collect()}
+    runs = line_runs.maximal_runs(line_runs.copies(levels)).collect()
+    found = sorted((doc[r["row"]], r["line"], doc[r["of_row"]], r["of_line"], r["n_lines"]) for r in runs)
+    assert found == [(1, 1, 0, 1, 5), (1, 7, 0, 5, 2), (2, 1, 2, 0, 2), (2, 2, 2, 0, 2), (3, 0, 1, 0, 2), (3, 1, 0, 1, 2)]
+    names = [r["name"] for r in levels[0][1].join(rows.select("row", "doc_id"), "row").orderBy("name").collect()]
+    assert names == sorted(names)
+
+
 # op4
 
 

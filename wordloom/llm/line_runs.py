@@ -19,7 +19,7 @@ of the table. The input has to be a table, or cut (`stored.cut`), as rows are nu
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordloom.llm.stored import cut
@@ -91,6 +91,23 @@ def copies(levels: list[tuple[int, DataFrame]], min_lines: int = MIN_LINES) -> D
     return found
 
 
+def maximal_runs(found: DataFrame) -> DataFrame:
+    """Later copies -> (row, line, of_row, of_line, n_lines): runs that can't be made longer, and where they are first.
+
+    Copies by the same shift that overlap or touch are one run; each window counts for the place where it is first. A partition holds what one document has
+    from one other.
+    """
+    same = Window.partitionBy("row", "of_row", "shift").orderBy("line", "depth")
+    reached = F.max(F.col("line") + F.col("depth")).over(same.rowsBetween(Window.unboundedPreceding, -1))
+    parts = found.withColumn("shift", F.col("of_line") - F.col("line"))
+    parts = parts.withColumn("new", F.when(reached >= F.col("line"), 0).otherwise(1))
+    parts = parts.withColumn("run", F.sum("new").over(same))
+    runs = parts.groupBy("row", "of_row", "shift", "run").agg(
+        F.min("line").alias("line"), (F.max(F.col("line") + F.col("depth")) - F.min("line")).alias("n_lines")
+    )
+    return runs.select("row", "line", "of_row", (F.col("line") + F.col("shift")).alias("of_line"), "n_lines")
+
+
 def deletions(found: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     """Later copies -> (row, starts, copied_run): the lines that go, as the starts of runs of `min_lines`, in order.
 
