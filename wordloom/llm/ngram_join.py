@@ -218,3 +218,29 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op8: (doc_id, n_shingles, component_id) for every row of `documents`."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return joined(numbered(documents)).select("doc_id", "n_shingles", "component_id")
+
+
+SQL = r"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT row_no, array_to_string(w[i:i + 2], ' ') AS shingle
+    FROM (SELECT row_no, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (
+    SELECT row_no, count(*) AS n FROM shingles GROUP BY row_no
+), shared AS (
+    SELECT x.row_no AS a, y.row_no AS b, count(*) AS n FROM shingles x JOIN shingles y USING (shingle)
+    WHERE x.row_no < y.row_no GROUP BY ALL
+), linked AS (
+    SELECT a, b FROM shared s JOIN sizes x ON x.row_no = a JOIN sizes y ON y.row_no = b WHERE 100 * s.n >= 90 * (x.n + y.n - s.n)
+), links AS (
+    SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked
+), reached(a, b) AS (
+    SELECT row_no, row_no FROM docs UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM docs d JOIN reached r ON r.a = d.row_no JOIN docs o ON o.row_no = r.b LEFT JOIN sizes s ON s.row_no = d.row_no
+GROUP BY d.row_no, d.doc_id
+"""

@@ -18,8 +18,11 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_chat_formatting": chat.SQL,
     "op3_line_dedup": line_runs.SQL,
     "op4_url_filters": url_filters.SQL,
     "op6_decontamination": decontamination.SQL,
     "op7_quality_rules": quality.SQL,
+    "op8_ngram_join": ngram_join.SQL,
+    "op9_substring_dedup": substrings.SQL,
 }

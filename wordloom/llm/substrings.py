@@ -250,3 +250,25 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     found = repeated_windows(rows)
     return rows.join(found, "row", "left").select("doc_id", "text", "starts").mapInArrow(_cleaned, RESULT)
+
+
+SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), words AS (
+    SELECT row_no, doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i, len(w) AS n FROM docs
+), runs AS (
+    SELECT row_no, doc_id, i, n, string_agg(word, ' ') OVER (PARTITION BY row_no ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS run
+    FROM words
+), windows AS (
+    SELECT row_no, doc_id, i, min(doc_id) OVER (PARTITION BY run) AS first FROM runs WHERE i + 12 <= n
+), gone AS (
+    SELECT DISTINCT row_no, i + j AS i FROM windows CROSS JOIN (SELECT unnest(range(13)) AS j) WHERE first < doc_id
+), kept AS (
+    SELECT row_no, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+    FROM words ANTI JOIN gone USING (row_no, i)
+    GROUP BY row_no
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (row_no)
+"""
