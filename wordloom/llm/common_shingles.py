@@ -27,7 +27,7 @@ _BITS = 40
 _LOW = U64((1 << _BITS) - 1)  # of a token: what its bucket does not say
 
 PACKED = "bucket int, row bigint, doc_id bigint, n bigint, packed binary"
-PARTS = "row bigint, doc_id bigint, n bigint, token bigint"
+PARTS = "row bigint, doc_id bigint, n bigint, token bigint, known array<bigint>"
 
 # Slice -> (text of each hash, hash), every hash once per text.
 Hashes = Callable[..., tuple[np.ndarray, np.ndarray]]
@@ -120,9 +120,10 @@ def _batch(bucket, row, ids, n, blobs) -> pa.RecordBatch:
     )
 
 
-def _parts(rows, ids, n, tokens) -> pa.RecordBatch:
-    none = lambda x: pa.nulls(len(rows), pa.int64()) if x is None else x
-    return pa.RecordBatch.from_arrays([pa.array(rows), none(ids), none(n), none(tokens)], ["row", "doc_id", "n", "token"])
+def _parts(rows, ids=None, n=None, tokens=None, known=None) -> pa.RecordBatch:
+    none = lambda x, kind=pa.int64(): pa.nulls(len(rows), kind) if x is None else x
+    columns = [pa.array(rows), none(ids), none(n), none(tokens), none(known, pa.list_(pa.int64()))]
+    return pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "n", "token", "known"])
 
 
 def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,18 +145,17 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared &= document != _MOST_ROWS
         if shared.any():
             tokens = (U64(bucket) << U64(_BITS) | value[shared]).view(np.int64)
-            yield _parts(base[shared] + document[shared], None, None, pa.array(tokens))
+            yield _parts(base[shared] + document[shared], tokens=pa.array(tokens))
 
     for batch in batches:
         buckets = batch.column("bucket").to_numpy()
         known = np.flatnonzero(buckets < 0)
         if len(known):
             some = batch.take(pa.array(known))
-            rows = some.column("row").to_numpy()
-            yield _parts(rows, some.column("doc_id"), some.column("n"), None)
             lists = some.column("packed").to_pylist()
-            tokens = np.frombuffer(b"".join(lists), np.int64)
-            yield _parts(np.repeat(rows, [len(x) // 8 for x in lists]), None, None, pa.array(tokens))
+            offsets = np.append(0, np.cumsum([len(x) // 8 for x in lists])).astype(np.int32)
+            tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(lists), np.int64)))
+            yield _parts(some.column("row").to_numpy(), some.column("doc_id"), some.column("n"), known=tokens)
         for i in np.flatnonzero(buckets >= 0):
             if buckets[i] != bucket:
                 yield from flush()
@@ -182,8 +182,10 @@ def shared_tokens(documents: DataFrame, of: Hashes, lower: bool = False) -> Data
     # Rows of documents are dealt evenly, those of buckets meet.
     deal = F.when(F.col("bucket") >= 0, F.col("bucket").cast("long")).otherwise(-1 - F.col("row"))
     dealt = packed.repartition(tasks, deal).sortWithinPartitions("bucket")
-    # A document's tokens come from many buckets: dealt as they are, as adding them up before would only make them larger.
+    # What buckets find comes as single tokens: dealt as they are, as adding them up before would only make them larger.
     parts = dealt.mapInArrow(_matched, PARTS).repartition(tasks, "row")
     return parts.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n").alias("n"), F.collect_list("token").alias("tokens")
+        F.max("doc_id").alias("doc_id"),
+        F.max("n").alias("n"),
+        F.concat(F.collect_list("token"), F.flatten(F.collect_list("known"))).alias("tokens"),
     )
