@@ -148,17 +148,15 @@ def ablation(failures: DataFrame, policies: Mapping[str, Sequence[str]] = POLICI
     Of the rows that a policy rejects: how many fail this rule, and how many would be kept
     without it. One aggregation to at most 2^rules bit patterns; the rest works on those.
     """
-    spark: SparkSession = failures.sparkSession
     patterns = failures.groupBy("failures").agg(F.count("*").alias("n"))
-    wanted = spark.createDataFrame(
-        [(p, mask(rules), r, BIT[r]) for p, rules in policies.items() for r in rules],
-        "policy string, mask bigint, rule string, bit bigint",
-    )
+    wanted = F.array(*[
+        F.struct(F.lit(p).alias("policy"), F.lit(mask(rules)).alias("mask"), F.lit(r).alias("rule"), F.lit(BIT[r]).alias("bit"))
+        for p, rules in policies.items()
+        for r in rules
+    ])
     hit = F.col("failures").bitwiseAND(F.col("mask"))
     n = lambda condition: F.sum(F.when(condition, F.col("n")).otherwise(0))
-    # Both sides are bounded by the number of rules, whatever the corpus.
-    both = patterns.join(F.broadcast(wanted), F.lit(True))
-    return both.groupBy("policy", "rule").agg(
+    return patterns.select("failures", "n", F.inline(wanted)).groupBy("policy", "rule").agg(
         n(hit != 0).alias("rejected"),
         n(F.col("failures").bitwiseAND(F.col("bit")) != 0).alias("by_rule"),
         n(hit == F.col("bit")).alias("only_rule"),
