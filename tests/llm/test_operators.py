@@ -287,6 +287,30 @@ def test_one_document_of_each_group_stays(spark, documents):
     assert sorted(kept.select("doc_id", "text").collect(), key=repr) == sorted([(3, "a B c d e"), (1, "f g h"), (None, None), (2, ""), (2, None)], key=repr)
 
 
+def test_the_stage_links_five_word_shingles_from_80_per_cent(spark, documents):
+    rng = random.Random(8)
+    texts = near_copies(rng, extra=["a b c d", "A b c d", "b c d", "a b c d e f"])
+    base = [f"u{i}" for i in range(200)]
+    texts += [" ".join(base), " ".join("other" if i in (40, 80, 120, 160) else w for i, w in enumerate(base))]
+    ids = rng.sample(range(1000), len(texts))
+    folder = documents(*texts, ids=ids)
+    sets = []
+    for t in texts:
+        w = WORD.findall((t or "").translate(LOWER))
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set())
+    root = list(range(len(sets)))
+    find = lambda x: x if root[x] == x else find(root[x])
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        if sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+            root[find(j)] = find(i)
+    least = {}
+    for i, row in enumerate(ids):
+        least[find(i)] = min(least.get(find(i), row), row)
+    kept = [r["doc_id"] for r in ngram_join.stage(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder).collect()]
+    assert sorted(kept) == sorted(least.values())
+    assert len({ids[-1], ids[-2]} & set(kept)) == 1
+
+
 # op9
 
 
