@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and a battery of randomness tests for everything else that may be a key.
 
 The patterns of `BASE` give spans of their own. Besides, every run of 20 or more characters of
-`[A-Za-z0-9+/_=-]` is a candidate. Its encoding is inferred: the smallest alphabet of `ALPHABETS` that holds it.
+`[A-Za-z0-9+/_-]` is a candidate; `=` ends a run, so in `NAME=value` both sides are runs and padding belongs to none.
+Where base spans cover a part of a run, what is left on either side counts as runs of its own. The encoding of a candidate is inferred: the smallest alphabet of `ALPHABETS` that holds it.
 Under the hypothesis that its characters are drawn evenly and independently from that alphabet three tests
 apply: chi-squared against the even distribution (exact moments, as tokens are short against the
 alphabet), the number of runs of characters of the same class (upper, lower, digit, other) and of the same half of
@@ -37,9 +38,10 @@ HEX = r"[0-9a-f]{24,}"
 BASE = (("assign", re.compile(ASSIGN, re.I | re.A), 2, 6), ("access", re.compile(ACCESS), 0, 20), ("hex", re.compile(HEX), 0, 24))
 KINDS = (*(kind for kind, *_ in BASE), "random")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+SHORTEST = 20
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-# (name, characters, least length); in rising size. The padding of base64 is not part of a token.
+# (name, characters, least length); in rising size.
 ALPHABETS = (
     ("decimal", _DIGITS, 1 << 30),  # numbers are not secrets
     ("hex", _DIGITS + "abcdef", 20),
@@ -107,6 +109,16 @@ def randomness(token: str, kind: int) -> float:
     return min(1.0, len(ps) / sum(1 / p for p in ps))
 
 
+def _outside(start: int, stop: int, covered: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What of a run lies outside the covered spans, which are in order."""
+    parts = []
+    for a, b in covered:
+        if a > start:
+            parts.append((start, a))
+        start = max(start, b)
+    return [*parts, (start, stop)]
+
+
 def _scanned(text: str) -> dict:
     base = []
     for kind, (_, pattern, group, least) in enumerate(BASE):
@@ -114,18 +126,20 @@ def _scanned(text: str) -> dict:
             if m.end(group) - m.start(group) >= least:
                 base.append((m.start(), kind, m.end()))
     base.sort()
-    tested = []
+    # Base spans start in order, and few are open at a time: those that end before a run are left behind.
+    tested, begun, open_ = [], 0, []
     for m in CANDIDATE.finditer(text):
-        token = m.group().rstrip("=")
-        kind = encoding(token)
-        if kind < 0 or len(token) < ALPHABETS[kind][2]:
-            continue
-        start, stop = m.start(), m.start() + len(token)
-        if any(b < stop and start < e for b, _, e in base):
-            continue  # it is reported already
-        bin_ = min(BINS - 1, int(-4 * np.log10(randomness(token, kind))))
-        length = min(LENGTH_BITS - 1, len(token).bit_length())
-        tested.append((start, len(BASE), stop, kind * LENGTH_BITS + length, bin_))
+        while begun < len(base) and base[begun][0] < m.end():
+            open_.append((base[begun][0], base[begun][2]))
+            begun += 1
+        open_ = [x for x in open_ if x[1] > m.start()]
+        for start, stop in _outside(m.start(), m.end(), open_):
+            token = text[start:stop]
+            if len(token) < SHORTEST or len(token) < ALPHABETS[kind := encoding(token)][2]:
+                continue
+            bin_ = min(BINS - 1, int(-4 * np.log10(randomness(token, kind))))
+            length = min(LENGTH_BITS - 1, len(token).bit_length())
+            tested.append((start, len(BASE), stop, kind * LENGTH_BITS + length, bin_))
     return {
         "base": [dict(zip(("start", "kind", "stop"), b)) for b in base],
         "tested": [dict(zip(("start", "kind", "stop", "stratum", "bin"), t)) for t in tested],
