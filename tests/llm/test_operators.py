@@ -143,6 +143,40 @@ def test_maximal_runs(spark, documents):
     assert names == sorted(names)
 
 
+def brute_content(texts, least):
+    """Lines outside all runs that have so many words and stand earlier, too; documents in order."""
+    lines = [t.split("\n") if t else [] for t in texts]
+    seen, out = set(), []
+    for own in lines:
+        gone = set()
+        for i in range(len(own)):
+            for j in range(i + 1, len(own) + 1):
+                if sum(len(x.split()) for x in own[i:j]) >= least:
+                    run = tuple(own[i:j])
+                    if run in seen:
+                        gone.update(range(i, j))
+                    seen.add(run)
+        out.append([x for i, x in enumerate(own) if i not in gone])
+    return out
+
+
+def test_the_stage_deletes_runs_by_their_words(spark, documents):
+    rng = random.Random(11)
+    passage = " ".join(f"p{i}" for i in range(60))
+    pool = ["", "", " ", "a b", "c d e", "f g h i", "k l m n o p", "one two three four five six seven eight nine ten eleven"]
+    texts = [f"x\n{passage}\ny", f"z\n{passage}\nw", passage, "q\n\n\nr", "s\n\n\nt", None, ""]
+    texts += ["\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 14))) for _ in range(80)]
+    docs = spark.read.parquet(f"{documents(*texts)}/documents.parquet")
+    found = {r["doc_id"]: r["text"] for r in line_runs.stage(spark, docs, "").collect()}
+    expected = brute_content(texts, line_runs.LEAST_WORDS)
+    for i, (text, lines) in enumerate(zip(texts, expected)):
+        if text and not lines:
+            assert i not in found
+        else:
+            assert found[i] == ("\n".join(lines) if text else text), i
+    assert found[1] == "z\nw" and 2 not in found and found[4] == "s\n\n\nt"
+
+
 # op4
 
 

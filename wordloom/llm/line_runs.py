@@ -10,6 +10,12 @@ Suffixes with the same name at a depth are an interval of the suffix array whose
 that many lines. Its first member, by document id, row and line, stays; the lines of the
 others are later copies. Every maximal repeated run of `MIN_LINES` lines or more is the union of the
 intervals of that depth along it, so deleting their later copies deletes its later copies, and no line else.
+That is the rule of the query, as its SQL states it.
+
+The pipeline's stage goes by content instead: of every repeated run of one line or more that has `LEAST_WORDS` words
+over its lines the later copies go, and runs with fewer are left alone, however many lines they have; blank lines count nothing.
+Such a run is the union of the least runs along it, those that have fewer words without their last or without their first line.
+A least run of any length is named by two names at the largest power of two in it, one from its start and one up to its end.
 
 Lines are what stands between two `\\n`, compared exactly (two independent hashes of 64 bits); blank ones
 count. Null and empty texts have no lines. A run may repeat within a document, also with overlap: what starts
@@ -19,22 +25,27 @@ of the table. The input has to be a table, or cut (`stored.cut`), as rows are nu
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wordloom.llm.mixing import word_count
 from wordloom.llm.stored import cut
 
-# Runs of fewer lines are left alone; a power of two.
+# The query leaves runs of fewer lines alone; a power of two.
 MIN_LINES = 2
+# The stage leaves runs of fewer words alone.
+LEAST_WORDS = 10
 
 POSITION = ["row", "line"]
 
 
+def _lines(text: Column) -> Column:
+    return F.when(text != "", F.split(text, "\n", -1)).otherwise(F.array().cast("array<string>"))
+
+
 def numbered(documents: DataFrame) -> DataFrame:
     """(doc_id, text) -> (row, doc_id, lines): what a row is found again by, and its lines."""
-    text = F.col("text")
-    lines = F.when(text != "", F.split(text, "\n", -1)).otherwise(F.array().cast("array<string>"))
-    return documents.withColumns({"row": F.monotonically_increasing_id(), "lines": lines})
+    return documents.withColumns({"row": F.monotonically_increasing_id(), "lines": _lines(F.col("text"))})
 
 
 def line_ids(rows: DataFrame) -> DataFrame:
@@ -44,8 +55,8 @@ def line_ids(rows: DataFrame) -> DataFrame:
     return exploded.select("row", "line", "doc_id", identity.alias("name"))
 
 
-def _ranked(named: DataFrame) -> DataFrame:
-    """(row, line, doc_id, name) -> the same for names that occur twice, `name` replaced by its rank.
+def _ranked(named: DataFrame, *more: str) -> DataFrame:
+    """(row, line, doc_id, name, ...) -> the same for names that occur twice, `name` replaced by its rank.
 
     Ranks follow the order of the names but leave gaps. Counting comes first, so a name of any frequency is a row
     per task before it is one row; the join back spreads over tasks what has a frequent name.
@@ -55,7 +66,7 @@ def _ranked(named: DataFrame) -> DataFrame:
     ranked = groups.orderBy("name").select("name", "first", F.monotonically_increasing_id().alias("rank"))
     found = named.join(ranked, "name")
     later = (F.col("row") != F.col("first.row")) | (F.col("line") != F.col("first.line"))
-    return found.select("row", "line", "doc_id", F.col("rank").alias("name"), later.alias("later"), "first")
+    return found.select("row", "line", "doc_id", F.col("rank").alias("name"), later.alias("later"), "first", *more)
 
 
 def suffix_levels(lines: DataFrame, most_lines: int | None = None) -> list[tuple[int, DataFrame]]:
@@ -108,48 +119,115 @@ def maximal_runs(found: DataFrame) -> DataFrame:
     return runs.select("row", "line", "of_row", (F.col("line") + F.col("shift")).alias("of_line"), "n_lines")
 
 
+def least_runs(rows: DataFrame, least_words: int) -> DataFrame:
+    """Numbered rows -> (row, line, n): runs of n lines with so many words, and fewer without their last or their first line.
+
+    Windows hold what one document has: where each line starts, in words, beside the places that are so many words further on or back.
+    """
+    words = rows.select("row", F.posexplode(F.concat("lines", F.array(F.lit("")))).alias("line", "text"))
+    words = words.select("row", "line", word_count(F.col("text")).alias("words"))
+    before = Window.partitionBy("row").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    starts = words.select("row", "line", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("at"))
+    events = starts.select(
+        "row",
+        "line",
+        F.explode(F.array(*[F.struct((F.col("at") + F.lit(k * least_words)).alias("at"), F.lit(k).alias("k")) for k in (-1, 0, 1)])).alias("e"),
+    ).select("row", "line", "e.at", "e.k")
+    line = F.when(F.col("k") == 0, F.col("line"))
+    place = F.when(F.col("k") == 0, 0).otherwise(1)  # lines that start at the same word come before those who ask
+    onward = Window.partitionBy("row").orderBy(F.desc("at"), place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    back = Window.partitionBy("row").orderBy("at", place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    events = events.select("row", "line", "k", F.min(line).over(onward).alias("stop"), F.max(line).over(back).alias("start"))
+    begin = F.when(F.col("k") == 1, F.col("line")).when(F.col("k") == -1, F.col("start"))
+    end = F.when(F.col("k") == 1, F.col("stop")).when(F.col("k") == -1, F.col("line"))
+    return events.select("row", begin.alias("line"), (end - begin).alias("n")).where("n > 0").distinct()
+
+
+def content_copies(rows: DataFrame, levels: list[tuple[int, DataFrame]], least_words: int = LEAST_WORDS) -> DataFrame:
+    """-> (row, line, n): later copies of runs with so many words, which together cover all later copies of longer runs."""
+    runs = least_runs(rows, least_words).withColumn("depth", F.expr("shiftleft(1, length(bin(n)) - 1)"))
+    names = None
+    for depth, level in levels:
+        here = level.select(*POSITION, F.lit(depth).alias("depth"), "doc_id", "name")
+        names = here if names is None else names.union(here)
+    ends = names.select("row", F.col("line").alias("last"), "depth", F.col("name").alias("up_to"))
+    runs = runs.join(names, [*POSITION, "depth"]).withColumn("last", F.col("line") + F.col("n") - F.col("depth"))
+    runs = runs.join(ends, ["row", "last", "depth"])
+    name = F.struct("n", F.col("name").alias("a"), F.col("up_to").alias("b"))
+    return _ranked(runs.select(*POSITION, "doc_id", name.alias("name"), "n"), "n").where("later").select(*POSITION, "n")
+
+
 def deletions(found: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """Later copies -> (row, starts, copied_run): the lines that go, as the starts of runs of `min_lines`, in order.
+    """Later copies -> (row, spans, copied_run): the lines that go, as (start, stop) of runs of `min_lines`, in order.
 
-    All starts of a row are one array, at most one per line of the document.
+    All spans of a row are one array, at most one per line of the document.
     """
-    starts = F.array_sort(F.collect_list(F.when(F.col("depth") == min_lines, F.col("line"))))
-    return found.groupBy("row").agg(starts.alias("starts"), F.max("depth").alias("copied_run"))
+    span = F.struct(F.col("line").alias("start"), (F.col("line") + min_lines).alias("stop"))
+    spans = F.array_sort(F.collect_list(F.when(F.col("depth") == min_lines, span)))
+    return found.groupBy("row").agg(spans.alias("spans"), F.max("depth").alias("copied_run"))
+
+
+def content_deletions(found: DataFrame) -> DataFrame:
+    """Later copies of `content_copies` -> (row, spans), at most two spans per line of the document."""
+    span = F.struct(F.col("line").alias("start"), (F.col("line") + F.col("n")).alias("stop"))
+    return found.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
 
-def _kept(min_lines: int):
-    """Lines outside all deleted runs: what lies between the end of one run and the start of the next."""
-    starts = F.coalesce("starts", F.array().cast("array<int>"))
-    ends = F.concat(F.array(F.lit(0)), F.transform(starts, lambda s: s + min_lines))
-    begins = F.concat(starts, F.array(F.size("lines")))
+NO_SPANS = "array<struct<start: int, stop: int>>"
+
+
+def _kept() -> Column:
+    """Lines outside all deleted runs: what lies between the end of one run and the start of the next.
+
+    In order of their start runs are in order of their end as well, as none holds another one.
+    """
+    spans = F.coalesce("spans", F.array().cast(NO_SPANS))
+    ends = F.concat(F.array(F.lit(0)), spans["stop"])
+    begins = F.concat(spans["start"], F.array(F.size("lines")))
     gaps = F.zip_with(ends, begins, lambda e, b: F.slice("lines", e + 1, F.greatest(b - e, F.lit(0))))
     return F.flatten(gaps)
 
 
+def _table(documents: DataFrame) -> DataFrame:
+    """(text, doc_id, ...) -> (row, doc, doc_id, lines), `doc` being the row as a struct."""
+    rows = documents.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
+    return rows.select("row", "doc", F.col("doc.doc_id").alias("doc_id"), _lines(F.col("doc.text")).alias("lines"))
+
+
 def without_copies(documents: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     """(text, doc_id, ...) -> (doc, kept_lines, n_lines, n_removed, copied_run), `doc` being the row as a struct.
 
     `copied_run` is the largest power of two such that so many consecutive lines of the document start
     earlier elsewhere, 0 if none of `min_lines` does.
     """
-    base = documents.select(F.struct("*").alias("doc"), F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
-    rows = numbered(base)
+    rows = _table(documents)
     found = copies(suffix_levels(line_ids(rows)), min_lines)
-    held = rows.select("row", "doc", "lines")
     if found is None:
-        held = held.withColumns({"starts": F.array().cast("array<int>"), "copied_run": F.lit(0)})
+        held = rows.withColumns({"spans": F.array().cast(NO_SPANS), "copied_run": F.lit(0)})
     else:
-        held = held.join(deletions(found, min_lines), "row", "left")
-    kept = held.select("doc", "lines", _kept(min_lines).alias("kept_lines"), F.coalesce("copied_run", F.lit(0)).alias("copied_run"))
+        held = rows.join(deletions(found, min_lines), "row", "left")
+    kept = held.select("doc", "lines", _kept().alias("kept_lines"), F.coalesce("copied_run", F.lit(0)).alias("copied_run"))
     n_lines = F.size("lines").cast("long")
     return kept.select(
         "doc", "kept_lines", n_lines.alias("n_lines"), (n_lines - F.size("kept_lines")).alias("n_removed"), F.col("copied_run").cast("long").alias("copied_run")
     )
 
 
+def without_content_copies(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """(text, doc_id, ...) -> (doc, kept_lines, n_removed), without later copies of runs with so many words."""
+    rows = _table(documents)
+    levels = suffix_levels(line_ids(rows))
+    if levels:
+        held = rows.join(content_deletions(content_copies(rows, levels, least_words)), "row", "left")
+    else:
+        held = rows.withColumn("spans", F.array().cast(NO_SPANS))
+    kept = held.select("doc", "lines", _kept().alias("kept_lines"))
+    return kept.select("doc", "kept_lines", (F.size("lines") - F.size("kept_lines")).alias("n_removed"))
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of line runs; `n_chars` follows. A document that loses every line goes."""
-    held = without_copies(docs).where("n_removed = 0 OR size(kept_lines) > 0")
+    """Documents without later copies of line runs that have `LEAST_WORDS` words; `n_chars` follows. A document that loses every line goes."""
+    held = without_content_copies(docs).where("n_removed = 0 OR size(kept_lines) > 0")
     text = F.when(F.col("n_removed") == 0, F.col("doc.text")).otherwise(F.array_join("kept_lines", "\n"))
     held = held.withColumn("text", text)
     own = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
