@@ -177,6 +177,28 @@ def test_the_stage_deletes_runs_by_their_words(spark, documents):
     assert found[1] == "z\nw" and 2 not in found and found[4] == "s\n\n\nt"
 
 
+def test_numbers_of_rows_do_not_depend_on_later_scans(spark, documents, monkeypatch):
+    texts = [f"only {i}\nshared line one of all the documents\nshared line two\nend {i}" for i in range(64)]
+    folder = documents(*texts)
+    spark.read.parquet(f"{folder}/documents.parquet").repartition(8, "doc_id").write.parquet(f"{folder}/dealt.parquet")
+    docs = spark.read.parquet(f"{folder}/dealt.parquet")
+    levels = line_runs.suffix_levels
+
+    def then_cut_otherwise(lines):
+        found = levels(lines)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        return found
+
+    monkeypatch.setattr(line_runs, "suffix_levels", then_cut_otherwise)
+    try:
+        found = {r["doc"]["doc_id"]: r["kept_lines"] for r in line_runs.without_copies(docs).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == {i: texts[i].split("\n") if i == 0 else [f"only {i}", f"end {i}"] for i in range(64)}
+
+
 # op4
 
 
@@ -345,6 +367,27 @@ def test_the_stage_links_five_word_shingles_from_80_per_cent(spark, documents):
     assert len({ids[-1], ids[-2]} & set(kept)) == 1
 
 
+def test_the_stage_numbers_its_rows_once(spark, documents, monkeypatch):
+    texts = [f"{' '.join(f'd{i // 2}w{j}' for j in range(30))}" for i in range(64)]
+    folder = documents(*texts)
+    spark.read.parquet(f"{folder}/documents.parquet").repartition(8, "doc_id").write.parquet(f"{folder}/dealt.parquet")
+    docs = spark.read.parquet(f"{folder}/dealt.parquet")
+    components = ngram_join.components
+
+    def then_cut_otherwise(pairs):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        return components(pairs)
+
+    monkeypatch.setattr(ngram_join, "components", then_cut_otherwise)
+    try:
+        kept = sorted(r["doc_id"] for r in ngram_join.stage(spark, docs, folder).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert kept == list(range(0, 64, 2))
+
+
 # op9
 
 

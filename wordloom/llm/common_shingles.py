@@ -42,12 +42,21 @@ def distinct_pairs(text: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np
     return text[new], hashes[new]
 
 
+def _pieces(n: int, gaps: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Bounds of what lies between gaps, in pieces of at most `_MOST_ROWS` rows."""
+    for a, b in zip([0, *gaps.tolist()], [*gaps.tolist(), n]):
+        for begin in range(a, b, _MOST_ROWS):
+            yield begin, min(b, begin + _MOST_ROWS)
+
+
 def _packer(of: Hashes, bits: int, lower: bool):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, ids = batch.column("row").to_numpy(), batch.column("doc_id")
-            for begin in range(0, batch.num_rows, _MOST_ROWS):
-                part = batch.column("text").slice(begin, _MOST_ROWS)
+            # A slice is rows numbered without gaps: other files, or partitions strung together, begin another one.
+            gaps = np.flatnonzero(np.diff(rows) != 1) + 1
+            for begin, end in _pieces(batch.num_rows, gaps):
+                part = batch.column("text").slice(begin, end - begin)
                 for s in slices(part, lower=lower, limit=SLICE_BYTES):
                     at = begin + s.first
                     yield from _slice(s, rows[at : at + s.n], ids.slice(at, s.n))
@@ -172,7 +181,7 @@ def token_bits(spark: SparkSession) -> int:
 
 
 def shared_tokens(documents: DataFrame, of: Hashes, lower: bool = False) -> DataFrame:
-    """(row, doc_id, text), rows numbered without gaps in each partition -> (row, doc_id, n, tokens), a row per document.
+    """(row, doc_id, text), rows numbered, best without gaps -> (row, doc_id, n, tokens), a row per document.
 
     `n` is the number of distinct hashes of the document, `tokens` those that another row has too, unordered.
     """

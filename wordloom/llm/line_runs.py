@@ -20,7 +20,7 @@ A least run of any length is named by two names at the largest power of two in i
 Lines are what stands between two `\\n`, compared exactly (two independent hashes of 64 bits); blank ones
 count. Null and empty texts have no lines. A run may repeat within a document, also with overlap: what starts
 later goes. Rows that repeat a whole document are later copies of it. Documents with equal ids keep the order
-of the table. The input has to be a table, or cut (`stored.cut`), as rows are numbered by their place in it.
+of the table. Rows are numbered once, and written with their numbers before they are used twice.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordloom.llm.mixing import word_count
-from wordloom.llm.stored import cut
+from wordloom.llm.stored import cut, kept_as_table
 
 # The query leaves runs of fewer lines alone; a power of two.
 MIN_LINES = 2
@@ -189,8 +189,11 @@ def _kept() -> Column:
 
 
 def _table(documents: DataFrame) -> DataFrame:
-    """(text, doc_id, ...) -> (row, doc, doc_id, lines), `doc` being the row as a struct."""
-    rows = documents.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
+    """(text, doc_id, ...) -> (row, doc, doc_id, lines), `doc` being the row as a struct.
+
+    The numbers are written with the rows: a second scan may be cut into other partitions, which number them otherwise.
+    """
+    rows = kept_as_table(documents.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")))
     return rows.select("row", "doc", F.col("doc.doc_id").alias("doc_id"), _lines(F.col("doc.text")).alias("lines"))
 
 

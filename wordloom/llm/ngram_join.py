@@ -18,7 +18,7 @@ its one shingle, and without words the set is empty and linked with nothing. Two
 Nothing is left out: a pair is skipped only if it can't be linked or is connected already, which changes no component.
 No list is collected, and no pair of equal documents is written. Repeated rows and equal ids are documents by
 themselves. Shingles are compared by 54 to 64 bits of their hashes. Columns other than `doc_id` and `text` stay outside.
-The input has to be a table, or cut, as rows are numbered by their place in it.
+Rows are numbered by their place in one scan; the stage, which needs them again, writes them with their numbers first.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.common_shingles import shared_tokens
 from wordloom.llm.components import components
-from wordloom.llm.stored import cut
+from wordloom.llm.stored import cut, kept_as_table
 from wordloom.llm.wordspans import Slice, shingle_hashes, shingle_starts
 
 # Fixed values of the query, and those of the pipeline's stage.
@@ -212,10 +212,11 @@ def numbered(documents: DataFrame) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component: the one with the smallest id, and of those the first row."""
-    found = joined(numbered(docs), STAGE_WORDS, STAGE_LEAST)
+    # The numbers are written with the rows: a second scan may be cut into other partitions, which number them otherwise.
+    rows = kept_as_table(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")))
+    found = joined(rows.select("row", "doc.doc_id", "doc.text"), STAGE_WORDS, STAGE_LEAST)
     known = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")
     kept = found.groupBy("component").agg(F.min(known).alias("kept")).select(F.col("kept.row").alias("row"))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
     return rows.join(kept, "row", "left_semi").select("doc.*")
 
 
