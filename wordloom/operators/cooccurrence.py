@@ -92,9 +92,9 @@ def pair_keys(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.concat_ws(",", "w1", "w2").alias("pair"), "n")
 
 
-def sparse_stripes(directed: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def sparse_stripes(directed: DataFrame, vocabulary: DataFrame, small: bool = False) -> DataFrame:
     """(w1, w2, n) -> (word, idx, n): the cells of the stripes that are not 0, for any vocabulary."""
-    place = lexicographic_index(vocabulary).withColumnRenamed("word", "w2")
+    place = lexicographic_index(vocabulary, small).withColumnRenamed("word", "w2")
     return directed.join(place, "w2").select(F.col("w1").alias("word"), "idx", "n")
 
 
@@ -109,12 +109,12 @@ def stripes(directed: DataFrame, vocabulary: DataFrame) -> DataFrame:
     zeros = lambda n: F.array_repeat(F.lit(0).cast("long"), n)
 
     def dense(entries, width):
-        places = F.transform(entries, lambda e: e["idx"])
+        places = F.transform(entries, lambda e: e["idx"].cast("int"))
         gaps = F.zip_with(places, F.concat(F.array(F.lit(-1)), places), lambda i, last: i - last - 1)
         filled = F.zip_with(F.slice(gaps, F.lit(1), F.size(entries)), entries, lambda gap, e: F.concat(zeros(gap), F.array(e["n"])))
         return F.concat(F.flatten(filled), zeros(width - F.element_at(places, -1) - 1))
 
-    grouped = sparse_stripes(directed, vocabulary).groupBy("word").agg(cells.alias("cells")).withColumn("width", width)
+    grouped = sparse_stripes(directed, vocabulary, small=True).groupBy("word").agg(cells.alias("cells")).withColumn("width", width)
     return grouped.select("word", bound(F.col("cells"), lambda c: dense(c, F.col("width"))).alias("stripe"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordloom.operators.numbering import numbered
+
 # What may be called small: a vocabulary up to this size is broadcast, as a filter in
 # front of the aggregation. Beyond it, or where nothing is known, counting comes first
 # and the lookup shuffles the counted rows.
@@ -21,18 +23,16 @@ def top_k(counts: DataFrame, k: int, word: str = "word", n: str = "n") -> DataFr
     return counts.orderBy(F.desc(n), F.asc(word)).limit(k)
 
 
-def lexicographic_index(vocabulary: DataFrame) -> DataFrame:
-    """(word) -> (word, idx), idx from 0 in word order, for a vocabulary of any size.
+def lexicographic_index(vocabulary: DataFrame, small: bool = False) -> DataFrame:
+    """(word) -> (word, idx), idx from 0 in word order.
 
-    Words are numbered within their first two characters, and those prefixes among each other.
+    A `small` vocabulary is numbered in one go. One of any size is cut into ranges of words at places
+    taken from a sample; the words of a range are numbered together, whatever they begin with.
     """
-    words = vocabulary.select("word", F.substring("word", 1, 2).alias("prefix")).distinct()
-    sizes = words.groupBy("prefix").agg(F.count("*").alias("size"))
-    before = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("prefix", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    within = F.row_number().over(Window.partitionBy("prefix").orderBy("word")) - 1
-    numbered = words.withColumn("within", within).join(offsets, "prefix")
-    return numbered.select("word", (F.col("offset") + F.col("within")).cast("int").alias("idx"))
+    words = vocabulary.select("word").distinct()
+    if small:
+        return words.select("word", (F.row_number().over(Window.orderBy("word")) - 1).cast("long").alias("idx"))
+    return numbered(words, ["word"]).select("word", F.col("place").alias("idx"))
 
 
 def rank_index(frequencies: DataFrame, k: int) -> DataFrame:

@@ -111,7 +111,13 @@ def cooc_directed_rollup(corpus: DataFrame, d=2) -> DataFrame:
 
 def stripes_sparse(corpus: DataFrame, d=2) -> DataFrame:
     vocabulary = top_words(corpus)
-    return cooc.sparse_stripes(cooc.directed_counts(token_lines(corpus), vocabulary, d, SMALL), vocabulary)
+    cells = cooc.sparse_stripes(cooc.directed_counts(token_lines(corpus), vocabulary, d, SMALL), vocabulary, SMALL)
+    return cells.withColumn("idx", F.col("idx").cast("int"))
+
+
+def vocab_index(corpus: DataFrame) -> DataFrame:
+    """As many words as fit an int."""
+    return vocab.lexicographic_index(top_words(corpus), SMALL).withColumn("idx", F.col("idx").cast("int"))
 
 
 def stripes_dense(corpus: DataFrame, d=1, strip_vocabulary=False) -> DataFrame:
@@ -187,7 +193,7 @@ def all_queries() -> dict:
         "word_count_sorted_tsv": lambda c: sorted_tsv(counts(c)),
         "top50_words": top_words,
         "top50_words_stripped": lambda c: top_words(c, strip=True),
-        "vocab_index": lambda c: vocab.lexicographic_index(top_words(c)),
+        "vocab_index": vocab_index,
         "vocab_positions": vocab_positions,
         "cooc_events": cooc_events,
         "cooc_pairs_key": lambda c: cooc.pair_keys(cooc_pairs(c)),

@@ -62,9 +62,10 @@ def stripes(
     if not sparse and not vocab.is_listed(known, "word"):
         raise ValueError(f"{vocabulary} is too large for dense stripes; write sparse ones")
     lines = _token_lines(spark, corpus, stop_files, case_sensitive)
-    directed = cooc.directed_counts(lines, known, d, small=vocab.is_small(known))
+    small = vocab.is_small(known)
+    directed = cooc.directed_counts(lines, known, d, small)
     if sparse:
-        cells = cooc.sparse_stripes(directed, known).orderBy("word", "idx")
+        cells = cooc.sparse_stripes(directed, known, small).orderBy("word", "idx")
         write_lines(cells.select(tab_line("word", "idx", "n").alias("line")), output)
     else:
         write_lines(sorted_tsv(cooc.stripe_text(cooc.stripes(directed, known)), "word", "stripe"), output)
