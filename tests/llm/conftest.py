@@ -4,6 +4,7 @@ SCHEMAS = {
     "documents": "doc_id long, text string, lang string, source string, n_chars long",
     "pages": "page_id long, url string, html string",
     "benchmark": "item_id long, text string",
+    "embeddings": "vec_id long, embedding array<float>, label int",
     "conversations": "conv_id long, turn long, role string, text string",
 }
 

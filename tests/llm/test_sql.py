@@ -34,7 +34,7 @@ URLS = [
 def compare(spark, folder, name, file="{}.parquet"):
     found = queries.QUERIES[name](spark, folder).toPandas()
     database = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "conversations"):
+    for table in ("documents", "pages", "benchmark", "conversations", "embeddings"):
         database.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{file.format(table)}'")
     expected = database.execute(queries.SQL[name]).df()
     columns = sorted(found.columns)
@@ -53,7 +53,9 @@ def test_smallest_tables(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_odd_rows(spark, tables, name):
     rows = [(i, t, "en", "s", 0) for i, t in enumerate(ODD)] + [(None, "line one\nline two", None, None, None)]
-    folder = tables(documents=rows, benchmark=ITEMS, pages=[(i, u, "") for i, u in enumerate(URLS)] + [(None, URLS[6], None), (3, URLS[6], "")])
+    vectors = [(i, [0.1 * (i % 7), -0.02 * i, 1.0][: 3 - i % 5 % 3], i % 3) for i in range(40)] + [(100, None, 1), (200, [None], 1), (300, [float("nan")], 1)]
+    vectors += [(100, [0.3, 0.1, 0.9], 1), (100, [0.3, 0.1, 0.9], 1), (None, [1.0], 1), (4, [1.0], None), (700, [], 9), (-100, [0.2, 0.2, -1.0], -5)]
+    folder = tables(documents=rows, embeddings=vectors, benchmark=ITEMS, pages=[(i, u, "") for i, u in enumerate(URLS)] + [(None, URLS[6], None), (3, URLS[6], "")])
     found = compare(spark, folder, name, "{}.parquet/*.parquet")
     assert isinstance(found, pd.DataFrame)
 
@@ -65,4 +67,4 @@ def test_empty_tables(spark, tables, name):
 
 
 def test_a_query_for_every_operator():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wordloom.llm import chat, decontamination, html_text, line_runs, mixing, ngram_join, quality, secrets, substrings, url_filters
+from wordloom.llm import chat, decontamination, exact_dedup, hard_negatives, html_text, line_runs, merkle, mixing, ngram_join, quality, secrets, substrings, url_filters
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_ngram_join": ngram_join.query,
     "op9_substring_dedup": substrings.query,
     "op10_secret_scan": secrets.query,
+    "op11_hard_negatives": hard_negatives.query,
+    "op12_merkle_manifest": merkle.query,
+    "op13_exact_dedup": exact_dedup.query,
 }
 
 SQL = {
@@ -25,4 +28,7 @@ SQL = {
     "op7_quality_rules": quality.SQL,
     "op8_ngram_join": ngram_join.SQL,
     "op9_substring_dedup": substrings.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
+    "op12_merkle_manifest": merkle.SQL,
+    "op13_exact_dedup": exact_dedup.SQL,
 }
