@@ -50,6 +50,71 @@ def test_numbered_lines(spark, write, tmp_path):
     assert names == {r["doc_id"] for r in rows}
 
 
+def split_small(spark):
+    """Cut files into blocks of a few bytes, each a partition."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+
+
+@pytest.fixture
+def splits(spark):
+    yield lambda: split_small(spark)
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        spark.conf.unset(f"spark.sql.files.{name}")
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_numbers_stay_when_files_are_cut_in_another_way(spark, write, tmp_path, splits, first):
+    for name in "ab":
+        write(f"c/{name}.txt", "".join(f"{name} line {i}\n" for i in range(200)))
+    write("df", "".join(f"t{i}\t{i % 9}\n" for i in range(300)))
+    if first:
+        splits()
+    numbered = corpus.read_numbered_lines(spark, str(tmp_path / "c"))
+    ranks = side_files.read_document_frequencies(spark, str(tmp_path / "df"))
+    splits()
+    for table in (numbered, ranks):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan text" not in plan  # the files are scanned once, before
+    found = sorted((r["doc_id"], r["line_no"], r["n_lines"], r["line"]) for r in numbered.collect())
+    assert found == [(f"{n}.txt", i, 200, f"{n} line {i}") for n in "ab" for i in range(200)]
+    assert sorted((r["idx"], r["term"], r["df"]) for r in ranks.collect()) == [(i, f"t{i}", i % 9) for i in range(300)]
+
+
+def test_document_frequencies_of_files_in_one_block_and_in_many(spark, write, tmp_path, splits):
+    for i in range(30):
+        write(f"c/{i}.txt", "".join(f"word{j % (i + 1)} running the\n\n" for j in range(i)))
+    corpora = str(tmp_path / "c")
+    jobs.document_frequency(spark, corpora, str(tmp_path / "whole"))
+    whole = read(spark, tmp_path / "whole")
+    assert "run\t29" in whole and "word0\t29" in whole and "word28\t1" in whole and "\t29" in whole
+    blocks = corpus.read_blocks(spark, corpora)
+    assert blocks.where("not whole").count() == 0
+    splits()
+    blocks = corpus.read_blocks(spark, corpora)
+    assert blocks.where("not whole").count() > 0 and blocks.where("whole").count() > 0
+    jobs.document_frequency(spark, corpora, str(tmp_path / "cut"))
+    assert read(spark, tmp_path / "cut") == whole
+
+
+def test_a_cluster_has_to_name_its_shared_folder(spark, monkeypatch):
+    from wordloom.sources import kept
+
+    class Context:
+        master = "spark://somewhere"
+        getCheckpointDir = lambda self: None
+        getConf = lambda self: {}
+
+    class Session:
+        sparkContext = Context()
+
+    class Rows:
+        sparkSession = Session()
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        kept.shared_folder(Rows())
+
+
 def test_stop_lists(spark, write):
     one = write("s1", "a\r\n\r\nde \r\nbeen\r\n\r\na\r\n")
     two = write("s2", "b\na\n")

@@ -1,6 +1,8 @@
 """Document frequency, term frequency and TF-IDF against brute force."""
 
 import math
+import random
+import re
 from collections import Counter
 
 import pytest
@@ -40,8 +42,57 @@ def test_document_frequency(corpus, stem):
         expected.update({same(t) for line in lines for t in line})
     by_row = freq.document_terms(words.token_documents(corpus), stem=stem)
     by_line = freq.document_terms(words.token_lines(words.line_records(corpus)), whole_documents=False, stem=stem)
-    for terms in (by_row, by_line):
-        assert {r["term"]: r["df"] for r in freq.document_frequencies(terms).collect()} == expected
+    tokens = words.token_documents(corpus)
+    for found in (freq.document_frequencies(by_row), freq.document_frequencies(by_line), freq.counted_frequencies(corpus, stem), freq.counted_frequencies(tokens, stem)):
+        assert {r["term"]: r["df"] for r in found.collect()} == expected
+
+
+@pytest.mark.parametrize("stem", [False, True])
+def test_frequencies_of_lines_in_blocks(spark, stem):
+    """Files of many sizes, some cut into blocks that stand in any order; batches of three lines."""
+    from wordloom.functions.porter import porter_stem
+
+    same = porter_stem if stem else str
+    pick = random.Random(5)
+    blocks, expected = [], Counter()
+    for doc in [*range(40), None]:
+        whole = doc is None or pick.random() < 0.6  # parts of one file have its name
+        parts = [[" ".join(pick.choices(["run", "runs", "a", "the", "x'y", ""], k=pick.randrange(5))) for _ in range(pick.randrange(6))] for _ in range(1 if whole else 3)]
+        tokens = {t for part in parts for line in part for t in re.split(r"[^\w']+", line.rstrip()) if line.strip() or line == ""}
+        expected.update({same(t) for t in tokens})
+        blocks += [[(None if doc is None else f"f{doc}", whole, line) for line in part] for part in parts]
+    pick.shuffle(blocks)
+    rows = spark.createDataFrame([row for block in blocks for row in block], "doc_id string, whole boolean, line string").coalesce(1)
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, 3)
+    try:
+        # Neighbouring blocks of one file in one task would be one run; that they are parts is known all the same.
+        found = {r["term"]: r["df"] for r in freq.block_frequencies(rows, stem).collect()}
+    finally:
+        spark.conf.set(limit, before)
+    assert found == expected
+
+
+@pytest.mark.parametrize("running", [False, True])
+@pytest.mark.parametrize("stem", [False, True])
+def test_texts_count_like_their_tokens(spark, corpus, stem, running):
+    top = vocab.rank_index(freq.counted_frequencies(corpus, stem), 4)
+    as_rows = lambda df: sorted(map(tuple, df.collect()))
+    large = as_rows(freq.term_frequencies(corpus, top, False, stem=stem, running=running))
+    assert as_rows(freq.term_frequencies(corpus, top, True, stem=stem, running=running)) == large
+    scores = as_rows(freq.tf_idf(corpus, top, 10, False, stem=stem, running=running))
+    assert as_rows(freq.tf_idf(corpus, top, 10, True, stem=stem, running=running)) == scores
+
+
+def test_a_ranking_that_is_too_large_for_a_list_is_joined(spark, corpus, monkeypatch):
+    top = ranked(corpus)
+    expected = sorted(map(tuple, freq.tf_idf(corpus, top, 10, True).collect()))
+    for name, value in (("LISTED_ROWS", 2), ("LISTED_BYTES", 40)):
+        monkeypatch.setattr(vocab, name, value)
+        assert vocab.listed(top) is None
+        assert sorted(map(tuple, freq.tf_idf(corpus, top, 10, True).collect())) == expected
+        monkeypatch.undo()
 
 
 def test_term_frequency(corpus):

@@ -81,15 +81,22 @@ def test_document_terms_need_no_shuffle_of_their_own(corpus):
 
 
 @pytest.mark.parametrize("stem", [False, True])
-def test_scores_take_no_shuffle_beside_the_terms(corpus, stem):
-    rows = words.token_documents(corpus)
-    terms = freq.document_frequencies(freq.document_terms(rows, stem=stem))
-    ranked = vocab.rank_index(terms, 100)
-    plan = executed(freq.tf_idf(freq.stemmed(rows) if stem else rows, ranked, 100, small=True))
-    assert len(exchanges(plan)) == 1  # that of the vocabulary
-    assert "Join" not in plan
-    assert plan.count("ArrowEvalPython") <= (3 if stem else 1)
-    assert plan.count("split(") == 2  # once for the terms, once for the counts
+@pytest.mark.parametrize("running", [False, True])
+def test_counting_terms_is_one_pass_over_the_texts(corpus, stem, running):
+    ranked = vocab.rank_index(freq.counted_frequencies(corpus, stem), 100)
+    for count in (freq.tf_idf(corpus, ranked, 100, True, stem=stem, running=running), freq.term_frequencies(corpus, ranked, True, stem=stem, running=running)):
+        plan = executed(count)
+        assert exchanges(plan) == [] and "Join" not in plan and "split(" not in plan
+        passes = re.findall(r"ArrowEvalPython \[(.*?)\]", plan)
+        # What goes to the pass is the text alone: the ranking comes by itself.
+        assert len(passes) == 1 and re.fullmatch(r"plain\((lower\()?text#\d+\)+#\d+", passes[0])
+
+
+@pytest.mark.parametrize("stem", [False, True])
+def test_frequencies_shuffle_partial_counts_only(corpus, stem):
+    plan = executed(freq.counted_frequencies(corpus, stem))
+    assert exchanges(plan) == [exchanges(plan)[0]] and "term" in exchanges(plan)[0]
+    assert plan.count("MapInArrow") == 1 and "Generate" not in plan and "partial_sum" in plan
 
 
 def test_tf_queries_take_no_shuffle_beside_the_terms(spark):

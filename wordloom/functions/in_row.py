@@ -6,12 +6,19 @@ exchange. The tokens of a batch are looked up in one pass and counted by row and
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wordloom.functions.batch_tokens import Tokens, listed_tokens, text_tokens
+from wordloom.functions.porter import Stemmer
+from wordloom.functions.stop_patterns import delete_literals
+
 
 def _looked_up(tokens: pa.Array, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """-> (row of each token, its place in the row, index of its word or -1, number of words).
@@ -26,23 +33,100 @@ def _looked_up(tokens: pa.Array, words: pa.Array) -> tuple[np.ndarray, np.ndarra
     return row, place, index, len(known)
 
 
-def word_tally(tokens: Column, weights: Column | None, words: Column) -> Column:
-    """Array with the sum of weights (default 1) of each word of the list among the tokens."""
+# How the rows of a pass give their tokens: `text` is split in the pass, `line` too but is one line, `tokens` are an array.
+SPLIT = {
+    "text": text_tokens,
+    "line": lambda lines: text_tokens(lines, as_lines=True),
+    "tokens": listed_tokens,
+}
 
-    @F.arrow_udf("array<bigint>")
-    def tally(tokens: pa.Array, weights: pa.Array, words: pa.Array) -> pa.Array:
-        row, _, index, k = _looked_up(tokens, words)
+
+def token_column(rows: DataFrame) -> str:
+    return next(c for c in SPLIT if c in rows.columns)
+
+
+def _splitter(column: str, strip: Sequence[str]):
+    """Batch -> Tokens; `strip` are literal patterns to delete first, in that order."""
+    strip = list(strip)
+    return lambda batch: SPLIT[column](delete_literals(batch.column(column), strip))
+
+
+class _Lookup:
+    """Index of tokens in a list of terms, by their stems where `stem`: distinct tokens are looked up once per batch."""
+
+    def __init__(self, terms: Sequence[str], stem: bool):
+        self.terms, self.stemmer = pa.array(terms, pa.string()), Stemmer() if stem else None
+
+    def __call__(self, tokens: pa.Array) -> np.ndarray:
+        """Index of each token or -1."""
+        words, code = distinct(tokens, self.stemmer)
+        return pc.fill_null(pc.index_in(words, value_set=self.terms), -1).to_numpy()[code]
+
+
+def distinct(tokens: pa.Array, stemmer: Stemmer | None = None) -> tuple[pa.Array, np.ndarray]:
+    """-> (the different tokens, or the stems of these; which one each token is)."""
+    coded = tokens.dictionary_encode()
+    words = coded.dictionary
+    words = pa.array(stemmer(words.to_pylist()), pa.string()) if stemmer else words.cast(pa.string())
+    return words, coded.indices.to_numpy(zero_copy_only=False)
+
+
+def term_tally(rows: DataFrame, terms: Broadcast, stem: bool = False, dense: bool = True, running: bool = False) -> Column:
+    """How often each term of the list is among the tokens of a row, or among their stems.
+
+    The list comes to the workers by itself, once, not with the rows. Dense: an array as long as the list; otherwise an array
+    of (idx, tf) for what occurs. `running` weighs a token by the number of lines from its own to the last one, and so
+    does a column `weights` beside the column `tokens`.
+    """
+    kind = "array<bigint>" if dense else "array<struct<idx: int, tf: bigint>>"
+    column = token_column(rows)
+    found: list[_Lookup] = []
+
+    def counts(n: int, tokens: Tokens, weights: np.ndarray | None) -> pa.Array:
+        if not found:
+            found.append(_Lookup(terms.value, stem))
+        k = len(terms.value)
+        index = found[0](tokens.tokens)
         hit = index >= 0
-        at = row[hit] * k + index[hit]
-        if weights.null_count == len(weights):
-            counts = np.bincount(at, minlength=len(tokens) * k)
+        at = tokens.row[hit] * k + index[hit]
+        if weights is None:
+            tally = np.bincount(at, minlength=n * k)
         else:
-            counts = np.zeros(len(tokens) * k, np.int64)
-            np.add.at(counts, at, weights.flatten().to_numpy()[hit])
-        offsets = np.arange(len(tokens) + 1, dtype=np.int32) * k
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(counts, pa.int64()))
+            # Sums in integers: np.bincount adds weights up as doubles.
+            tally = np.zeros(n * k, np.int64)
+            np.add.at(tally, at, weights[hit])
+        if dense:
+            offsets = np.arange(n + 1, dtype=np.int32) * k
+            return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(tally, pa.int64()))
+        at = np.flatnonzero(tally)
+        offsets = np.searchsorted(at, np.arange(n + 1) * k).astype(np.int32)
+        hits = pa.StructArray.from_arrays([pa.array((at % max(k, 1)).astype(np.int32)), pa.array(tally[at], pa.int64())], ["idx", "tf"])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), hits)
+
+    @F.arrow_udf(kind)
+    def plain(rows: pa.Array) -> pa.Array:
+        tokens = text_tokens(rows, weights=True) if running else SPLIT[column](rows)
+        return counts(len(rows), tokens, tokens.lines_left)
+
+    @F.arrow_udf(kind)
+    def weighted(rows: pa.Array, weights: pa.Array) -> pa.Array:
+        return counts(len(rows), SPLIT[column](rows), weights.flatten().to_numpy(zero_copy_only=False))
+
+    return weighted(F.col(column), F.col("weights")) if "weights" in rows.columns else plain(F.col(column))
+
 
-    return tally(tokens, F.lit(None).cast("array<bigint>") if weights is None else weights, words)
+def partial_counts(rows: DataFrame, strip: Sequence[str] = ()) -> DataFrame:
+    """(text), (line) or (tokens) -> (word, n): how often each token occurs in a batch, to be added up."""
+    column = token_column(rows)
+    split = _splitter(column, strip)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, which = distinct(split(batch).tokens)
+            counts = np.bincount(which, minlength=len(words))
+            yield pa.RecordBatch.from_arrays([words, pa.array(counts, pa.int64())], ["word", "n"])
+
+    return rows.select(column).mapInArrow(run, "word string, n long")
 
 
 PAIR = pa.struct([("w1", pa.string()), ("w2", pa.string()), ("n", pa.int64())])
@@ -75,3 +159,74 @@ def pair_tally(tokens: Column, words: Column, d: int, directed: bool) -> Column:
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
 
     return tally(tokens, words)
+
+
+def partial_frequencies(rows: DataFrame, stem: bool = False, by_row: bool = True, strip: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, text) or (doc_id, whole, line) -> (doc_id, term, df): how many documents have a term, counted inside the task.
+
+    Instead of `text` or `line` there may be an array `tokens`. `by_row`: each row is a document. Otherwise rows that follow each other with one id are one, as lines of a file do; the terms of a document go on from
+    batch to batch and are given up at its end. Counts of whole documents have no id, and are to be added up. A document of
+    which a task may have a part only (`whole` is false) gives its id with each of its terms, once per part.
+    """
+    id_type = rows.schema["doc_id"].dataType
+    column = token_column(rows)
+    split = _splitter(column, strip)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stemmer = Stemmer() if stem else None
+        id_kind = pa.null()
+        held: tuple | None = None  # (doc_id, whole, its terms so far)
+
+        def made(ids, terms, counts):
+            listed = zip((ids, terms, counts), (id_kind, pa.string(), pa.int64()))
+            return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in listed], ["doc_id", "term", "df"])
+
+        def given_up(doc_id, whole, terms):
+            return made([None if whole else doc_id] * len(terms), terms, [1] * len(terms))
+
+        for batch in batches:
+            id_kind = batch.schema.field("doc_id").type
+            if not batch.num_rows:
+                continue
+            tokens = split(batch)
+            words, which = distinct(tokens.tokens, stemmer)
+            terms = words.dictionary_encode()  # stems of different tokens may be equal
+            names, k = terms.dictionary, max(len(terms.dictionary), 1)
+            code = terms.indices.to_numpy(zero_copy_only=False)[which]
+            run_of_row, first = np.arange(batch.num_rows), np.arange(batch.num_rows)
+            if not by_row:
+                key = batch.column("doc_id").dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+                begins = np.append(True, key[1:] != key[:-1])
+                run_of_row, first = np.cumsum(begins) - 1, np.flatnonzero(begins)
+            pairs = np.unique(run_of_row[tokens.row].astype(np.int64) * k + code)
+            run_of, term_of = pairs // k, pairs % k
+            if by_row:
+                counts = np.bincount(term_of, minlength=len(names))
+                yield made(pa.nulls(len(names), id_kind), names, counts[: len(names)])
+                continue
+            ids = batch.column("doc_id").take(pa.array(first)).to_pylist()
+            whole = batch.column("whole").take(pa.array(first)).to_numpy(zero_copy_only=False)
+            own = lambda r: set(names.take(pa.array(term_of[run_of == r])).to_pylist())  # noqa: B023, E731
+            last = len(first) - 1
+            open_runs = {0, last}  # may go on from the batch before, or into the next
+            if held and held[0] != ids[0]:
+                yield given_up(*held)
+                held = None
+            terms_of_first = own(0) | (held[2] if held else set())
+            if last:
+                yield given_up(ids[0], whole[0], list(terms_of_first))
+                held = (ids[last], whole[last], own(last))
+            else:
+                held = (ids[0], whole[0], terms_of_first)
+            inner = ~np.isin(run_of, list(open_runs))
+            closed = inner & whole[run_of]
+            counts = np.bincount(term_of[closed], minlength=len(names))
+            at = np.flatnonzero(counts)
+            yield made(pa.nulls(len(at), id_kind), names.take(pa.array(at)), counts[at])
+            parts = inner & ~closed
+            yield made([ids[r] for r in run_of[parts]], names.take(pa.array(term_of[parts])), np.ones(int(parts.sum()), np.int64))
+        if held:
+            yield given_up(*held)
+
+    columns = ["doc_id"] if by_row else ["doc_id", "whole"]
+    return rows.select(*columns, column).mapInArrow(run, f"doc_id {id_type.simpleString()}, term string, df long")

@@ -135,24 +135,33 @@ def porter_stem(word: str) -> str:
     return _final_e(_delete(word))
 
 
+class Stemmer:
+    """Stems of lists of words; each distinct word is stemmed once while it is remembered."""
+
+    def __init__(self):
+        self.memo: dict[str, str] = {}
+
+    def __call__(self, words: list[str]) -> list[str]:
+        if len(self.memo) > MEMO_ENTRIES:
+            self.memo.clear()
+        for word in words:
+            if word not in self.memo:
+                self.memo[word] = porter_stem(word)
+        return [self.memo[w] for w in words]
+
+
 def stems_udf():
     """Arrow UDF: array of tokens -> array of their stems.
 
     Each distinct token of a batch is stemmed once; the arrays are rebuilt from
     dictionary codes without a Python loop over tokens.
     """
-    memo: dict[str, str] = {}
+    stemmer = Stemmer()
 
     @F.arrow_udf("array<string>")
     def stems(tokens: pa.Array) -> pa.Array:
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
         coded = tokens.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        for word in words:
-            if word not in memo:
-                memo[word] = porter_stem(word)
-        stemmed = pa.array([memo[w] for w in words], pa.string()).take(coded.indices)
+        stemmed = pa.array(stemmer(coded.dictionary.to_pylist()), pa.string()).take(coded.indices)
         sizes = pc.fill_null(pc.list_value_length(tokens), 0)
         ends = pc.cumulative_sum(sizes.cast(pa.int32()))
         offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])

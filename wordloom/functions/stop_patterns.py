@@ -7,7 +7,8 @@ folded into one alternation.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from itertools import groupby
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -64,31 +65,57 @@ def remove_patterns(text: Column, patterns: Sequence[str]) -> Column:
     return fold_patterns(text, patterns)
 
 
+# Up to so many regular expressions are nested calls, whose patterns are compiled once per task; more would
+# make an expression too deep.
+NESTED = 64
+
+
 def fold_patterns(text: Column, patterns: Sequence[str]) -> Column:
-    """The same inside the JVM: needed for regular expressions, slower for long lists.
+    """The same inside the JVM: needed for regular expressions, slower for long lists of literals.
 
-    One fold over the list, however long, so that the depth of the expression does not grow with it. The
-    first character of an entry tells literals from regular expressions.
+    Literals that follow each other are one fold over their list, each regular expression is a call with a fixed pattern. A list with
+    more than `NESTED` of those is a single fold, which compiles them again for each text.
     """
-    if not patterns:
-        return text
+    if sum(not is_literal(p) for p in patterns) > NESTED:
+        return _fold(text, patterns, _delete_entry)
+    for literal, group in groupby(patterns, is_literal):
+        if literal:
+            text = _fold(text, list(group), lambda acc, entry: F.replace(acc, F.substr(entry, F.lit(2)), F.lit("")))
+        else:
+            for pattern in group:
+                text = F.regexp_replace(text, F.lit(pattern), F.lit(""))
+    return text
+
+
+def fold_patterns_of_lines(lines: Column, patterns: Sequence[str]) -> Column:
+    """Array of lines -> the same lines stripped. A long list goes through all lines pattern by pattern, so each is compiled once per array."""
+    if sum(not is_literal(p) for p in patterns) <= NESTED:
+        return F.transform(lines, lambda line: fold_patterns(line, patterns))
+    return _fold(lines, patterns, lambda acc, entry: F.transform(acc, lambda line: _delete_entry(line, entry)))
+
+
+def _fold(start: Column, patterns: Sequence[str], step: Callable[[Column, Column], Column]) -> Column:
+    """One expression, however long the list. The first character of an entry tells literals from regular expressions."""
     listed = F.array(*[F.lit(("=" if is_literal(p) else "~") + p) for p in patterns])
+    return F.aggregate(listed, start, step)
 
-    def delete(acc: Column, entry: Column) -> Column:
-        pattern = F.substr(entry, F.lit(2))
-        literal = F.replace(acc, pattern, F.lit(""))
-        return F.when(F.startswith(entry, F.lit("=")), literal).otherwise(F.regexp_replace(acc, pattern, F.lit("")))
 
-    return F.aggregate(listed, text, delete)
+def _delete_entry(text: Column, entry: Column) -> Column:
+    pattern = F.substr(entry, F.lit(2))
+    literal = F.replace(text, pattern, F.lit(""))
+    return F.when(F.startswith(entry, F.lit("=")), literal).otherwise(F.regexp_replace(text, pattern, F.lit("")))
 
 
-def _literal_remover(patterns: list[str]):
-    """Arrow UDF: one vectorised pass over the batch per pattern."""
+def delete_literals(texts: pa.Array, patterns: Sequence[str]) -> pa.Array:
+    """One vectorised pass over the batch per pattern."""
+    for pattern in patterns:
+        texts = pc.replace_substring(texts, pattern, "")
+    return texts
+
 
+def _literal_remover(patterns: list[str]):
     @F.arrow_udf("string")
     def strip(text: pa.Array) -> pa.Array:
-        for pattern in patterns:
-            text = pc.replace_substring(text, pattern, "")
-        return text
+        return delete_literals(text, patterns)
 
     return strip

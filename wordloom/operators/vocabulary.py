@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from wordloom.operators.numbering import numbered
@@ -13,7 +13,7 @@ from wordloom.operators.numbering import numbered
 SMALL_ROWS = 100_000
 SMALL_BYTES = 8 << 20
 
-# What may be a list beside every row: rankings whose counts make a dense array per document.
+# What may be a list on every worker: rankings whose counts make a dense array per document.
 LISTED_ROWS = 1_000
 LISTED_BYTES = 64 << 10
 
@@ -55,8 +55,18 @@ def is_small(vocabulary: DataFrame, word: str = "word") -> bool:
     return _fits(vocabulary, word, SMALL_ROWS, SMALL_BYTES)
 
 
+def listed(ranked: DataFrame, word: str = "term") -> list[Row] | None:
+    """The rows of a ranking that may go to every worker as one list, measured before it comes; None if it is too large."""
+    size = F.octet_length(word)
+    # No word leaves its task that is longer than the whole list may be.
+    rows = ranked.withColumn("_size", size).withColumn(word, F.when(size <= LISTED_BYTES, F.col(word))).limit(LISTED_ROWS + 1).collect()
+    if len(rows) > LISTED_ROWS or sum((r["_size"] or 0) + 16 for r in rows) > LISTED_BYTES:
+        return None
+    return rows
+
+
 def is_listed(ranked: DataFrame, word: str = "term") -> bool:
-    """May this ranking be a list beside every row?"""
+    """May this ranking be a list on every worker?"""
     return _fits(ranked, word, LISTED_ROWS, LISTED_BYTES)
 
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions.stop_patterns import fold_patterns, is_literal, remove_patterns
+from wordloom.functions.in_row import partial_counts
+from wordloom.functions.stop_patterns import effective, fold_patterns_of_lines, is_literal, remove_patterns
 from wordloom.functions.text import (
     ended,
     fold_case,
@@ -27,17 +28,23 @@ def normalise(documents: DataFrame, case_sensitive: bool = False, stop_patterns:
     Documents without a line go. The line structure stays: a last line that loses
     everything is an empty line afterwards.
     """
+    rows, literals = prepared(documents, case_sensitive, stop_patterns)
+    return rows.withColumn("text", remove_patterns(F.col("text"), literals)) if literals else rows
+
+
+def prepared(documents: DataFrame, case_sensitive: bool = False, stop_patterns: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
+    """The same up to the deletion of literal patterns, and those that are left to delete: for an Arrow pass that does it beside other work."""
     documents = documents.where(F.col("text") != "")
     text = fold_case(F.col("text"), case_sensitive)
     patterns = [p for p in stop_patterns if not set(p) & {"\r", "\n"}]
     if not patterns:
-        return documents.withColumn("text", text)
+        return documents.withColumn("text", text), []
     # With `\n` between lines no deletion can make one line end of two.
     text = with_plain_ends(ended(text))
     if all(map(is_literal, patterns)):  # cannot match across lines, so one pass over the text
-        return documents.withColumn("text", remove_patterns(text, patterns))
-    stripped = F.transform(split_lines(text), lambda line: fold_patterns(line, patterns))
-    return documents.withColumn("text", F.array_join(stripped, "\n"))
+        return documents.withColumn("text", text), effective(patterns)
+    stripped = fold_patterns_of_lines(split_lines(text), patterns)
+    return documents.withColumn("text", F.array_join(stripped, "\n")), []
 
 
 def normalise_lines(lines: DataFrame, case_sensitive: bool = False, stop_patterns: Sequence[str] = ()) -> DataFrame:
@@ -45,6 +52,13 @@ def normalise_lines(lines: DataFrame, case_sensitive: bool = False, stop_pattern
     return lines.withColumn("line", remove_patterns(fold_case(F.col("line"), case_sensitive), stop_patterns))
 
 
+def prepared_lines(lines: DataFrame, case_sensitive: bool = False, stop_patterns: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
+    """The same, but literal patterns are left to the pass that comes next."""
+    if all(map(is_literal, stop_patterns)):
+        return normalise_lines(lines, case_sensitive), effective(stop_patterns)
+    return normalise_lines(lines, case_sensitive, stop_patterns), []
+
+
 def line_records(documents: DataFrame) -> DataFrame:
     """(doc_id, text) -> (doc_id, line_no, line), line_no from 0."""
     parts = documents.select("doc_id", split_lines(F.col("text")).alias("parts"))
@@ -79,6 +93,14 @@ def tokens(lines: DataFrame) -> DataFrame:
     return exploded_lines.where("token is not null")
 
 
+def counted_words(documents: DataFrame, strip: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, text) -> (word, n) like `word_counts`, but stripped, split and counted in one Arrow pass over the texts.
+
+    For texts that need a pass anyway; a row per different word and batch goes back. `strip` is what `prepared` has left.
+    """
+    return partial_counts(documents, strip).groupBy("word").agg(F.sum("n").alias("n"))
+
+
 def word_counts(rows: DataFrame) -> DataFrame:
     """Rows with a `tokens` array -> (word, n)."""
     return exploded(rows, name="word").groupBy("word").agg(F.count("*").alias("n"))

@@ -46,7 +46,9 @@ def documents(corpus: DataFrame, strip: bool = False, case_sensitive: bool = Fal
     return words.normalise(corpus, case_sensitive, stop_patterns() if strip else ())
 
 
-def counts(corpus: DataFrame, **how) -> DataFrame:
+def counts(corpus: DataFrame, strip: bool = False, **how) -> DataFrame:
+    if strip:
+        return words.counted_words(*words.prepared(corpus, stop_patterns=stop_patterns(), **how))
     return words.word_counts(words.token_documents(documents(corpus, **how)))
 
 
@@ -62,17 +64,17 @@ def token_lines(corpus: DataFrame, **how) -> DataFrame:
     return words.token_lines(lines(corpus, **how))
 
 
-def token_rows(corpus: DataFrame, stem=False, **how) -> DataFrame:
-    rows = words.token_documents(documents(corpus, **how))
-    return freq.stemmed(rows) if stem else rows
+def token_rows(corpus: DataFrame, **how) -> DataFrame:
+    return words.token_documents(documents(corpus, **how))
 
 
 def doc_terms(corpus: DataFrame, stem=False, **how) -> DataFrame:
     return freq.document_terms(token_rows(corpus, **how), stem=stem)
 
 
-def doc_freq(corpus: DataFrame, **how) -> DataFrame:
-    return freq.document_frequencies(doc_terms(corpus, **how))
+def doc_freq(corpus: DataFrame, stem=False, strip=False) -> DataFrame:
+    rows, left = words.prepared(corpus, stop_patterns=stop_patterns() if strip else ())
+    return freq.counted_frequencies(rows, stem, left)
 
 
 def top_terms(corpus: DataFrame, **how) -> DataFrame:
@@ -131,27 +133,24 @@ def idf(corpus: DataFrame) -> DataFrame:
 
 
 def tf(corpus: DataFrame, stem=False) -> DataFrame:
-    found = freq.term_frequencies(token_rows(corpus, stem=stem), ranked_terms(corpus, stem=stem), SMALL)
+    found = freq.term_frequencies(documents(corpus), ranked_terms(corpus, stem=stem), SMALL, stem=stem)
     return found.select("doc_id", "term", "tf")
 
 
 def tf_cumulative(corpus: DataFrame) -> DataFrame:
-    found = freq.term_frequencies(freq.weighted_documents(documents(corpus)), ranked_terms(corpus), SMALL)
+    found = freq.term_frequencies(documents(corpus), ranked_terms(corpus), SMALL, running=True)
     return found.select("doc_id", "term", "tf")
 
 
 def tf_idf(corpus: DataFrame, stem=False) -> DataFrame:
-    scores = freq.tf_idf(
-        token_rows(corpus, stem=stem), ranked_terms(corpus, stem=stem), freq.document_count(corpus), SMALL
-    )
+    scores = freq.tf_idf(documents(corpus), ranked_terms(corpus, stem=stem), freq.document_count(corpus), SMALL, stem=stem)
     return _rounded(scores, "tfidf")
 
 
 def tf_idf_ref_settings(corpus: DataFrame) -> DataFrame:
     """Terms from stripped text, looked up in unstripped text, running counts, fixed N."""
-    rows = freq.stemmed(freq.weighted_documents(documents(corpus)))
     ranked = ranked_terms(corpus, strip=True, stem=True)
-    return _rounded(freq.tf_idf(rows, ranked, ASSUMED_DOCUMENTS, SMALL), "tfidf")
+    return _rounded(freq.tf_idf(documents(corpus), ranked, ASSUMED_DOCUMENTS, SMALL, stem=True, running=True), "tfidf")
 
 
 def stem_dictionary(corpus: DataFrame) -> DataFrame:
@@ -159,14 +158,17 @@ def stem_dictionary(corpus: DataFrame) -> DataFrame:
 
 
 def tsv_lines(corpus: DataFrame) -> DataFrame:
-    """Lines as a reader of tab-separated files gets them, made of the corpus: some words repeat, some lines are bad."""
-    word = F.substring("line", 1, 3)
+    """Lines as a reader of tab-separated files gets them, made of the whole lines of the corpus, their tabs escaped.
+
+    Words repeat as lines do, and some lines are bad.
+    """
+    word = F.replace("line", F.lit("\t"), F.lit("\\t"))
     value = (
         F.when(F.col("line_no") % 5 == 4, word)
         .when(F.col("line_no") % 7 == 3, F.concat(word, F.lit("\tx")))
         .otherwise(F.concat(word, F.lit("\t"), F.length("line").cast("string")))
     )
-    placed = lines(corpus).where(~F.col("line").contains("\t"))
+    placed = lines(corpus)
     return placed.select(F.lit("corpus").alias("file"), F.col("doc_id").alias("block"), F.col("line_no").alias("row"), value.alias("value"))
 
 

@@ -10,7 +10,7 @@ from wordloom.operators import cooccurrence as cooc
 from wordloom.operators import frequencies as freq
 from wordloom.operators import vocabulary as vocab
 from wordloom.operators import words
-from wordloom.sources.corpus import read_lines, read_names, read_numbered_lines
+from wordloom.sources.corpus import read_blocks, read_lines, read_names, read_numbered_lines
 from wordloom.sources.side_files import (
     read_document_frequencies,
     read_stop_patterns,
@@ -74,10 +74,13 @@ def stripes(
 def document_frequency(
     spark, corpus: str, output: str, stop_files: Sequence[str] = (), case_sensitive: bool = False, stem: bool = True
 ) -> None:
-    """`term <tab> df` in term order; each file of the corpus is a document, read line by line."""
-    rows = _token_lines(spark, corpus, stop_files, case_sensitive)
-    frequencies = freq.document_frequencies(freq.document_terms(rows, whole_documents=False, stem=stem))
-    write_lines(sorted_tsv(frequencies, "term", "df"), output)
+    """`term <tab> df` in term order; each file of the corpus is a document, read line by line.
+
+    Terms are counted where the block of a file is read; files that are one block need no exchange but that of the counts.
+    """
+    patterns = read_stop_patterns(spark, *stop_files) if stop_files else []
+    rows, left = words.prepared_lines(read_blocks(spark, corpus), case_sensitive, patterns)
+    write_lines(sorted_tsv(freq.block_frequencies(rows, stem, left), "term", "df"), output)
 
 
 def tf_idf(
@@ -102,6 +105,5 @@ def tf_idf(
     ranked = read_document_frequencies(spark, frequencies)
     if n_docs is None:
         n_docs = freq.document_count(read_names(spark, corpus))
-    rows = freq.stemmed(rows) if stem else rows
     score = freq.sparse_tf_idf if sparse else freq.tf_idf
-    write_scores(score(rows, ranked, n_docs, small=vocab.is_listed(ranked), whole_documents=False), output)
+    write_scores(score(rows, ranked, n_docs, small=True, whole_documents=False, stem=stem), output)

@@ -201,9 +201,9 @@ SELECT d.doc_id, r.term, coalesce(f.tf, 0) AS tf,
 FROM with_lines d CROSS JOIN ranked r LEFT JOIN found f ON f.doc_id = d.doc_id AND f.term = r.term"""
 
 
-PARSED = """tsv AS (SELECT doc_id, line_no, CASE WHEN line_no % 5 = 4 THEN substr(line, 1, 3)
-    WHEN line_no % 7 = 3 THEN substr(line, 1, 3) || chr(9) || 'x'
-    ELSE substr(line, 1, 3) || chr(9) || length(line) END AS value FROM l WHERE NOT contains(line, chr(9))),
+PARSED = """escaped AS (SELECT *, replace(line, chr(9), '\\t') AS word FROM l),
+tsv AS (SELECT doc_id, line_no, CASE WHEN line_no % 5 = 4 THEN word WHEN line_no % 7 = 3 THEN word || chr(9) || 'x'
+    ELSE word || chr(9) || length(line) END AS value FROM escaped),
 good AS (SELECT *, split_part(value, chr(9), 1) AS word, try_cast(split_part(value, chr(9), 2) AS BIGINT) AS n FROM
     (SELECT *, row_number() OVER (ORDER BY doc_id, line_no) - 1 AS idx FROM tsv) WHERE contains(value, chr(9)))"""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.sources.side_files import numbered_lines, placed_lines
+from wordloom.sources.side_files import kept_lines, numbered_lines
 
 
 def read_table(
@@ -36,8 +36,11 @@ def read_names(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Directory of text files -> (doc_id, line_no, n_lines, line), also splittable inside large files."""
-    lines = numbered_lines(placed_lines(spark, path), per_file=True)
+    """Directory of text files -> (doc_id, line_no, n_lines, line), also splittable inside large files.
+
+    The files are scanned once; the lines are kept with their places while they are numbered.
+    """
+    lines = numbered_lines(kept_lines(spark, path), per_file=True)
     name = F.substring_index("file", "/", -1)
     return lines.select(name.alias("doc_id"), F.col("idx").alias("line_no"), "n_lines", F.col("value").alias("line"))
 
@@ -46,3 +49,14 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Directory of text files -> (doc_id, line), splittable inside large files."""
     lines = spark.read.text(path)
     return lines.select(F.col("_metadata.file_name").alias("doc_id"), F.col("value").alias("line"))
+
+
+def read_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """Directory of text files -> (doc_id, whole, line), the lines of a file block standing together.
+
+    The path identifies the document here. `whole`: the block is the whole file, so no other task has lines of it.
+    """
+    lines = spark.read.text(path)
+    block = F.col("_metadata.file_block_start"), F.col("_metadata.file_block_length"), F.col("_metadata.file_size")
+    whole = (block[0] == 0) & (block[1] >= block[2])
+    return lines.select(F.col("_metadata.file_path").alias("doc_id"), whole.alias("whole"), F.col("value").alias("line"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions.stop_patterns import application_order
+from wordloom.sources.kept import kept_as_table
 
 PLACE = ("file", "block", "row")
 
@@ -26,10 +27,15 @@ def placed_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def kept_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Placed lines, written once with their places: a second scan of the files might be cut, and so numbered, in another way."""
+    return kept_as_table(placed_lines(spark, path))
+
+
 def numbered_lines(lines: DataFrame, per_file: bool = False) -> DataFrame:
     """Placed lines -> the same with `idx`, the number of the line from 0, over all files or in each, and `n_lines`.
 
-    A line number is the number of the line in its block plus the lines of the blocks before; only the
+    The lines are read twice, so their rows have to be numbered already where they are kept (`kept_lines`). A line number is the number of the line in its block plus the lines of the blocks before; only the
     list of blocks is ever sorted as a whole.
     """
     blocks = lines.groupBy("file", "block").agg(F.min("row").alias("first"), F.count("*").alias("size"))
@@ -97,4 +103,4 @@ def read_word_counts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_document_frequencies(spark: SparkSession, path: str) -> DataFrame:
-    return parse_document_frequencies(placed_lines(spark, path))
+    return parse_document_frequencies(kept_lines(spark, path))
