@@ -1,11 +1,14 @@
 """Pairs and stripes against the worked table, brute force and each other."""
 
+import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from wordloom.functions import in_row
 from wordloom.operators import cooccurrence as cooc
+from wordloom.operators import frequencies as freq
 from wordloom.operators import vocabulary as vocab
 from wordloom.operators import words
 
@@ -125,3 +128,83 @@ def test_size_of_a_vocabulary_is_measured(spark):
     assert vocab.is_small(spark.createDataFrame([], "word string"))
     assert not vocab.is_small(spark.range(vocab.SMALL_ROWS + 1).select(F.col("id").cast("string").alias("word")))
     assert not vocab.is_small(spark.range(1).select(F.repeat(F.lit("x"), vocab.SMALL_BYTES).alias("word")))
+
+
+def as_dict(df):
+    return {(r["w1"], r["w2"]): r["n"] for r in df.collect()}
+
+
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("directed", [False, True])
+def test_pairs_counted_in_the_pass_and_by_numbers(docs, spark, seed, directed):
+    pick = random.Random(seed)
+    texts = ["".join(pick.choices(["a", "b", "c'", "dd", " ", " ", ", ", "\n", "\r\n", "\n\n", "é"], k=pick.randrange(40))) for _ in range(30)]
+    corpus = words.normalise(docs(*texts, "", "\n", "a" * 5_000 + " b"))
+    lines = words.token_lines(words.line_records(corpus))
+    known = spark.createDataFrame([("a",), ("b",), ("",), ("dd",), ("aa",), ("a",), ("a" * 5_000,)], "word string")
+    count = cooc.directed_counts if directed else cooc.pair_counts
+    for d in (0, 3):
+        expected = as_dict(count(lines, known, d, small=True))
+        assert as_dict(cooc.counted_pairs(corpus, known, d, directed)) == expected
+        assert as_dict(cooc.counted_pairs(lines, known, d, directed)) == expected
+        for bits in (63, 2):  # few bits make words share their hash
+            assert as_dict(cooc.coded_counts(lines, known, d, directed, bits)) == expected
+    dense = {r["word"]: r["stripe"] for r in cooc.stripes(cooc.directed_counts(lines, known, 2), known).collect()}
+    assert {r["word"]: r["stripe"] for r in cooc.listed_stripes(corpus, known, 2).collect()} == dense
+
+
+def test_codes_of_too_many_words_are_an_error(docs, spark, monkeypatch):
+    monkeypatch.setattr(cooc, "MOST_RECODED", 2)
+    with pytest.raises(ValueError, match="share"):
+        cooc.coded_counts(token_lines(docs, "a b c d e f"), spark.createDataFrame([("a",)], "word string"), 1, bits=1)
+
+
+def test_wide_stripes_are_tiles(spark):
+    """20,000 columns in tiles of 1,000; equal to the cells that are not 0."""
+    vocabulary = spark.range(20_000).select(F.format_string("w%05d", "id").alias("word"))
+    pairs = [(f"w{i:05d}", f"w{(i * 7919 + j * 331) % 20_000:05d}", i + j + 1) for i in (0, 3, 19_999) for j in range(40)] + [("w00003", "w19999", 5), ("w00003", "w00000", 6)]
+    directed = spark.createDataFrame(pairs, "w1 string, w2 string, n long").groupBy("w1", "w2").agg(F.sum("n").alias("n"))
+    tiled = cooc.tiled_stripes(directed, vocabulary)
+    rows = tiled.collect()
+    assert {(r["word"], r["tile"]) for r in rows} == {(w, t) for w in ("w00000", "w00003", "w19999") for t in range(20)} and len(rows) == 60
+    assert {len(r["cells"]) for r in rows} == {1_000}
+    found = {(r["word"], 1_000 * r["tile"] + i): n for r in rows for i, n in enumerate(r["cells"]) if n}
+    assert found == {(r["word"], r["idx"]): r["n"] for r in cooc.sparse_stripes(directed, vocabulary).collect()}
+    text = {r["word"]: r["stripe"] for r in cooc.tiled_stripe_text(tiled).collect()}
+    for word, line in text.items():
+        assert [found.get((word, i), 0) for i in range(20_000)] == [int(n) for n in line[1:-1].split(", ")]
+
+
+def test_tiles_of_any_size_make_the_same_stripe(docs, known):
+    directed = cooc.directed_counts(token_lines(docs, *TEXTS), known, 2)
+    expected = {r["word"]: r["stripe"] for r in cooc.stripe_text(cooc.stripes(directed, known)).collect()}
+    for tile, small in ((1, True), (3, False), (4, True), (1_000, True)):
+        text = cooc.tiled_stripe_text(cooc.tiled_stripes(directed, known, tile, small))
+        assert {r["word"]: r["stripe"] for r in text.collect()} == expected
+    assert cooc.tiled_stripes(directed.where("false"), known).collect() == []
+
+
+@pytest.mark.parametrize("k", [0, 1, 5, 40, 10_000])
+@pytest.mark.parametrize("part_words", [500_000, 20])
+def test_top_k_in_rounds(docs, k, part_words, monkeypatch):
+    monkeypatch.setattr(in_row, "PART_WORDS", part_words)
+    pick = random.Random(k)
+    texts = [" ".join(f"w{int(pick.paretovariate(0.7)) % 300}" for _ in range(60)) for _ in range(50)]
+    corpus = words.normalise(docs(*texts).repartition(7))
+    exact = vocab.top_k(words.word_counts(words.token_documents(corpus)), k)
+    found = vocab.top_k_in_rounds(in_row.ranked_parts(corpus), k)
+    assert [tuple(r) for r in found.collect()] == [tuple(r) for r in exact.collect()]
+    frequencies = freq.counted_frequencies(corpus, stem=True)
+    exact = vocab.top_k(frequencies, k, "term", "df")
+    found = vocab.top_k_in_rounds(in_row.ranked_parts(corpus, by_document=True, stem=True), k)
+    assert [tuple(r) for r in found.collect()] == [tuple(r) for r in exact.collect()]
+
+
+def test_rounds_count_few_words(docs):
+    texts = [" ".join(["the of a in"] * 30 + [f"x{i}_{j}" for j in range(200)]) for i in range(40)]
+    corpus = words.normalise(docs(*texts).repartition(8))
+    found = vocab.top_k_in_rounds(in_row.ranked_parts(corpus), 4)
+    plan = found._jdf.queryExecution()
+    assert [r["n"] for r in found.collect()] == [1200] * 4
+    assert "left_semi" in plan.toString().lower() or "LeftSemi" in plan.toString()
+    assert vocab.top_k_in_rounds(in_row.ranked_parts(corpus.where("false")), 4).collect() == []

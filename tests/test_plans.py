@@ -65,6 +65,23 @@ def test_pairs_are_filtered_then_counted_before_the_shuffle(corpus):
     assert any("BroadcastHashJoin" in line for line in lines[partial:])
 
 
+@pytest.mark.parametrize("directed", [False, True])
+def test_pairs_of_a_listed_vocabulary_are_one_pass(corpus, directed):
+    known = vocab.top_k(words.word_counts(words.token_documents(corpus)), 50)
+    plan = executed(cooc.counted_pairs(corpus, known, 3, directed))
+    assert exchanges(plan) == [exchanges(plan)[0]] and re.match(r"i#\d+, j#\d+", exchanges(plan)[0])
+    assert "Join" not in plan and "Generate" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_pairs_of_a_large_vocabulary_are_shuffled_as_numbers(spark, corpus):
+    many = spark.range(0, 200_000).selectExpr("cast(id as string) as word")
+    counted = cooc.coded_counts(words.token_lines(words.line_records(corpus)), many, 1)
+    text = counted._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(c1#\d+L, c2#\d+L", text)
+    below = text.split("Exchange hashpartitioning(c1#", 1)[1]
+    assert "partial_count" in below and "cast(" not in below.split("partial_count")[0]
+
+
 def test_large_vocabularies_are_not_broadcast(spark, corpus):
     many = spark.range(0, 2_000_000).selectExpr("cast(id as string) as word")
     plan = cooc.pair_counts(words.token_lines(words.line_records(corpus)), many, 1, small=False)

@@ -2,7 +2,7 @@
 
 Works on the bytes of the whole batch at once: where words begin, where lines do, and which lines begin with
 an empty token. Word bytes that are left when all others go are the tokens laid end to end, so they
-become an Arrow array without a copy per token. Tokens are not in their order, as empty ones come last: for counting.
+become an Arrow array without a copy per token. Empty ones come last, so tokens are in no order unless that is asked for.
 """
 
 from __future__ import annotations
@@ -20,17 +20,19 @@ _LF, _CR = 10, 13
 
 @dataclass
 class Tokens:
-    """Tokens of all rows, the row of each, and how many lines there are from its line to the last one of its row."""
+    """Tokens of all rows, the row and the line (over the batch) of each, and how many lines there are from there to the last one of its row."""
 
     tokens: pa.Array
     row: np.ndarray
+    line: np.ndarray | None = None
     lines_left: np.ndarray | None = None
 
 
 def listed_tokens(tokens: pa.Array) -> Tokens:
     """Of rows that are token arrays already."""
     sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
-    return Tokens(tokens.flatten(), np.repeat(np.arange(len(sizes)), sizes))
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    return Tokens(tokens.flatten(), row, row)
 
 
 def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +71,7 @@ def _lines(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return row, starts, stop
 
 
-def text_tokens(texts: pa.Array, as_lines: bool = False, weights: bool = False) -> Tokens:
+def text_tokens(texts: pa.Array, as_lines: bool = False, weights: bool = False, in_order: bool = False) -> Tokens:
     """Of texts, or, `as_lines`, of rows that are one line each; with `weights` also the lines left."""
     data, bounds = _bytes(texts)
     word = _WORD[data]
@@ -103,4 +105,9 @@ def text_tokens(texts: pa.Array, as_lines: bool = False, weights: bool = False)
         n_lines = np.bincount(row, minlength=len(texts))
         number = np.arange(len(row)) - np.repeat(np.cumsum(n_lines) - n_lines, n_lines)
         left = (n_lines[row] - number)[line]
-    return Tokens(tokens, row[line] if len(row) else np.zeros(0, np.int64), left)
+    row = row[line] if len(row) else np.zeros(0, np.int64)
+    if in_order:
+        # An empty token is the only one of its line, or stands before all others.
+        order = np.lexsort((np.append(np.ones(len(starts)), np.zeros(len(bare))), line))
+        tokens, row, line, left = tokens.take(pa.array(order)), row[order], line[order], left if left is None else left[order]
+    return Tokens(tokens, row, line, left)

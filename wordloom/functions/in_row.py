@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,19 +20,6 @@ from wordloom.functions.porter import Stemmer
 from wordloom.functions.stop_patterns import delete_literals
 
 
-def _looked_up(tokens: pa.Array, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """-> (row of each token, its place in the row, index of its word or -1, number of words).
-
-    The list of words is the same in every row.
-    """
-    sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy()
-    known = words[0].values if len(words) and words[0].is_valid else pa.array([], pa.string())
-    index = pc.fill_null(pc.index_in(tokens.flatten(), value_set=known), -1).to_numpy()
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return row, place, index, len(known)
-
-
 # How the rows of a pass give their tokens: `text` is split in the pass, `line` too but is one line, `tokens` are an array.
 SPLIT = {
     "text": text_tokens,
@@ -115,50 +102,125 @@ def term_tally(rows: DataFrame, terms: Broadcast, stem: bool = False, dense: boo
     return weighted(F.col(column), F.col("weights")) if "weights" in rows.columns else plain(F.col(column))
 
 
+def _counted(split, by_document: bool, stemmer: Stemmer | None):
+    """Batch -> (different terms, how often each occurs, or, `by_document`, in how many rows)."""
+
+    def count(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+        tokens = split(batch)
+        words, which = distinct(tokens.tokens, stemmer)
+        terms = words.dictionary_encode()  # stems of different tokens may be equal
+        names, code = terms.dictionary, terms.indices.to_numpy(zero_copy_only=False)[which]
+        if by_document:
+            code = np.unique(tokens.row.astype(np.int64) * max(len(names), 1) + code) % max(len(names), 1)
+        return names, np.bincount(code, minlength=len(names))
+
+    return count
+
+
 def partial_counts(rows: DataFrame, strip: Sequence[str] = ()) -> DataFrame:
     """(text), (line) or (tokens) -> (word, n): how often each token occurs in a batch, to be added up."""
     column = token_column(rows)
-    split = _splitter(column, strip)
+    count = _counted(_splitter(column, strip), False, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, which = distinct(split(batch).tokens)
-            counts = np.bincount(which, minlength=len(words))
-            yield pa.RecordBatch.from_arrays([words, pa.array(counts, pa.int64())], ["word", "n"])
+            words, n = count(batch)
+            yield pa.RecordBatch.from_arrays([words, pa.array(n, pa.int64())], ["word", "n"])
 
     return rows.select(column).mapInArrow(run, "word string, n long")
 
 
-PAIR = pa.struct([("w1", pa.string()), ("w2", pa.string()), ("n", pa.int64())])
+# A part of a task ends when it has so many different words.
+PART_WORDS = 500_000
+PART_ROWS = 65_536
 
 
-def pair_tally(tokens: Column, words: Column, d: int, directed: bool) -> Column:
-    """Array of (w1, w2, n): how often two words of the sorted list stand within distance d in the row.
+def ranked_parts(rows: DataFrame, by_document: bool = False, stem: bool = False, strip: Sequence[str] = ()) -> DataFrame:
+    """Rows -> (part, place, word, n): counts of each part of the corpus, most frequent first, `place` from 0.
 
-    Not directed: w1 <= w2, which is the order of the list.
+    A part is what a task reads, or some of it where that has very many words; nothing is shuffled. With `by_document` n is the number of
+    rows that have the word.
     """
+    column = token_column(rows)
+    split = _splitter(column, strip)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = _counted(split, by_document, Stemmer() if stem else None)
+        part = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
+        held: list[pa.Table] = []
+
+        def merged() -> pa.Table:
+            return pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+        def ranked(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            table = table.sort_by([("n", "descending"), ("word", "ascending")])
+            table = table.append_column("part", pa.array(np.full(len(table), part)))
+            table = table.append_column("place", pa.array(np.arange(len(table))))
+            yield from table.select(["part", "place", "word", "n"]).combine_chunks().to_batches(PART_ROWS)
+
+        for batch in batches:
+            names, n = count(batch)
+            held.append(pa.table({"word": names, "n": pa.array(n, pa.int64())}))
+            if sum(map(len, held)) > 2 * PART_WORDS:
+                held = [merged()]
+                if len(held[0]) > PART_WORDS:
+                    yield from ranked(held.pop())
+                    part += 1
+        if held:
+            yield from ranked(merged())
+
+    return rows.select(column).mapInArrow(run, "part long, place long, word string, n long")
+
 
-    @F.arrow_udf("array<struct<w1: string, w2: string, n: bigint>>")
-    def tally(tokens: pa.Array, words: pa.Array) -> pa.Array:
-        row, _, index, k = _looked_up(tokens, words)
-        keys = [np.zeros(0, np.int64)]
-        for gap in range(1, d + 1):
-            first, second = index[:-gap], index[gap:]
-            hit = (first >= 0) & (second >= 0) & (row[:-gap] == row[gap:])
-            a, b = first[hit].astype(np.int64), second[hit].astype(np.int64)
-            if not directed:
-                a, b = np.minimum(a, b), np.maximum(a, b)
-            keys.append((row[:-gap][hit] * k + a) * k + b)
-        key, n = np.unique(np.concatenate(keys), return_counts=True)
-        width = max(k, 1)
-        of_row = key // (width * width)
-        offsets = np.append(0, np.cumsum(np.bincount(of_row, minlength=len(tokens)))).astype(np.int32)
-        listed = words[0].values if len(words) and words[0].is_valid else pa.array([], pa.string())
-        name = lambda i: listed.take(pa.array(i))
-        pairs = pa.StructArray.from_arrays([name(key // width % width), name(key % width), pa.array(n, pa.int64())], fields=list(PAIR))
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
-
-    return tally(tokens, words)
+def _pairs(tokens: Tokens, index: np.ndarray, k: int, d: int, directed: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """-> (line, first, second) of each co-occurrence within distance d of known tokens on a line, for tokens in their order."""
+    found = [np.zeros((3, 0), np.int64)]
+    for gap in range(1, d + 1):
+        first, second = index[:-gap], index[gap:]
+        hit = np.flatnonzero((first >= 0) & (second >= 0) & (tokens.line[:-gap] == tokens.line[gap:]))
+        a, b = first[hit].astype(np.int64), second[hit].astype(np.int64)
+        if not directed:
+            a, b = np.minimum(a, b), np.maximum(a, b)
+        found.append(np.stack([tokens.line[hit], a, b]))
+    line, a, b = np.concatenate(found, axis=1)
+    return line, a, b
+
+
+def _ordered(column: str, rows: pa.Array) -> Tokens:
+    return listed_tokens(rows) if column == "tokens" else text_tokens(rows, as_lines=column == "line", in_order=True)
+
+
+def partial_pairs(rows: DataFrame, words: Broadcast, d: int, directed: bool) -> DataFrame:
+    """(text), (line) or (tokens) -> (i, j, n): how often two words of the list stand within distance d on a line, by their places in the list.
+
+    Counted by batch, to be added up. Not directed: i <= j.
+    """
+    column = token_column(rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup, k = _Lookup(words.value, stem=False), max(len(words.value), 1)
+        for batch in batches:
+            tokens = _ordered(column, batch.column(column))
+            _, a, b = _pairs(tokens, lookup(tokens.tokens), k, d, directed)
+            key, n = np.unique(a * k + b, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array((key // k).astype(np.int32)), pa.array((key % k).astype(np.int32)), pa.array(n, pa.int64())], ["i", "j", "n"])
+
+    return rows.select(column).mapInArrow(run, "i int, j int, n long")
+
+
+def pair_tally(tokens: Column, words: Broadcast, d: int, directed: bool) -> Column:
+    """Array of (i, j, n), the same for each row, which is a line."""
+
+    @F.arrow_udf("array<struct<i: int, j: int, n: bigint>>")
+    def tally(lines: pa.Array) -> pa.Array:
+        tokens, k = listed_tokens(lines), max(len(words.value), 1)
+        row, a, b = _pairs(tokens, _Lookup(words.value, stem=False)(tokens.tokens), k, d, directed)
+        key, n = np.unique((row * k + a) * k + b, return_counts=True)
+        offsets = np.append(0, np.cumsum(np.bincount(key // (k * k), minlength=len(lines)))).astype(np.int32)
+        cells = [pa.array((key // k % k).astype(np.int32)), pa.array((key % k).astype(np.int32)), pa.array(n, pa.int64())]
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(cells, ["i", "j", "n"]))
+
+    return tally(tokens)
 
 
 def partial_frequencies(rows: DataFrame, stem: bool = False, by_row: bool = True, strip: Sequence[str] = ()) -> DataFrame:
@@ -184,26 +246,25 @@ def partial_frequencies(rows: DataFrame, stem: bool = False, by_row: bool = True
         def given_up(doc_id, whole, terms):
             return made([None if whole else doc_id] * len(terms), terms, [1] * len(terms))
 
+        counted = _counted(split, True, stemmer)
         for batch in batches:
             id_kind = batch.schema.field("doc_id").type
             if not batch.num_rows:
                 continue
+            if by_row:
+                names, counts = counted(batch)
+                yield made(pa.nulls(len(names), id_kind), names, counts)
+                continue
             tokens = split(batch)
             words, which = distinct(tokens.tokens, stemmer)
             terms = words.dictionary_encode()  # stems of different tokens may be equal
             names, k = terms.dictionary, max(len(terms.dictionary), 1)
             code = terms.indices.to_numpy(zero_copy_only=False)[which]
-            run_of_row, first = np.arange(batch.num_rows), np.arange(batch.num_rows)
-            if not by_row:
-                key = batch.column("doc_id").dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
-                begins = np.append(True, key[1:] != key[:-1])
-                run_of_row, first = np.cumsum(begins) - 1, np.flatnonzero(begins)
+            key = batch.column("doc_id").dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            begins = np.append(True, key[1:] != key[:-1])
+            run_of_row, first = np.cumsum(begins) - 1, np.flatnonzero(begins)
             pairs = np.unique(run_of_row[tokens.row].astype(np.int64) * k + code)
             run_of, term_of = pairs // k, pairs % k
-            if by_row:
-                counts = np.bincount(term_of, minlength=len(names))
-                yield made(pa.nulls(len(names), id_kind), names, counts[: len(names)])
-                continue
             ids = batch.column("doc_id").take(pa.array(first)).to_pylist()
             whole = batch.column("whole").take(pa.array(first)).to_numpy(zero_copy_only=False)
             own = lambda r: set(names.take(pa.array(term_of[run_of == r])).to_pylist())  # noqa: B023, E731

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from wordloom.operators.numbering import numbered
+from wordloom.sources.kept import kept_as_table
 
 # What may be called small: a vocabulary up to this size is broadcast, as a filter in
 # front of the aggregation. Beyond it, or where nothing is known, counting comes first
@@ -23,6 +24,28 @@ def top_k(counts: DataFrame, k: int, word: str = "word", n: str = "n") -> DataFr
     return counts.orderBy(F.desc(n), F.asc(word)).limit(k)
 
 
+def top_k_in_rounds(parts: DataFrame, k: int) -> DataFrame:
+    """(part, place, word, n) of `ranked_parts` -> (word, n): `top_k` of the sums, without a shuffle of all words.
+
+    The k first of every part, added up, give a sum that the k-th best word reaches at least. A word that reaches it has the
+    mean of it or more in one part; only words that do, and that can still reach it with what they may have in the parts where
+    they are below that, are counted over all parts. Parts are written once, as they are read three times.
+    """
+    parts = kept_as_table(parts)
+    m = parts.agg(F.count_distinct("part")).first()[0]
+    if not m or k < 1:
+        return parts.select("word", "n").limit(0)
+    sums = parts.where(F.col("place") < k).groupBy("word").agg(F.sum("n").alias("n"))
+    best = sums.orderBy(F.desc("n")).limit(k).agg(F.min("n"), F.count("*")).first()
+    bound = best[0] if best[1] == k else 0  # with fewer words all are asked for
+    mean = -(-bound // m)
+    seen = parts.where(F.col("n") >= mean).groupBy("word").agg(F.sum("n").alias("seen"), F.count("*").alias("in_parts"))
+    most = F.col("seen") + (m - F.col("in_parts")) * max(mean - 1, 0)
+    candidates = seen.where(most >= bound).select("word")
+    counted = parts.join(candidates, "word", "left_semi").groupBy("word").agg(F.sum("n").alias("n"))
+    return top_k(counted, k)
+
+
 def lexicographic_index(vocabulary: DataFrame, small: bool = False) -> DataFrame:
     """(word) -> (word, idx), idx from 0 in word order.
 
@@ -70,11 +93,6 @@ def is_listed(ranked: DataFrame, word: str = "term") -> bool:
     return _fits(ranked, word, LISTED_ROWS, LISTED_BYTES)
 
 
-def word_list(vocabulary: DataFrame) -> Column:
-    """The words of a small vocabulary in order, as one array: a scalar sub-query."""
-    return vocabulary.agg(F.array_sort(F.collect_set("word"))).scalar()
-
-
 def lookup_side(vocabulary: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(vocabulary) if small else vocabulary
 

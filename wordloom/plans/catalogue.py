@@ -11,6 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordloom.functions.in_row import ranked_parts
 from wordloom.functions.stop_patterns import application_order
 from wordloom.operators import cooccurrence as cooc
 from wordloom.operators import frequencies as freq
@@ -25,6 +26,10 @@ TOP_WORDS = 50
 TOP_TERMS = 100
 DISTANCES = (1, 2, 3, 4)
 ASSUMED_DOCUMENTS = 10_000
+# A vocabulary too wide for one array per word, its tiles, and how often a word of a vocabulary without a limit occurs.
+WIDE = 1_500
+TILE = 400
+LEAST_COUNT = 3
 
 # The named vocabularies have at most this many words, whatever the corpus. A word is a run of word characters, which
 # junk can make long; where that matters measure with `vocabulary.is_small`.
@@ -96,7 +101,31 @@ def cooc_events(corpus: DataFrame, d=2) -> DataFrame:
 
 
 def cooc_pairs(corpus: DataFrame, d=1, strip_vocabulary=False) -> DataFrame:
-    return cooc.pair_counts(token_lines(corpus), top_words(corpus, strip=strip_vocabulary), d, SMALL)
+    return cooc.counted_pairs(documents(corpus), top_words(corpus, strip=strip_vocabulary), d)
+
+
+def many_words(corpus: DataFrame) -> DataFrame:
+    """A vocabulary that grows with the corpus."""
+    return counts(corpus).where(F.col("n") >= LEAST_COUNT)
+
+
+def cooc_pairs_many_words(corpus: DataFrame) -> DataFrame:
+    return cooc.coded_counts(token_lines(corpus), many_words(corpus), 1)
+
+
+def stripes_tiled(corpus: DataFrame) -> DataFrame:
+    vocabulary = vocab.top_k(counts(corpus), WIDE)
+    directed = cooc.directed_counts(token_lines(corpus), vocabulary, 1, small=WIDE <= vocab.SMALL_ROWS)
+    return cooc.tile_text(cooc.tiled_stripes(directed, vocabulary, TILE, small=WIDE <= vocab.SMALL_ROWS))
+
+
+def top_words_in_rounds(corpus: DataFrame) -> DataFrame:
+    return vocab.top_k_in_rounds(ranked_parts(documents(corpus)), TOP_WORDS)
+
+
+def top_terms_in_rounds(corpus: DataFrame) -> DataFrame:
+    best = vocab.top_k_in_rounds(ranked_parts(documents(corpus), by_document=True, stem=True), TOP_TERMS)
+    return best.select(F.col("word").alias("term"), F.col("n").alias("df"))
 
 
 def cooc_pairs_per_line(corpus: DataFrame, d=2) -> DataFrame:
@@ -104,7 +133,7 @@ def cooc_pairs_per_line(corpus: DataFrame, d=2) -> DataFrame:
 
 
 def cooc_directed(corpus: DataFrame, d=2) -> DataFrame:
-    return cooc.directed_counts(token_lines(corpus), top_words(corpus), d, SMALL)
+    return cooc.counted_pairs(documents(corpus), top_words(corpus), d, directed=True)
 
 
 def cooc_directed_rollup(corpus: DataFrame, d=2) -> DataFrame:
@@ -123,9 +152,7 @@ def vocab_index(corpus: DataFrame) -> DataFrame:
 
 
 def stripes_dense(corpus: DataFrame, d=1, strip_vocabulary=False) -> DataFrame:
-    vocabulary = top_words(corpus, strip=strip_vocabulary)
-    directed = cooc.directed_counts(token_lines(corpus), vocabulary, d, SMALL)
-    return cooc.stripe_text(cooc.stripes(directed, vocabulary))
+    return cooc.stripe_text(cooc.listed_stripes(documents(corpus), top_words(corpus, strip=strip_vocabulary), d))
 
 
 def idf(corpus: DataFrame) -> DataFrame:
@@ -205,6 +232,10 @@ def all_queries() -> dict:
         "cooc_directed": cooc_directed,
         "cooc_directed_rollup": cooc_directed_rollup,
         "stripes_sparse": stripes_sparse,
+        "stripes_tiled": stripes_tiled,
+        "cooc_pairs_many_words": cooc_pairs_many_words,
+        "top50_words_in_rounds": top_words_in_rounds,
+        "top100_df_stemmed_in_rounds": top_terms_in_rounds,
         "counts_parsed": lambda c: side_files.parse_word_counts(tsv_lines(c)),
         "vocabulary_parsed": lambda c: side_files.parse_vocabulary(tsv_lines(c)),
         "df_ranks_parsed": lambda c: side_files.parse_document_frequencies(tsv_lines(c)),

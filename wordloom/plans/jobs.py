@@ -45,30 +45,40 @@ def pairs(
 ) -> None:
     """`w1,w2 <tab> n` in key order."""
     known = read_vocabulary(spark, vocabulary)
-    lines = _token_lines(spark, corpus, stop_files, case_sensitive)
-    counted = cooc.pair_counts(lines, known, d, small=vocab.is_small(known))
+    counted = _counted(_token_lines(spark, corpus, stop_files, case_sensitive), known, d, directed=False)
     write_lines(sorted_tsv(cooc.pair_keys(counted), "pair"), output)
 
 
+def _counted(lines: DataFrame, known: DataFrame, d: int, directed: bool) -> DataFrame:
+    """By the size of the vocabulary: a list on every worker, a broadcast filter, or numbers for words."""
+    if vocab.is_listed(known, "word"):
+        return cooc.counted_pairs(lines, known, d, directed)
+    if vocab.is_small(known):
+        return (cooc.directed_counts if directed else cooc.pair_counts)(lines, known, d, small=True)
+    return cooc.coded_counts(lines, known, d, directed)
+
+
 def stripes(
     spark, corpus: str, vocabulary: str, output: str, d: int = 1, sparse: bool = False,
     stop_files: Sequence[str] = (), case_sensitive: bool = False
 ) -> None:
     """`word <tab> [n0, n1, ...]` in word order; or, `sparse`, `word <tab> idx <tab> n` for the cells that are not 0.
 
-    Dense stripes are for vocabularies that may be a list beside every row, others have to be sparse.
+    Dense stripes of a wide vocabulary are made of tiles.
     """
     known = read_vocabulary(spark, vocabulary)
-    if not sparse and not vocab.is_listed(known, "word"):
-        raise ValueError(f"{vocabulary} is too large for dense stripes; write sparse ones")
     lines = _token_lines(spark, corpus, stop_files, case_sensitive)
-    small = vocab.is_small(known)
-    directed = cooc.directed_counts(lines, known, d, small)
-    if sparse:
-        cells = cooc.sparse_stripes(directed, known, small).orderBy("word", "idx")
-        write_lines(cells.select(tab_line("word", "idx", "n").alias("line")), output)
+    if not sparse and vocab.is_listed(known, "word"):
+        text = cooc.stripe_text(cooc.listed_stripes(lines, known, d))
     else:
-        write_lines(sorted_tsv(cooc.stripe_text(cooc.stripes(directed, known)), "word", "stripe"), output)
+        small = vocab.is_small(known)
+        directed = _counted(lines, known, d, directed=True)
+        if sparse:
+            cells = cooc.sparse_stripes(directed, known, small).orderBy("word", "idx")
+            write_lines(cells.select(tab_line("word", "idx", "n").alias("line")), output)
+            return
+        text = cooc.tiled_stripe_text(cooc.tiled_stripes(directed, known, small=small))
+    write_lines(sorted_tsv(text, "word", "stripe"), output)
 
 
 def document_frequency(

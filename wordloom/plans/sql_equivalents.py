@@ -8,7 +8,7 @@ list are those of the queries.
 
 from __future__ import annotations
 
-from wordloom.plans.catalogue import ASSUMED_DOCUMENTS, DISTANCES, TOP_TERMS, TOP_WORDS, stop_patterns
+from wordloom.plans.catalogue import ASSUMED_DOCUMENTS, DISTANCES, LEAST_COUNT, TILE, TOP_TERMS, TOP_WORDS, WIDE, stop_patterns
 
 
 # The rules of steps 2, 3 and 4 in the order of the paper, with its two amendments.
@@ -248,6 +248,13 @@ def all_sql() -> dict[str, str]:
         "stripes_sparse": f"""{_with(tok, vocab, _events(2), f"dir AS ({DIRECTED})")},
             place AS (SELECT word, (row_number() OVER (ORDER BY word) - 1)::INTEGER AS idx FROM vocab)
             SELECT w1 AS word, idx, n FROM dir JOIN place ON word = w2""",
+        "stripes_tiled": f"""{_with(tok, _counts("c", "tok"), f"vocab AS (SELECT word FROM c ORDER BY n DESC, word LIMIT {WIDE})", _events(1), f"dir AS ({DIRECTED})")},
+            place AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS idx FROM vocab)
+            SELECT f.w1 AS word, (p.idx // {TILE})::INTEGER AS tile, string_agg(coalesce(dir.n, 0)::VARCHAR, ', ' ORDER BY p.idx) AS cells
+            FROM (SELECT DISTINCT w1 FROM dir) f CROSS JOIN place p LEFT JOIN dir ON dir.w1 = f.w1 AND dir.w2 = p.word GROUP BY ALL""",
+        "cooc_pairs_many_words": f"""{_with(tok, _counts("c", "tok"), f"vocab AS (SELECT word FROM c WHERE n >= {LEAST_COUNT})", _events(1))} {PAIRS}""",
+        "top50_words_in_rounds": f"{_with(tok, vocab)} SELECT word, n FROM vocab",
+        "top100_df_stemmed_in_rounds": f"{df_stemmed} SELECT term, df FROM freqs {in_word_order} LIMIT {TOP_TERMS}",
         "counts_parsed": f"""{_with(_lines("l"), PARSED)}
             SELECT word, arg_max(n, idx) AS n FROM good WHERE n IS NOT NULL GROUP BY word""",
         "vocabulary_parsed": f"{_with(_lines('l'), PARSED)} SELECT DISTINCT split_part(value, chr(9), 1) AS word FROM tsv",
