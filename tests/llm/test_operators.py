@@ -127,6 +127,62 @@ def test_slots_take_each_block_once_per_pass(spark):
     assert mixing.shard_counts(dealt).agg(F.sum("n")).first()[0] == dealt.count() == 164
 
 
+def test_blocks_of_the_mix_are_those_of_their_source(spark, documents):
+    """Every block of the mix, put together from its pieces, is a stretch of its source's words, the same for all slots that take it."""
+    rng = random.Random(9)
+    texts = [None, "", " \t\n", *("".join(f"w{i}_{j}" + rng.choice([" ", "\n", "  ", "\t\r\n"]) for j in range(rng.choice((1, 7, 60)))) for i in range(80)), "é " * 300, "twice x", "twice x"]
+    sources = [rng.choice(["a", "b", None]) for _ in texts]
+    ids = [*range(len(texts) - 2), 900, 900]
+    sources[-1] = sources[-2]
+    folder = documents(*texts, sources=sources, ids=ids, extra="words")
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    sizes = mixing.sized(table).checkpoint()
+    for places in (1, 5):
+        pieces = mixing.packed(table, sizes, places, block_words=16).collect()
+        blocks = defaultdict(list)
+        for p in pieces:
+            blocks[p["source"], p["block"]].append((p["at_word"], p["words"], p["starts"], p["doc_id"]))
+        streams, of_doc = defaultdict(list), defaultdict(list)
+        for (source, block), parts in sorted(blocks.items(), key=lambda x: x[0][1]):
+            parts.sort()
+            at = 0
+            for at_word, words, starts, doc_id in parts:
+                assert at_word == at
+                at += len(words.split(" "))
+                of_doc[source, doc_id, starts].append(words)
+                streams[source] += words.split(" ")
+            assert at == 16 or block == max(b for s, b in blocks if s == source)
+        whole = sorted(((s, i, " ".join(w)) for (s, i, _), w in of_doc.items()), key=repr)
+        assert whole == sorted(((s, i, " ".join(t.split())) for s, i, t in zip(sources, ids, texts) if t and t.split()), key=repr)
+    plan = mixing.targets(sizes)
+    mix = mixing.mixed(table, sizes, plan, block_words=16).collect()
+    slots = defaultdict(list)
+    for r in mix:
+        slots[r["source"], r["slot"], r["shard"], r["block"]].append((r["at_word"], r["words"]))
+    for (source, _, _, block), parts in slots.items():
+        words = " ".join(w for _, w in sorted(parts)).split(" ")
+        assert len(words) == 16 or len(words) == len(streams[source]) % 16
+    assert len({key[:2] for key in slots}) == len(slots)
+    for r in plan.collect():
+        own = [key for key in slots if key[0] == r["source"]]
+        assert sorted(key[1] for key in own) == list(range(len(own)))
+        assert len(own) == round(r["target"] * -(-r["source_size"] // 16) / r["source_size"])
+
+
+def test_the_stage_gives_the_words_that_the_query_counts(spark, documents):
+    rng = random.Random(3)
+    texts = ["x" * 1_000_000, "y " * 30_000, *(" ".join(f"t{i}" for _ in range(rng.randrange(300))) for i in range(60))]
+    folder = documents(*texts, sources=[rng.choice("ab") for _ in texts])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    mix = mixing.stage(spark, docs, folder)
+    assert mix.columns == ["shard", "slot", "source", "block", "at_word", "doc_id", "words"]
+    counted = defaultdict(int)
+    for r in mix.collect():
+        counted[r["doc_id"]] += len(r["words"].split(" "))
+        assert set(r["words"].split(" ")) <= set(texts[r["doc_id"]].split())
+    assert {r["doc_id"]: r["taken"] for r in mixing.query(spark, folder).collect() if r["taken"]} == counted
+
+
 # op3
 
 

@@ -6,16 +6,19 @@ slots of all sources are dealt to output shards: the counts of a source over the
 multinomial draw of its slots, so a shard's counts over the sources are one too, given the
 totals. Slots of a source are numbered through its shards; number i takes the block that a pseudorandom
 permutation of the source's block indices gives for i, a new permutation for every pass
-through the source. Blocks are joined by (source, index).
+through the source. Blocks are joined by (source, index), with their words: the mix is a table of pieces, what a
+block has from one document, by shard, slot and place in the block, and how much was taken of a document is counted in the words of that table.
 
 A pass takes each block once, so a block is taken at most as often as there are passes begun. With
 targets of at most twice the size, no document is taken more than twice.
 
-Documents are ordered by id and size within a source (null ids first); repeated rows follow each other. All
+Words stand in their source by ranges of a hash of id and text, and in a range by id (null ids first), size and that hash; the offset of a
+document is what stands before it in its range and in earlier ranges, so no window holds more than a range, of about
+`RANGE_WORDS` words whatever the size of the source. Repeated rows follow each other. All
 draws are hashes of the seed, the source and the slot: reruns agree, whatever the partitioning.
 Documents without a word take part with size 0 and are never taken. A null source is a source like any
-other and comes last. An empty table gives an empty mix. Only the id, the source and the
-number of words of a document are ever moved.
+other and comes last. An empty table gives an empty mix. Texts move twice, to their range and, cut into pieces, to their block; words are joined by single blanks there.
+Only `doc_id`, `source` and `text` are read, so further columns may have any name.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wordloom.functions.text import bound
 from wordloom.llm.stored import cut
 
 WORD_BREAKS = r"[\x20\x09-\x0D]+"
@@ -32,24 +36,28 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MIX_SHARE = 1.5
 MOST_PASSES = 2.0
 
-BLOCK_WORDS = 32
-SHARD_SLOTS = 1 << 14
+BLOCK_WORDS = 128
+SHARD_SLOTS = 1 << 12
 SEED = 20
 ROUNDS = 12
 
 # Documents of a source are placed in two steps, ranges of hashes and rows within one.
-PLACES = 4096
+RANGE_WORDS = 1 << 20
 CHUNK_SLOTS = 1 << 12
 
 
+def trimmed(text: Column) -> Column:
+    return F.trim(F.coalesce(text, F.lit("")), F.lit(" \t\n\v\f\r"))
+
+
 def word_count(text: Column) -> Column:
-    trimmed = F.trim(F.coalesce(text, F.lit("")), F.lit(" \t\n\v\f\r"))
-    return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, WORD_BREAKS, -1))).cast("long")
+    text = trimmed(text)
+    return F.when(text == "", 0).otherwise(F.size(F.split(text, WORD_BREAKS, -1))).cast("long")
 
 
 def sized(documents: DataFrame) -> DataFrame:
-    """(doc_id, text, source) -> (doc_id, source, size)."""
-    return documents.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    """(doc_id, text, source) -> (doc_id, source, size, hash)."""
+    return documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("hash"))
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = MIX_SHARE, passes: float = MOST_PASSES) -> DataFrame:
@@ -82,34 +90,44 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = MIX_SHARE, passes:
     return sources.select("source", "source_size", target.alias("target"))
 
 
-def packed(sizes: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, source, size) -> (source, block, doc_id, size, copy, words): what of a document lies in which block.
+def ranges(sizes: DataFrame, range_words: int = RANGE_WORDS) -> int:
+    """How many ranges a source has, by the words of all: one number that comes to the driver."""
+    return max(1, -(-(sizes.agg(F.sum("size")).first()[0] or 0) // range_words))
+
 
-    `copy` numbers repeated rows. Offsets are prefix sums in two steps, so that a source may hold any share
-    of the rows: no window holds more than one range of its documents.
+def placed(rows: DataFrame, sizes: DataFrame, places: int) -> DataFrame:
+    """(doc_id, source, size, hash, ...) -> the same with `starts`, the number of words of the source before it, for rows with words.
+
+    `rows` and `sizes` are the same documents. (source, starts) names a document.
     """
-    rows = sizes.where("size > 0").groupBy("source", "doc_id", "size").agg(F.count("*").alias("copies"))
-    place = F.pmod(F.xxhash64("doc_id", "size"), F.lit(PLACES)).cast("int")
-    rows = rows.select("*", F.struct("source", place.alias("place")).alias("at"), (F.col("size") * F.col("copies")).alias("words"))
-    sums = rows.groupBy("at").agg(F.sum("words").alias("words"))
+    at = F.struct("source", F.pmod(F.xxhash64("doc_id", "hash"), F.lit(places)).alias("place")).alias("at")
+    sums = sizes.where("size > 0").select(at, "size").groupBy("at").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("at.source").orderBy("at.place").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("at", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("place_starts"))
-    before = Window.partitionBy("at").orderBy(F.asc_nulls_first("doc_id"), "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("starts", F.coalesce(F.sum("words").over(before), F.lit(0))).join(sums, "at")
-    copies = rows.select(
-        "source",
-        "doc_id",
-        "size",
-        (F.col("starts") + F.col("place_starts")).alias("starts"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"),
-    )
-    copies = copies.withColumn("starts", F.col("starts") + F.col("copy") * F.col("size"))
-    first = F.floor(F.col("starts") / block_words)
-    last = F.floor((F.col("starts") + F.col("size") - 1) / block_words)
-    pieces = copies.select("*", F.explode(F.sequence(first, last)).alias("block"))
-    begins = F.greatest("starts", F.col("block") * block_words)
-    ends = F.least(F.col("starts") + F.col("size"), (F.col("block") + 1) * block_words)
-    return pieces.select("source", "block", "doc_id", "size", "copy", (ends - begins).alias("words"))
+    before = Window.partitionBy("at").orderBy(F.asc_nulls_first("doc_id"), "size", "hash").rowsBetween(Window.unboundedPreceding, -1)
+    found = rows.where("size > 0").select("*", at).withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    return found.join(sums, "at").select(*rows.columns, (F.col("place_starts") + F.col("before")).alias("starts"))
+
+
+def packed(documents: DataFrame, sizes: DataFrame, places: int, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(doc_id, text, source) -> (source, block, at_word, doc_id, starts, words): what of a document lies where in which block.
+
+    `words` are the words of the piece, joined by blanks.
+    """
+    rows = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("hash"), "text")
+    rows = placed(rows, sizes, places)
+    starts, ends = F.col("starts"), F.col("starts") + F.col("size")
+    blocks = F.sequence(F.floor(starts / block_words), F.floor((ends - 1) / block_words))
+
+    def piece(parts: Column, block: Column) -> Column:
+        first, last = F.greatest(starts, block * block_words), F.least(ends, (block + 1) * block_words)
+        own = F.slice(parts, (first - starts + 1).cast("int"), (last - first).cast("int"))
+        return F.struct(block.alias("block"), (first - block * block_words).cast("int").alias("at_word"), F.array_join(own, " ").alias("words"))
+
+    # Cut inside the row, so that no row is repeated whole for each of its pieces.
+    pieces = bound(F.split(trimmed(F.col("text")), WORD_BREAKS, -1), lambda parts: F.transform(blocks, lambda block: piece(parts, block)))
+    found = rows.select("source", "doc_id", "starts", F.explode(pieces).alias("piece"))
+    return found.select("source", "piece.block", "piece.at_word", "doc_id", "starts", "piece.words")
 
 
 def permuted(index: Column, n: Column, *keys: Column) -> Column:
@@ -129,7 +147,7 @@ def permuted(index: Column, n: Column, *keys: Column) -> Column:
 
 
 def slots(planned: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
-    """(source, source_size, target) -> (shard, source, block), a row per slot of the mix.
+    """(source, source_size, target) -> (shard, slot, source, block), a row per slot of the mix.
 
     The number of slots of a source is its target in blocks; the last, shorter block counts as what it holds.
     """
@@ -154,7 +172,7 @@ def slots(planned: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     run = F.floor(F.col("draw") / F.col("n_blocks"))
     index = F.col("draw") % F.col("n_blocks")
     block = permuted(index, F.col("n_blocks"), F.lit(seed), F.coalesce("source", F.lit("")), F.col("source").isNull(), run)
-    return dealt.select(shard.alias("shard"), "source", block.alias("block"))
+    return dealt.select(shard.alias("shard"), F.col("draw").alias("slot"), "source", block.alias("block"))
 
 
 def shard_counts(dealt: DataFrame) -> DataFrame:
@@ -163,40 +181,47 @@ def shard_counts(dealt: DataFrame) -> DataFrame:
 
 
 def mixed_pieces(dealt: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Slots and packed blocks -> (shard, source, block, doc_id, size, copy, words): the mix, written out."""
+    """Slots and packed blocks -> (shard, slot, source, block, at_word, doc_id, starts, words): the mix, written out."""
     key = lambda side: side.withColumn("at", F.struct("source", "block"))
     pieces = key(blocks).drop("source", "block")
+    # Sizes of what is generated from a few rows are estimated far too low, so the join is told not to broadcast.
     return key(dealt).hint("merge").join(pieces.hint("merge"), "at").drop("at")
 
 
+def mixed(documents: DataFrame, sizes: DataFrame, plan: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mix of the documents, whose sizes and plan are given."""
+    return mixed_pieces(slots(plan, block_words), packed(documents, sizes, ranges(sizes), block_words))
+
+
+def words_in(words: Column) -> Column:
+    """Number of words of a piece, counted in its text."""
+    return (F.octet_length(words) - F.octet_length(F.replace(words, F.lit(" "), F.lit(""))) + 1).cast("long")
+
+
 def taken(documents: DataFrame) -> DataFrame:
-    """(doc_id, text, source) -> (doc_id, size, source_size, target, taken), a row per document.
+    """(doc_id, text, source) -> (doc_id, size, source_size, target, taken, source), a row per document.
 
-    How often a block is taken is counted before the join with the blocks, which gives the same as counting
-    the rows of `mixed_pieces`.
+    What is taken of a document is counted in the words that the mix holds of it.
     """
-    sizes = cut(sized(documents))  # the texts are read once
+    sizes = cut(sized(documents))
     plan = targets(sizes)
-    key = F.struct("source", "block").alias("at")
-    times = slots(plan).select(key).groupBy("at").agg(F.count("*").alias("times"))
-    blocks = packed(sizes).select(key, "source", "doc_id", "size", "copy", "words")
-    # Sizes of what is generated from a few rows are estimated far too low, so the join is told not to broadcast.
-    took = blocks.join(times.hint("merge"), "at").groupBy("source", "doc_id", "size", "copy").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    # Documents of which nothing was taken come back with 0 words, and so do those without a word.
-    rows = sizes.groupBy("source", "doc_id", "size").agg(F.count("*").alias("copies"))
-    rows = rows.select("source", "doc_id", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
-    rows = rows.select("*", F.lit(0).cast("long").alias("taken"))
-    every = took.select(rows.columns).union(rows).groupBy("source", "doc_id", "size", "copy").agg(F.sum("taken").alias("taken"))
-    every = every.withColumn("of", F.struct("source"))
+    mix = mixed(documents, sizes, plan)
+    name = F.struct("source", "starts").alias("name")
+    took = mix.select(name, words_in(F.col("words")).alias("n")).groupBy("name").agg(F.sum("n").alias("taken"))
+    # Documents of which nothing was taken have 0 words in the mix, and so do those without a word.
+    rows = placed(sizes, sizes, ranges(sizes)).select("doc_id", "size", "source", name)
+    rows = rows.hint("merge").join(took.hint("merge"), "name", "left").select("doc_id", "size", "source", F.coalesce("taken", F.lit(0)).alias("taken"))
+    rows = rows.union(sizes.where("size = 0").select("doc_id", "size", "source", F.lit(0).cast("long")))
     known = plan.select(F.struct("source").alias("of"), "source_size", "target")
-    return every.join(known, "of").select("doc_id", "size", "source_size", "target", "taken", "source")
+    return rows.withColumn("of", F.struct("source")).join(known, "of").select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix over what the stages before have kept."""
-    return taken(docs)
+    """The mix over what the stages before have kept, with its words: (shard, slot, source, block, at_word, doc_id, words)."""
+    sizes = cut(sized(docs))
+    return mixed(docs, sizes, targets(sizes)).drop("starts")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op2: the mix of `documents`."""
+    """op2: what the mix of `documents` takes of each."""
     return taken(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source"))
