@@ -42,7 +42,7 @@ SEED = 20
 ROUNDS = 12
 
 # Documents of a source are placed in two steps, ranges of hashes and rows within one.
-RANGE_WORDS = 1 << 20
+RANGE_WORDS = 1 << 18
 CHUNK_SLOTS = 1 << 12
 
 
@@ -96,16 +96,16 @@ def ranges(sizes: DataFrame, range_words: int = RANGE_WORDS) -> int:
 
 
 def placed(rows: DataFrame, sizes: DataFrame, places: int) -> DataFrame:
-    """(doc_id, source, size, hash, ...) -> the same with `starts`, the number of words of the source before it, for rows with words.
+    """(doc_id, source, size, hash, ...) -> the same with `starts`, the number of words of the source before it.
 
-    `rows` and `sizes` are the same documents. (source, starts) names a document.
+    `rows` and `sizes` are the same documents, without those that have no word. (source, starts) names a document.
     """
     at = F.struct("source", F.pmod(F.xxhash64("doc_id", "hash"), F.lit(places)).alias("place")).alias("at")
-    sums = sizes.where("size > 0").select(at, "size").groupBy("at").agg(F.sum("size").alias("words"))
+    sums = sizes.select(at, "size").groupBy("at").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("at.source").orderBy("at.place").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("at", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("place_starts"))
     before = Window.partitionBy("at").orderBy(F.asc_nulls_first("doc_id"), "size", "hash").rowsBetween(Window.unboundedPreceding, -1)
-    found = rows.where("size > 0").select("*", at).withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    found = rows.select("*", at).withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
     return found.join(sums, "at").select(*rows.columns, (F.col("place_starts") + F.col("before")).alias("starts"))
 
 
@@ -114,8 +114,10 @@ def packed(documents: DataFrame, sizes: DataFrame, places: int, block_words: int
 
     `words` are the words of the piece, joined by blanks.
     """
-    rows = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("hash"), "text")
-    rows = placed(rows, sizes, places)
+    # A filter on the size would split each text once more.
+    rows = documents.where(trimmed(F.col("text")) != "")
+    rows = rows.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("hash"), "text")
+    rows = placed(rows, sizes.where("size > 0"), places)
     starts, ends = F.col("starts"), F.col("starts") + F.col("size")
     blocks = F.sequence(F.floor(starts / block_words), F.floor((ends - 1) / block_words))
 
@@ -209,7 +211,8 @@ def taken(documents: DataFrame) -> DataFrame:
     name = F.struct("source", "starts").alias("name")
     took = mix.select(name, words_in(F.col("words")).alias("n")).groupBy("name").agg(F.sum("n").alias("taken"))
     # Documents of which nothing was taken have 0 words in the mix, and so do those without a word.
-    rows = placed(sizes, sizes, ranges(sizes)).select("doc_id", "size", "source", name)
+    with_words = sizes.where("size > 0")
+    rows = placed(with_words, with_words, ranges(sizes)).select("doc_id", "size", "source", name)
     rows = rows.hint("merge").join(took.hint("merge"), "name", "left").select("doc_id", "size", "source", F.coalesce("taken", F.lit(0)).alias("taken"))
     rows = rows.union(sizes.where("size = 0").select("doc_id", "size", "source", F.lit(0).cast("long")))
     known = plan.select(F.struct("source").alias("of"), "source_size", "target")
