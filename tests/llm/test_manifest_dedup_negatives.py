@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wordloom.llm import exact_dedup, hard_negatives, merkle
+from wordloom.llm import decontamination, exact_dedup, hard_negatives, merkle
 
 H = lambda text: hashlib.sha256(text.encode()).hexdigest()
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
@@ -241,3 +241,41 @@ def test_bounds_hold_and_leave_rows_out():
     # The upper bounds of most pairs of different clusters are below the scores inside a cluster.
     inside = np.diag(scores) * 0.9
     assert (upper < inside[:, None]).mean() > 0.5
+
+
+# benchmark decontamination by blocks
+
+
+def test_blocks_of_a_benchmark_find_what_one_block_finds(spark, monkeypatch):
+    pick = random.Random(6)
+    word = lambda: f"w{pick.randrange(400)}"
+    texts = [" ".join(word() for _ in range(pick.choice((1, 3, 12, 40)))) for _ in range(30)]
+    items = [(i, texts[i % 30]) for i in range(45)] + [(7, texts[7]), (None, texts[3]), (90, None), (91, ""), (92, "!!")]
+    rows = [(i, " ".join([*(word() for _ in range(20)), pick.choice(texts), *(word() for _ in range(20))])) for i in range(60)] + [(60, None), (None, texts[5]), (3, texts[5])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = clashing(spark.createDataFrame(rows, "doc_id long, text string")).withColumns({c: F.lit("x") for c in ("found", "doc", "text_id", "item_id")})
+    one = sorted(map(tuple, decontamination.found_items(docs, benchmark).collect()), key=repr)
+    clean = sorted(map(tuple, decontamination.without_items(docs, benchmark).collect()), key=repr)
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 600)
+    blocks = list(decontamination.text_blocks(decontamination.distinct_texts(benchmark)))
+    assert len(blocks) > 3 and sum(map(len, blocks)) == 33
+    assert sorted(map(tuple, decontamination.found_items(docs, benchmark).collect()), key=repr) == one
+    assert sorted(map(tuple, decontamination.without_items(docs, benchmark).collect()), key=repr) == clean
+    assert decontamination.without_items(docs, benchmark).columns == docs.columns
+    words_of = lambda text: (text or "").split()
+
+    def shingles(words, n):
+        return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+
+    expected = []
+    for doc_id, text in rows:
+        for item_id, item in items:
+            own = [w for w in words_of(item) if w != "!!"]
+            n = min(5, len(own))
+            if own:
+                wanted = shingles(own, n)
+                shared = len(wanted & shingles(words_of(text), n))
+                if 100 * shared >= 80 * len(wanted):
+                    expected.append((doc_id, item_id, shared, len(wanted)))
+    assert one == sorted(expected, key=repr)
+    assert len(clean) < len(rows) and len(clean) == len([r for r in rows if not any(e[0] == r[0] for e in expected)])

@@ -12,21 +12,23 @@ the document. A document's shingles are looked up in those sketches; partitions
 large for the document are skipped. Candidates are verified against the item's whole set.
 Hashes have 64 bits, and 80 % of a set have to agree before an item counts.
 
-The benchmark is taken in blocks of bounded size, each broadcast; documents are read once for
-all blocks, row by row, nothing of them is shuffled. Repeated items and repeated documents are all
+Equal texts of the benchmark are searched once and given back to all items that have them. The texts are taken in blocks of bounded size (a single longer
+text is a block of its own), one brought to the driver and broadcast at a time; each is a search over the documents, so a worker holds one block. Nothing of the documents is shuffled, but
+what is found joins its items. Repeated items and repeated documents are all
 reported; null texts are empty; an empty benchmark contaminates nothing. Item ids are integers
-or null.
+or null. Columns beside those named may have any name.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordloom.llm.stored import kept_as_table
 from wordloom.llm.wordspans import PUNCTUATION, U64, Slice, shingle_hashes, shingle_starts, slices
 
 SHINGLE_WORDS = 5
@@ -35,7 +37,7 @@ LEAST_PERCENT = 80
 # Text of the benchmark per broadcast block, and what the index of a block of such text takes at most.
 BLOCK_BYTES = 8 << 20
 
-FOUND = "array<struct<item_id: bigint, n_shared: bigint, n_item: bigint>>"
+FOUND = "array<struct<text_id: bigint, n_shared: bigint, n_item: bigint>>"
 _FILTER_BITS = 20
 
 
@@ -128,17 +130,23 @@ def _lookup(sets: Iterable[tuple[int, np.ndarray]]) -> _Lookup:
     return _Lookup(np.concatenate([own for _, own in sets]), np.repeat([i for i, _ in sets], [len(own) for _, own in sets]))
 
 
-def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[list[tuple[int | None, str | None]]]:
-    """(item_id, text) in blocks of about `block_bytes`, each brought to the driver by itself."""
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
-    n = -(-size // block_bytes)
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [[tuple(r) for r in benchmark.where(block == b).select("item_id", "text").collect()] for b in range(n)]
+def distinct_texts(benchmark: DataFrame) -> DataFrame:
+    """(item_id, text) -> (text_id, text): equal texts are searched once, whatever the number of items that have them."""
+    return kept_as_table(benchmark.select("text").distinct().withColumn("text_id", F.monotonically_increasing_id()))
 
 
-def found_items(text: Column, spark: SparkSession, items: list[tuple[int | None, str | None]]) -> Column:
-    """The items of one block that a text contains. Non-deterministic so that it is worked out once."""
-    shared = spark.sparkContext.broadcast(Index(items))
+def text_blocks(texts: DataFrame, block_bytes: int | None = None) -> Iterator[list[tuple[int, str | None]]]:
+    """(text_id, text) in blocks of about `block_bytes`, one after the other; a block goes to every worker."""
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
+    n = -(-size // (block_bytes or BLOCK_BYTES))
+    block = F.pmod(F.xxhash64("text"), F.lit(n))
+    for b in range(n):
+        yield [tuple(r) for r in texts.where(block == b).select("text_id", "text").collect()]
+
+
+def found_texts(text: Column, spark: SparkSession, texts: list[tuple[int, str | None]]) -> Column:
+    """The texts of one block that a text contains. Non-deterministic so that it is worked out once."""
+    shared = spark.sparkContext.broadcast(Index(texts))
 
     @F.arrow_udf(FOUND)
     def find(texts: pa.Array) -> pa.Array:
@@ -147,32 +155,46 @@ def found_items(text: Column, spark: SparkSession, items: list[tuple[int | None,
         for s in slices(texts, lower=True, breaks=PUNCTUATION):
             for text, item, n in index.contained(s):
                 found[s.first + text].append((index.ids[item], n, int(index.sizes[item])))
-        struct = pa.struct([("item_id", pa.int64()), ("n_shared", pa.int64()), ("n_item", pa.int64())])
-        rows = [[dict(zip(("item_id", "n_shared", "n_item"), f)) for f in row] for row in found]
+        struct = pa.struct([("text_id", pa.int64()), ("n_shared", pa.int64()), ("n_item", pa.int64())])
+        rows = [[dict(zip(("text_id", "n_shared", "n_item"), f)) for f in row] for row in found]
         return pa.array(rows, pa.list_(struct))
 
     return find.asNondeterministic()(text)
 
 
-def with_found(rows: DataFrame, benchmark: DataFrame, text: str = "text", name: str = "found") -> DataFrame:
-    """Rows -> the same rows and an array `found` of (item_id, n_shared, n_item)."""
-    blocks = [found_items(F.col(text), rows.sparkSession, items) for items in item_blocks(benchmark)]
-    return rows.withColumn(name, F.concat(*blocks) if blocks else F.array().cast(FOUND))
+def found_items(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, text) -> (doc_id, item_id, n_shared, n_item) for every item that a document contains.
+
+    Each block is a search of its own over the documents, so a worker holds one block.
+    """
+    texts = distinct_texts(benchmark)
+    found = documents.select("doc_id", F.lit(None).cast(FOUND).alias("found")).limit(0)
+    for block in text_blocks(texts):
+        here = documents.select("doc_id", found_texts(F.col("text"), documents.sparkSession, block).alias("found"))
+        found = found.union(here.where(F.size("found") > 0))
+    items = benchmark.join(texts, benchmark["text"].eqNullSafe(texts["text"])).select("text_id", "item_id")
+    return found.select("doc_id", F.inline("found")).join(items, "text_id").select("doc_id", "item_id", "n_shared", "n_item")
+
+
+def without_items(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents that contain no item, with their own columns. What one block leaves is written before the next one looks at it."""
+    left = documents
+    for i, block in enumerate(text_blocks(distinct_texts(benchmark))):
+        held = (kept_as_table(left) if i else left).select(F.struct("*").alias("doc"))
+        held = held.withColumn("found", found_texts(F.col("doc.text"), documents.sparkSession, block))
+        left = held.where(F.size("found") == 0).select("doc.*")
+    return left
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no item of `benchmark`, with their own columns."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    held = with_found(docs.select(F.struct("*").alias("doc"), F.col("text").alias("text")), benchmark)
-    return held.where(F.size("found") == 0).select("doc.*")
+    return without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op6: (doc_id, item_id, n_shared, n_item) for every item of `benchmark` that a document contains."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = with_found(documents, benchmark).where(F.size("found") > 0)
-    return found.select("doc_id", F.inline("found"))
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return found_items(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), benchmark)
 
 
 SQL = r"""

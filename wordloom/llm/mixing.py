@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions.text import bound
-from wordloom.llm.stored import cut
+from wordloom.llm.stored import kept_as_table
 
 WORD_BREAKS = r"[\x20\x09-\x0D]+"
 
@@ -205,7 +205,7 @@ def taken(documents: DataFrame) -> DataFrame:
 
     What is taken of a document is counted in the words that the mix holds of it.
     """
-    sizes = cut(sized(documents))
+    sizes = kept_as_table(sized(documents))
     plan = targets(sizes)
     mix = mixed(documents, sizes, plan)
     name = F.struct("source", "starts").alias("name")
@@ -221,7 +221,7 @@ def taken(documents: DataFrame) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix over what the stages before have kept, with its words: (shard, slot, source, block, at_word, doc_id, words)."""
-    sizes = cut(sized(docs))
+    sizes = kept_as_table(sized(docs))
     return mixed(docs, sizes, targets(sizes)).drop("starts")
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm.stored import cut
+from wordloom.llm.stored import kept_as_table
 
 # The kinds in their order, with their patterns and the least length of what counts.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -205,7 +205,7 @@ def written(found: Column) -> Column:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op10: the secrets of every row of `documents`."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    hits = cut(scanned(documents))  # the texts are scanned once; what is kept are spans
+    hits = kept_as_table(scanned(documents))  # the texts are scanned once; what is kept are spans
     n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return spans(hits, thresholds(hits)).select(
         "doc.doc_id",
