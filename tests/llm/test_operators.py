@@ -546,8 +546,17 @@ def test_pipeline(spark, documents):
         assert then.columns == docs.columns, name
         docs = then.checkpoint()
     assert {r["doc_id"] for r in docs.collect()} - {20} == set(range(20))
-    mix = corpus_pipeline.run(spark, folder)
-    assert {r["doc_id"] for r in mix.collect()} - {20} == set(range(20))
+    # The last stage gives the mix: words of these documents, all of them from sources that give their size or more.
+    sizes = mixing.sized(docs).checkpoint()
+    plan = {r["source"]: r for r in mixing.targets(sizes).collect()}
+    taken, words = defaultdict(int), {r["doc_id"]: r for r in docs.collect()}
+    found = corpus_pipeline.run(spark, folder).collect()
+    for r in found:
+        assert set(r["words"].split(" ")) <= set(words[r["doc_id"]]["text"].split())
+        taken[r["source"]] += len(r["words"].split(" "))
+    whole = {i for i, r in words.items() if plan[r["source"]]["target"] >= plan[r["source"]]["source_size"]}
+    assert len(whole) > 10 and whole <= {r["doc_id"] for r in found} <= set(words)
+    assert all(abs(taken[s] - r["target"]) <= 1.5 * mixing.BLOCK_WORDS for s, r in plan.items())
 
 
 def test_pipeline_of_nothing(spark, tables):
