@@ -6,6 +6,7 @@ import random
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -464,6 +465,48 @@ def test_repeated_windows(spark, documents, seed):
     assert sorted(map(tuple, found)) == expected
 
 
+@pytest.mark.parametrize("shard_bytes", [200, 2000])
+def test_windows_of_anchors_beyond_a_shard(spark, documents, shard_bytes):
+    rng = random.Random(shard_bytes)
+    words = [f"w{i}" for i in range(3000)]
+    phrase = [f"hot{i}" for i in range(5)]
+    passage = [f"long{i}" for i in range(15)]
+    texts = []
+    for i in range(150):
+        around = rng.sample(words, 24)
+        held = phrase if i % 3 else passage
+        texts.append(" ".join(around[:12] + held + around[12:]))
+    texts += texts[:20] + [" ".join(phrase * 30)] * 3
+    ids = rng.sample(range(1000), len(texts))
+    rows = spark.read.parquet(documents(*texts, ids=ids) + "/documents.parquet")
+    rows = substrings.placed(rows.select("doc_id", "text", "_metadata.file_path", "_metadata.row_index").toDF("doc_id", "text", "file", "at"))
+    assert rows.select("row").distinct().count() == len(texts)
+    text_of = dict(zip(ids, texts))
+    found = rows.join(substrings.repeated_windows(rows, shard_bytes), "row").collect()
+    first = {}
+    expected = {}
+    for doc in sorted(ids):
+        split = text_of[doc].split()
+        for i in range(len(split) - 12):
+            if first.setdefault(tuple(split[i : i + 13]), doc) < doc:
+                expected.setdefault(doc, set()).add(i)
+    assert {r["doc_id"]: set(r["starts"]) for r in found} == expected
+
+
+def test_shards_are_bounded_and_hold_whole_keys():
+    rng = random.Random(3)
+    keys = sorted(rng.choices(range(40), k=500)) + [50] * 400 + sorted(rng.choices(range(60, 90), k=300))
+    words = [b"x" * rng.randrange(5, 50) for _ in keys]
+    table = pa.table({"shard": pa.array(keys, pa.int32()), "words": pa.array(words, pa.binary()), "i": range(len(keys))})
+    for divide in (True, False):
+        shards = list(substrings._shards(iter(table.to_batches(max_chunksize=37)), 2000, divide))
+        assert sorted(i for t, _ in shards for i in t.column("i").to_pylist()) == list(range(len(keys)))
+        whole = [set(t.column("shard").to_pylist()) for t, large in shards if not large]
+        assert sum(map(len, whole)) == len(set().union(*whole))
+        assert {k for t, large in shards if large for k in t.column("shard").to_pylist()} == ({50} if divide else set())
+        assert all(sum(map(len, t.column("words").to_pylist())) <= 2000 + 37 * 50 for t, _ in shards) or not divide
+
+
 def test_equal_and_null_ids_take_nothing_from_each_other(spark, documents):
     text = " ".join(f"n{i}" for i in range(20))
     found = run(spark, "op9", documents(text, text, text, text, ids=[4, 4, None, 6])).collect()

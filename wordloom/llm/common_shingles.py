@@ -93,11 +93,6 @@ def tokens_of(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> U64(64 - bits - _BITS)).view(np.int64)
 
 
-def shard_of(tokens: np.ndarray) -> np.ndarray:
-    """The bucket of a token."""
-    return tokens >> _BITS
-
-
 def _pressed(values: np.ndarray, documents: np.ndarray) -> bytes:
     """40-bit values and sorted 16-bit numbers."""
     steps = np.diff(documents, prepend=0).astype("<u2")

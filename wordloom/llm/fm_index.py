@@ -63,9 +63,12 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    def __init__(self, text: np.ndarray, size: int):
-        self.suffixes = suffix_array(text)
-        self.transform = WaveletMatrix(text[self.suffixes - 1], size)
+    """The suffix array is kept only if nothing stands at the places; otherwise it puts `marks` in order and is dropped."""
+
+    def __init__(self, text: np.ndarray, size: int, marks: np.ndarray | None = None):
+        suffixes = suffix_array(text)
+        self.suffixes, self.marks = (suffixes, None) if marks is None else (None, marks[suffixes])
+        self.transform = WaveletMatrix(text[suffixes - 1], size)
         self.before = np.append(0, np.cumsum(np.bincount(text, minlength=size)))
 
     def intervals(self, patterns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -82,14 +85,12 @@ class FMIndex:
 
 
 def range_minima(values: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """Smallest value in each non-empty range, from a table of minima over powers of two."""
-    table = [values]
-    while 2 * (1 << (len(table) - 1)) <= len(values):
-        half = 1 << (len(table) - 1)
-        table.append(np.minimum(table[-1][:-half], table[-1][half:]))
-    out = np.empty(len(start), values.dtype)
-    level = np.array([int(n).bit_length() - 1 for n in range(int((stop - start).max(initial=1)) + 1)])[stop - start]
-    for k in np.unique(level):
-        here = level == k
-        out[here] = np.minimum(table[k][start[here]], table[k][stop[here] - (1 << k)])
-    return out
+    """Smallest value in each non-empty range.
+
+    Every different range is read once: intervals of patterns of one length are equal or apart, so that takes no
+    more than the values, and no table.
+    """
+    if not len(start):
+        return np.empty(0, values.dtype)
+    pairs, which = np.unique(np.stack([start, stop], axis=1), axis=0, return_inverse=True)
+    return np.minimum.reduceat(np.append(values, values[-1:]), pairs.ravel())[::2][which.ravel()]

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 
 def _set_folder(rows: DataFrame) -> None:
@@ -39,3 +40,16 @@ def kept_as_table(rows: DataFrame) -> DataFrame:
     path = f"{context.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """(file, at, ...) of a scan, the file's path and the row's place in it -> the same with `row` in their place.
+
+    Numbers of a file follow each other without gaps, and every scan gives the same ones, however it is cut. The names
+    of the files are numbered in one task and broadcast: a list the driver holds to plan the scan.
+    """
+    number = (F.row_number().over(Window.orderBy("file")) - 1).cast("long").alias("number")
+    files = rows.select("file").distinct().select("file", number)
+    row = F.shiftleft("number", 40) + F.col("at")
+    others = [c for c in rows.columns if c not in ("file", "at")]
+    return rows.join(F.broadcast(files), "file").select(row.alias("row"), *others)
