@@ -92,5 +92,7 @@ def range_minima(values: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.
     """
     if not len(start):
         return np.empty(0, values.dtype)
-    pairs, which = np.unique(np.stack([start, stop], axis=1), axis=0, return_inverse=True)
-    return np.minimum.reduceat(np.append(values, values[-1:]), pairs.ravel())[::2][which.ravel()]
+    width = len(values) + 1
+    ranges, which = np.unique(start * width + stop, return_inverse=True)
+    bounds = np.stack([ranges // width, ranges % width], axis=1).ravel()
+    return np.minimum.reduceat(np.append(values, values[-1:]), bounds)[::2][which]
