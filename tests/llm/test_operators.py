@@ -313,6 +313,44 @@ def test_held_out_layouts(sample):
     assert right >= 0.99 * total
 
 
+NAV, END = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/b'>News</a></li></ul></nav>", "<footer>&copy; me</footer>"
+PARAGRAPH = "<p>+A full sentence of the text, which goes on for a while and then ends as it should do.</p>"
+REPLIES = "<section class='{}'><h3>Two replies</h3><p>I liked this text a lot, thank you.</p><p>I did not like it at all, sorry.</p></section>"
+# Labelled by hand: what begins with + is main text. Classes like `zorp` are in no layout.
+BY_HAND = [
+    NAV + "<article><h1>+Title</h1>" + PARAGRAPH * 3 + "<div class='notice'>A notice about something that, perhaps, changed.</div>" + PARAGRAPH * 2 + "</article>" + END,
+    NAV + "<article><h1>+Title</h1>" + PARAGRAPH * 3 + "</article>" + REPLIES.format("responses") + END,
+    NAV + "<article><h1>+Title</h1>" + PARAGRAPH * 3 + REPLIES.format("responses") + "</article>" + END,
+    NAV + "<article class='alert-system-review'><h1>+Title</h1>" + PARAGRAPH * 3 + "</article>" + END,
+    NAV + "<article><header><h1>+Title</h1></header>" + PARAGRAPH * 3 + "</article>" + END,
+    NAV + "<div class='zorp'><h1>+Title</h1>" + PARAGRAPH * 3 + "</div><aside><p>Something else that we wrote.</p></aside>" + END,
+    NAV + "<article class='zorp'><h1>+Title</h1>" + PARAGRAPH * 2 + "<ul><li>+One thing that is named.</li><li>+Another one.</li></ul></article><footer class='zorp'><p>About us, and so on.</p></footer>",
+]
+
+
+def test_pages_labelled_by_hand(sample):
+    model = html_text.trained(sample[:100])
+    for page in BY_HAND:
+        found = html_blocks.blocks(page)
+        labels = [int(b.text.startswith("+")) for b in found]
+        for b in found:
+            b.text = b.text.removeprefix("+")
+        assert model.decode(html_text.features(found)) == labels, page
+
+
+def test_features_hold_no_label():
+    inside, outside = (html_blocks.blocks(f"<article><p class='{c}'>Text.</p></article>")[0] for c in ("zorp", "advert"))
+    assert html_text.marked_up(inside) != html_text.marked_up(outside)
+    different = set(html_text._of_path(inside.path)) ^ set(html_text._of_path(outside.path))
+    assert different == {html_text._feature(f"{kind} {c}") for kind in ("name", "own") for c in ("zorp", "advert")}
+
+
+def test_copies_and_long_pages_leave_the_sample_whole(spark):
+    rows = [(f"<article><p>Page {i}</p></article>",) for i in range(30) for _ in range(40)] + [("<p>" + "x" * html_text.SAMPLED_CHARS,)]
+    found = html_text.sample_of(spark.createDataFrame(rows, "html string"), most=100)
+    assert sorted(found) == sorted({r[0] for r in rows[:-1]})
+
+
 def test_pages(spark, tables, sample):
     pages = [(i, "u", h) for i, h in enumerate(sample[:60])] + [(60, None, None), (61, "", ""), (61, "", " <p> "), (None, "u", sample[0])]
     pages.append((62, "u", "<article>" + "<p>A sentence, and more of it.</p>" * 5000 + "</article>"))

@@ -7,6 +7,7 @@ from zlib import crc32
 import numpy as np
 
 DIMENSIONS = 1 << 14
+CHAIN = 300  # blocks of a page that are fitted in a row
 
 
 def hashed(name: str) -> int:
@@ -56,8 +57,11 @@ def _log_add(a: np.ndarray, axis: int) -> np.ndarray:
 
 
 def fit(pages: list[tuple[list[list[int]], list[int]]], rounds: int = 120, rate: float = 0.15, penalty: float = 1e-4) -> Model:
-    """Maximum likelihood with a quadratic penalty, by Adam on all pages at once; forward-backward for the gradient."""
-    pages = [(f, y) for f, y in pages if f]
+    """Maximum likelihood with a quadratic penalty, by Adam on all pages at once; forward-backward for the gradient.
+
+    Longer pages are taken as several chains, so that one of them does not set the width of all.
+    """
+    pages = [(f[i : i + CHAIN], y[i : i + CHAIN]) for f, y in pages for i in range(0, len(f), CHAIN)]
     size, longest = len(pages), max(len(f) for f, _ in pages)
     flat = padded([row for f, _ in pages for row in f])
     there = np.zeros((size, longest), bool)

@@ -1,10 +1,11 @@
 """Main text of web pages: a conditional random field over the leaf blocks of a page, decoded by Viterbi.
 
 Features of a block are its ancestors' tags and the words of their class, id and role, and the length, punctuation and
-share of links of its text, also of its neighbours. The model is trained on labelled pages, made from a
-bounded sample of the input: pages that mark their article give texts of the article and texts of everything else,
-and both are set into layouts of many kinds, where it is known which block is which; the pages themselves, labelled by
-their own markup, are part of the training too. Every page is then decoded by the model alone, whole.
+share of links of its text, also of its neighbours; none of them is a list of tags or words. The model is trained on labelled
+pages, made from a bounded sample of the input: pages that mark their article give texts of the article and texts of
+everything else, and both are set into layouts of many kinds, where it is known which block is which. Class words of
+a layout are changed into others or left out at random, and articles get misleading ones, so that no single word decides. The
+pages themselves, labelled by their own markup, are part of the training too. Every page is then decoded by the model alone, whole.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined by an
 empty line in page order. A null, empty or blank page has the empty text, and so has one without any block of main
@@ -15,6 +16,7 @@ judged one by one; repeated rows and null ids change nothing. Columns of any nam
 from __future__ import annotations
 
 import random
+import re
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -24,9 +26,12 @@ from pyspark.sql import functions as F
 from wordloom.llm import crf
 from wordloom.llm.html_blocks import Block, blocks
 
-# The model is fitted on at most so many pages, those with the smallest hashes, and on so many layouts made from them.
+# The model is fitted on at most so many pages of at most so many characters, those with the smallest hashes, and on so many
+# layouts made from them, with texts of at most so many characters. These bounds are for fitting only.
 SAMPLE_PAGES = 200
-LAYOUTS = 400
+SAMPLED_CHARS = 200_000
+LAYOUTS = 800
+LAYOUT_CHARS = 3000
 SEED = 5
 
 # What the markup of a page says about its blocks, for labels of training pages only.
@@ -59,7 +64,8 @@ def _of_path(path: tuple) -> list[int]:
         words = [w for _, own in path for w in own]
         names = {f"in {t}" for t in tags} | {f"name {w}" for w in words} | {"leaf " + (tags[-1] if tags else "")}
         names |= {f"own {w}" for w in (path[-1][1] if path else ())}
-        names |= {f"other {bool(OTHER_TAGS & set(tags) or OTHER_WORDS & set(words))}", f"main {bool(MAIN_TAGS & set(tags))}"}
+        names |= {f"{t} over {'/'.join(tags[i + 1 : i + 3])}" for i, t in enumerate(tags)}
+        names.add("top " + "/".join([t for t in tags if t not in ("html", "body")][:2]))
         names.add(f"depth {min(len(tags), 8)}")
         known = [_feature(n) for n in sorted(names)]
         if len(_path_features) < 100_000:
@@ -108,7 +114,8 @@ def marked_up(block: Block) -> int:
 # The layouts. {} is the content of an element, {t} a short text.
 _ARTICLE = ("<article>{}</article>", "<main>{}</main>", "<main><article class='post'>{}</article></main>", "<div class='post-content'>{}</div>",
             "<div class='entry-content'>{}</div>", "<div class='article-body'>{}</div>", "<div id='content'>{}</div>", "<section class='story'>{}</section>",
-            "<div id='main' role='main'><div class='text'>{}</div></div>", "<div class='content'>{}</div>", "<td class='body'>{}</td>", "<div>{}</div>")
+            "<div id='main' role='main'><div class='text'>{}</div></div>", "<div class='content'>{}</div>", "<td class='body'>{}</td>", "<div>{}</div>", "<article class='{w}-{w}'>{}</article>", "<article class='{w}-system-{w}' id='post'>{}</article>",
+            "<article class='{o}-{w} post'>{}</article>", "<main><article class='{w}-{o}-review'>{}</article></main>")
 _TOP = ("<nav><ul>{li}</ul></nav>", "<header><div class='logo'>{t}</div><ul class='menu'>{li}</ul></header>", "<div class='navbar'>{li}</div>",
         "<div id='menu'><ul>{li}</ul></div>", "<div class='breadcrumbs'><a href='/'>{t}</a> » <a href='/x'>{t}</a></div>", "<header><h1>{t}</h1><p>{t}</p></header>",
         "<header class='site-header'><p>{l}</p></header>")
@@ -118,6 +125,7 @@ _ANY = ("<div class='ad'>{l}</div>", "<div class='advert'><p>{l}</p></div>", "<d
 _BOTTOM = ("<aside class='sidebar'><h3>{t}</h3><ul>{li}</ul><p>{l}</p></aside>", "<div class='sidebar'><div class='widget'><p>{l}</p></div></div>",
            "<section class='comments'><h3>{t}</h3><div class='comment'><p>{l}</p></div><div class='comment'><p>{l}</p><p>{l}</p></div></section>",
            "<div id='comments'><ol class='comment-list'><li><p>{l}</p></li><li><p>{l}</p></li></ol></div>", "<ul class='replies'><li>{l}</li><li>{l}</li></ul>",
+           "<section class='responses'><h3>{t}</h3><p>{l}</p><p>{l}</p></section>", "<section class='discussion'><p>{l}</p><div><p>{l}</p></div></section>",
            "<div class='related'><h4>{t}</h4><ul>{li}</ul></div>")
 _END = ("<footer>&copy; {t} &middot; {t}</footer>", "<div class='footer'><p>{l}</p></div>", "<div id='footer'>{li}<p>&copy; {t}</p></div>", "<footer><nav>{li}</nav><p>{l}</p></footer>")
 _PARTS = ("<p>{}</p>",) * 8 + ("<p>{}", "<h2>{}</h2>", "<blockquote>{}</blockquote>", "<ul><li>{}</li></ul>", "<p><b>{}<br>", "<div>{}</div>", "<pre>{}</pre>")
@@ -127,7 +135,15 @@ _FALLBACK = ("The first sentence of a text that is long enough to be read, with
 def layout(rng: random.Random, article: Sequence[str], other: Sequence[str]) -> str:
     """A page of a random layout; texts of the article are marked."""
 
+    def renamed(part: str) -> str:
+        """Some elements without their class or with another one, where the tag or the place still tells what they are."""
+        return re.sub(r" (?:class|id|role)='[^']*'", lambda m: rng.choice(("", f" class='{word()}'")) if rng.random() < 0.12 else m[0], part)
+
+    def word() -> str:
+        return rng.choice(words) if words else "x"
+
     def fill(part: str) -> str:
+        part = renamed(part) if part.startswith(("<section", "<aside", "<footer", "<nav", "<header", "<form", "<ul")) else part
         while "{l}" in part:
             part = part.replace("{l}", rng.choice(article if rng.random() < 0.5 else other), 1)
         while "{li}" in part:
@@ -140,16 +156,21 @@ def layout(rng: random.Random, article: Sequence[str], other: Sequence[str]) ->
     def some(parts: Sequence[str], most: int) -> list[str]:
         return [fill(rng.choice(parts)) for _ in range(rng.randint(0, most))]
 
+    words = [w for w in map(str.lower, rng.choice(article).split()) if w.isascii() and w.isalpha()]
     inner = []
     if rng.random() < 0.8:
-        inner.append(f"<h1>{_MARK}{rng.choice(article)[:60]}</h1>")
+        title = f"<h1>{_MARK}{rng.choice(article)[:60]}</h1>"
+        inner.append(f"<header>{title}</header>" if rng.random() < 0.25 else title)
     for _ in range(rng.randint(1, 14)):
         inner.append(rng.choice(_PARTS).format(_MARK + rng.choice(article)))
         if rng.random() < 0.08:
             inner.append(fill(rng.choice(_ANY)))
     if rng.random() < 0.25:
         inner.append(fill(rng.choice(_BOTTOM)))
-    body = some(_TOP, 2) + some(_ANY, 1) + [rng.choice(_ARTICLE).format("".join(inner))] + some(_ANY, 1) + some(_BOTTOM, 2) + some(_END, 1)
+    around = rng.choice(_ARTICLE).replace("{o}", rng.choice(sorted(OTHER_WORDS)))
+    while "{w}" in around:
+        around = around.replace("{w}", word(), 1)
+    body = some(_TOP, 2) + some(_ANY, 1) + [around.replace("{}", "".join(inner))] + some(_ANY, 1) + some(_BOTTOM, 2) + some(_END, 1)
     if rng.random() < 0.2:
         body.insert(1, fill(rng.choice(_BOTTOM)))
     return f"<html><body>{''.join(body)}</body></html>"
@@ -160,9 +181,10 @@ def trained(sample: Sequence[str], layouts: int = LAYOUTS, seed: int = SEED) ->
     rng = random.Random(seed)
     pages = [b for b in map(blocks, sample) if b]
     labelled = [(features(p), [marked_up(b) for b in p]) for p in pages if any(map(marked_up, p))]
-    escape = lambda t: t.replace("&", "&amp;").replace("<", "&lt;")[:3000]
-    article = [escape(b.text) for p in pages for b in p if marked_up(b)] or list(_FALLBACK)
-    other = [escape(b.text) for p in pages for b in p if not marked_up(b)] or list(_FALLBACK)
+    escape = lambda t: t[:LAYOUT_CHARS].replace("&", "&amp;").replace("<", "&lt;")
+    marked = [p for p in pages if any(map(marked_up, p))]  # of other pages it is not known which text is which
+    article = [escape(b.text) for p in marked for b in p if marked_up(b)] or list(_FALLBACK)
+    other = [escape(b.text) for p in marked for b in p if not marked_up(b)] or list(_FALLBACK)
     for _ in range(layouts):
         page = blocks(layout(rng, article, other))
         labels = [int(_MARK in b.text) for b in page]
@@ -175,10 +197,12 @@ def trained(sample: Sequence[str], layouts: int = LAYOUTS, seed: int = SEED) ->
 def sample_of(pages: DataFrame, html: str = "html", most: int = SAMPLE_PAGES) -> list[str]:
     """Distinct pages with small hashes, at most `most`; the bound on the hashes lets about twice as many through.
 
-    So no more than that leave their tasks, whatever the number of pages and tasks, and copies leave once.
+    So no more than that leave their tasks, whatever the number of pages and tasks, and copies leave once. The bound
+    follows the number of different pages, so copies don't make the sample smaller.
     """
-    share = min(1.0, 2 * most / max(1, pages.count()))
-    own = pages.select(F.col(html).alias("html")).where("html <> ''").withColumn("h", F.xxhash64("html"))
+    own = pages.select(F.col(html).alias("html")).where(f"html <> '' and length(html) <= {SAMPLED_CHARS}").withColumn("h", F.xxhash64("html"))
+    different = own.agg(F.approx_count_distinct("h").alias("n")).first()["n"]
+    share = min(1.0, 2 * most / max(1, different))
     chosen = own.where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30))).distinct().orderBy("h", "html").limit(most)
     return [r["html"] for r in chosen.collect()]
 
