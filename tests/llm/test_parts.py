@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wordloom.llm import crf, fm_index, mixing
+from wordloom.llm.stored import cut
 from wordloom.llm.common_shingles import _pressed, _unpressed
 from wordloom.llm.components import components
 from wordloom.llm.wordspans import U64, shingle_hashes, shingle_starts, slices
@@ -118,3 +119,9 @@ def test_the_field_learns_transitions():
     model = crf.fit(pages)
     for features, labels in pages:
         assert model.decode(features) == labels
+
+
+def test_a_cut_keeps_the_partitions_of_its_scan(spark):
+    rows = spark.range(0, 1000, 1, 57)
+    assert cut(rows).rdd.getNumPartitions() == 57
+    assert cut(rows).count() == 1000

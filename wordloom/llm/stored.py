@@ -2,44 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordloom.sources.kept import kept_as_table, shared_folder
 
-def _set_folder(rows: DataFrame) -> None:
-    """The checkpoint folder is the one the cluster names in `spark.checkpoint.dir`.
-
-    Only where none is named, as in tests on one machine, a temporary one is made.
-    """
-    context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
-
-
-FILES_PER_CORE = 4
+__all__ = ["cut", "kept_as_table", "placed"]
 
 
 def cut(rows: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder of the session and go on from there.
-
-    A few files per core at most: what is cut is small, and the shared folder need not hold a file per partition of
-    the shuffle before it. Partitions are only strung together for that, not moved.
-    """
-    _set_folder(rows)
-    return rows.coalesce(FILES_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism).checkpoint()
-
-
-def kept_as_table(rows: DataFrame) -> DataFrame:
-    """Write the rows as a Parquet table of their own in the checkpoint folder and read them back."""
-    context = rows.sparkSession.sparkContext
-    _set_folder(rows)
-    path = f"{context.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    """Write the rows to the checkpoint folder of the session and go on from there, in the partitions they have."""
+    shared_folder(rows)
+    return rows.checkpoint()
 
 
 def placed(rows: DataFrame) -> DataFrame:
