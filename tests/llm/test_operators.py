@@ -187,17 +187,18 @@ def test_the_stage_gives_the_words_that_the_query_counts(spark, documents):
 # op3
 
 
-def test_maximal_runs(spark, documents):
+def test_levels_of_the_suffix_array(spark, documents):
     folder = documents("a\nb\nc\nd\ne\nf\ng", "x\nb\nc\nd\ne\nf\ny\nf\ng", "p\np\np\np", "x\nb\nc\nz")
-    rows = line_runs.numbered(spark.read.parquet(f"{folder}/documents.parquet").coalesce(1).orderBy("doc_id").select("doc_id", "text").checkpoint())
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    rows = line_runs._table(docs)
     levels = line_runs.suffix_levels(line_runs.line_ids(rows))
     assert [depth for depth, _ in levels] == [1, 2, 4]
-    doc = {r["row"]: r["doc_id"] for r in rows.collect()}
-    runs = line_runs.maximal_runs(line_runs.copies(levels)).collect()
-    found = sorted((doc[r["row"]], r["line"], doc[r["of_row"]], r["of_line"], r["n_lines"]) for r in runs)
-    assert found == [(1, 1, 0, 1, 5), (1, 7, 0, 5, 2), (2, 1, 2, 0, 2), (2, 2, 2, 0, 2), (3, 0, 1, 0, 2), (3, 1, 0, 1, 2)]
-    names = [r["name"] for r in levels[0][1].join(rows.select("row", "doc_id"), "row").orderBy("name").collect()]
+    assert {(r["doc_id"], r["line"]) for r in levels[2][1].collect()} == {(0, 1), (0, 2), (1, 1), (1, 2)}
+    names = [r["name"] for r in levels[0][1].orderBy("name").collect()]
     assert names == sorted(names)
+    # With one word a line, runs of two lines: what goes is the maximal runs of that length or more.
+    found = {r["doc"]["doc_id"]: (r["kept_lines"], r["n_removed"], r["longest_removed"]) for r in line_runs.without_copies(docs, 2).collect()}
+    assert found == {0: ([*"abcdefg"], 0, 0), 1: (["x", "y"], 7, 5), 2: (["p"], 3, 3), 3: (["z"], 3, 3)}
 
 
 def brute_content(texts, least):
@@ -235,7 +236,7 @@ def test_the_stage_deletes_runs_by_their_words(spark, documents):
 
 
 def test_numbers_of_rows_do_not_depend_on_later_scans(spark, documents, monkeypatch):
-    texts = [f"only {i}\nshared line one of all the documents\nshared line two\nend {i}" for i in range(64)]
+    texts = [f"only {i}\nshared line one of all the documents, word by word\nand a shared line two of them, again word by word\nend {i}" for i in range(64)]
     folder = documents(*texts)
     spark.read.parquet(f"{folder}/documents.parquet").repartition(8, "doc_id").write.parquet(f"{folder}/dealt.parquet")
     docs = spark.read.parquet(f"{folder}/dealt.parquet")

@@ -1,5 +1,7 @@
 """Queries against their SQL, on the smallest tables and on a fixture of odd rows."""
 
+import random
+
 import duckdb
 import pandas as pd
 import pytest
@@ -60,6 +62,16 @@ def test_odd_rows(spark, tables, name):
     assert isinstance(found, pd.DataFrame)
 
 
+def test_runs_of_lines_by_their_words(spark, documents):
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(60))
+    pool = ["", "", " ", "a b", "c d e", "f g h i", "k l m n o p", "one two three four five six seven eight nine ten eleven"]
+    texts = [f"x\n{passage}\ny", f"z\n{passage}\nw", passage, "q\n\n\nr", "s\n\n\nt"]
+    texts += ["\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 14))) for _ in range(80)]
+    found = compare(spark, documents(*texts), "op3_line_dedup", "{}.parquet/*.parquet").set_index("doc_id").sort_index()
+    assert found["n_removed"][:5].tolist() == [0, 1, 1, 0, 0] and found["longest_removed"].max() > 1
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_empty_tables(spark, tables, name):
     found = queries.QUERIES[name](spark, tables()).collect()

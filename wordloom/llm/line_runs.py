@@ -7,14 +7,11 @@ share their prefix with another one go on, as the others have their place alread
 rows as there are repeated runs of that length, and the rounds end by themselves after the longest one.
 
 Suffixes with the same name at a depth are an interval of the suffix array whose longest common prefix has at least
-that many lines. Its first member, by document id, row and line, stays; the lines of the
-others are later copies. Every maximal repeated run of `MIN_LINES` lines or more is the union of the
-intervals of that depth along it, so deleting their later copies deletes its later copies, and no line else.
-That is the rule of the query, as its SQL states it.
-
-The pipeline's stage goes by content instead: of every repeated run of one line or more that has `LEAST_WORDS` words
-over its lines the later copies go, and runs with fewer are left alone, however many lines they have; blank lines count nothing.
-Such a run is the union of the least runs along it, those that have fewer words without their last or without their first line.
+that many lines. Its first member, by document id, row and line, stays; the lines of the others are later copies.
+
+Of every repeated run of one line or more that has `LEAST_WORDS` words over its lines the later copies go, and runs
+with fewer are left alone, however many lines they have; blank lines count nothing. Such a run, maximal ones as
+well, is the union of the least runs along it, those that have fewer words without their last or without their first line.
 A least run of any length is named by two names at the largest power of two in it, one from its start and one up to its end.
 
 Lines are what stands between two `\\n`, compared exactly (two independent hashes of 64 bits); blank ones
@@ -31,9 +28,7 @@ from pyspark.sql import functions as F
 from wordloom.llm.mixing import word_count
 from wordloom.llm.stored import cut, kept_as_table
 
-# The query leaves runs of fewer lines alone; a power of two.
-MIN_LINES = 2
-# The stage leaves runs of fewer words alone.
+# Runs of fewer words are left alone.
 LEAST_WORDS = 10
 
 POSITION = ["row", "line"]
@@ -43,11 +38,6 @@ def _lines(text: Column) -> Column:
     return F.when(text != "", F.split(text, "\n", -1)).otherwise(F.array().cast("array<string>"))
 
 
-def numbered(documents: DataFrame) -> DataFrame:
-    """(doc_id, text) -> (row, doc_id, lines): what a row is found again by, and its lines."""
-    return documents.withColumns({"row": F.monotonically_increasing_id(), "lines": _lines(F.col("text"))})
-
-
 def line_ids(rows: DataFrame) -> DataFrame:
     """-> (row, line, doc_id, id), `id` being 128 bits that stand for the line."""
     exploded = rows.select("row", "doc_id", F.posexplode("lines").alias("line", "text"))
@@ -69,19 +59,16 @@ def _ranked(named: DataFrame, *more: str) -> DataFrame:
     return found.select("row", "line", "doc_id", F.col("rank").alias("name"), later.alias("later"), "first", *more)
 
 
-def suffix_levels(lines: DataFrame, most_lines: int | None = None) -> list[tuple[int, DataFrame]]:
+def suffix_levels(lines: DataFrame) -> list[tuple[int, DataFrame]]:
     """Line ids -> [(depth, (row, line, doc_id, name, later, first))] for depth 1, 2, 4, ...
 
     `name` orders the suffixes that share `depth` lines or more with another one; `first` is where the first
-    member of its interval stands, `later` whether this is another one. Ends when nothing is shared,
-    or after `most_lines`.
+    member of its interval stands, `later` whether this is another one. Ends when nothing is shared.
     """
     depth, level = 1, cut(_ranked(lines))
     levels = []
     while not level.isEmpty():
         levels.append((depth, level))
-        if most_lines is not None and 2 * depth > most_lines:
-            break
         ahead = level.select("row", (F.col("line") - depth).alias("line"), F.col("name").alias("next"))
         pairs = level.select(*POSITION, "doc_id", "name").join(ahead, POSITION)
         pair = F.struct(F.col("name").alias("a"), F.col("next").alias("b"))
@@ -90,35 +77,6 @@ def suffix_levels(lines: DataFrame, most_lines: int | None = None) -> list[tuple
     return levels
 
 
-def copies(levels: list[tuple[int, DataFrame]], min_lines: int = MIN_LINES) -> DataFrame | None:
-    """-> (row, line, depth, of_row, of_line): later copies of `depth` lines and where they are first; None if none."""
-    found = None
-    for depth, level in levels:
-        if depth >= min_lines:
-            here = level.where("later").select(
-                *POSITION, F.lit(depth).alias("depth"), F.col("first.row").alias("of_row"), F.col("first.line").alias("of_line")
-            )
-            found = here if found is None else found.union(here)
-    return found
-
-
-def maximal_runs(found: DataFrame) -> DataFrame:
-    """Later copies -> (row, line, of_row, of_line, n_lines): runs that can't be made longer, and where they are first.
-
-    Copies by the same shift that overlap or touch are one run; each window counts for the place where it is first. A partition holds what one document has
-    from one other.
-    """
-    same = Window.partitionBy("row", "of_row", "shift").orderBy("line", "depth")
-    reached = F.max(F.col("line") + F.col("depth")).over(same.rowsBetween(Window.unboundedPreceding, -1))
-    parts = found.withColumn("shift", F.col("of_line") - F.col("line"))
-    parts = parts.withColumn("new", F.when(reached >= F.col("line"), 0).otherwise(1))
-    parts = parts.withColumn("run", F.sum("new").over(same))
-    runs = parts.groupBy("row", "of_row", "shift", "run").agg(
-        F.min("line").alias("line"), (F.max(F.col("line") + F.col("depth")) - F.min("line")).alias("n_lines")
-    )
-    return runs.select("row", "line", "of_row", (F.col("line") + F.col("shift")).alias("of_line"), "n_lines")
-
-
 def least_runs(rows: DataFrame, least_words: int) -> DataFrame:
     """Numbered rows -> (row, line, n): runs of n lines with so many words, and fewer without their last or their first line.
 
@@ -143,7 +101,7 @@ def least_runs(rows: DataFrame, least_words: int) -> DataFrame:
     return events.select("row", begin.alias("line"), (end - begin).alias("n")).where("n > 0").distinct()
 
 
-def content_copies(rows: DataFrame, levels: list[tuple[int, DataFrame]], least_words: int = LEAST_WORDS) -> DataFrame:
+def copies(rows: DataFrame, levels: list[tuple[int, DataFrame]], least_words: int = LEAST_WORDS) -> DataFrame:
     """-> (row, line, n): later copies of runs with so many words, which together cover all later copies of longer runs."""
     runs = least_runs(rows, least_words).withColumn("depth", F.expr("shiftleft(1, length(bin(n)) - 1)"))
     names = None
@@ -157,18 +115,8 @@ def content_copies(rows: DataFrame, levels: list[tuple[int, DataFrame]], least_w
     return _ranked(runs.select(*POSITION, "doc_id", name.alias("name"), "n"), "n").where("later").select(*POSITION, "n")
 
 
-def deletions(found: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """Later copies -> (row, spans, copied_run): the lines that go, as (start, stop) of runs of `min_lines`, in order.
-
-    All spans of a row are one array, at most one per line of the document.
-    """
-    span = F.struct(F.col("line").alias("start"), (F.col("line") + min_lines).alias("stop"))
-    spans = F.array_sort(F.collect_list(F.when(F.col("depth") == min_lines, span)))
-    return found.groupBy("row").agg(spans.alias("spans"), F.max("depth").alias("copied_run"))
-
-
-def content_deletions(found: DataFrame) -> DataFrame:
-    """Later copies of `content_copies` -> (row, spans), at most two spans per line of the document."""
+def deletions(found: DataFrame) -> DataFrame:
+    """Later copies of `copies` -> (row, spans), at most two spans per line of the document."""
     span = F.struct(F.col("line").alias("start"), (F.col("line") + F.col("n")).alias("stop"))
     return found.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
@@ -197,40 +145,36 @@ def _table(documents: DataFrame) -> DataFrame:
     return rows.select("row", "doc", F.col("doc.doc_id").alias("doc_id"), _lines(F.col("doc.text")).alias("lines"))
 
 
-def without_copies(documents: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """(text, doc_id, ...) -> (doc, kept_lines, n_lines, n_removed, copied_run), `doc` being the row as a struct.
+def _longest() -> Column:
+    """The most consecutive lines that go; spans that touch are one."""
+
+    def step(held: Column, span: Column) -> Column:
+        start = F.when(span["start"] > held["stop"], span["start"]).otherwise(held["start"])
+        return F.struct(start.alias("start"), span["stop"].alias("stop"), F.greatest(held["most"], span["stop"] - start).alias("most"))
+
+    none = F.struct(F.lit(0).alias("start"), F.lit(0).alias("stop"), F.lit(0).alias("most"))
+    return F.aggregate(F.coalesce("spans", F.array().cast(NO_SPANS)), none, step, lambda held: held["most"])
 
-    `copied_run` is the largest power of two such that so many consecutive lines of the document start
-    earlier elsewhere, 0 if none of `min_lines` does.
-    """
-    rows = _table(documents)
-    found = copies(suffix_levels(line_ids(rows)), min_lines)
-    if found is None:
-        held = rows.withColumns({"spans": F.array().cast(NO_SPANS), "copied_run": F.lit(0)})
-    else:
-        held = rows.join(deletions(found, min_lines), "row", "left")
-    kept = held.select("doc", "lines", _kept().alias("kept_lines"), F.coalesce("copied_run", F.lit(0)).alias("copied_run"))
-    n_lines = F.size("lines").cast("long")
-    return kept.select(
-        "doc", "kept_lines", n_lines.alias("n_lines"), (n_lines - F.size("kept_lines")).alias("n_removed"), F.col("copied_run").cast("long").alias("copied_run")
-    )
 
+def without_copies(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """(text, doc_id, ...) -> (doc, kept_lines, n_lines, n_removed, longest_removed), `doc` being the row as a struct.
 
-def without_content_copies(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(text, doc_id, ...) -> (doc, kept_lines, n_removed), without later copies of runs with so many words."""
+    Later copies of runs with so many words are gone; `longest_removed` is the most consecutive lines among them.
+    """
     rows = _table(documents)
     levels = suffix_levels(line_ids(rows))
     if levels:
-        held = rows.join(content_deletions(content_copies(rows, levels, least_words)), "row", "left")
+        held = rows.join(deletions(copies(rows, levels, least_words)), "row", "left")
     else:
         held = rows.withColumn("spans", F.array().cast(NO_SPANS))
-    kept = held.select("doc", "lines", _kept().alias("kept_lines"))
-    return kept.select("doc", "kept_lines", (F.size("lines") - F.size("kept_lines")).alias("n_removed"))
+    n_lines = F.size("lines").cast("long").alias("n_lines")
+    kept = held.select("doc", n_lines, _kept().alias("kept_lines"), _longest().cast("long").alias("longest_removed"))
+    return kept.select("doc", "kept_lines", "n_lines", (F.col("n_lines") - F.size("kept_lines")).alias("n_removed"), "longest_removed")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of line runs that have `LEAST_WORDS` words; `n_chars` follows. A document that loses every line goes."""
-    held = without_content_copies(docs).where("n_removed = 0 OR size(kept_lines) > 0")
+    held = without_copies(docs).where("n_removed = 0 OR size(kept_lines) > 0")
     text = F.when(F.col("n_removed") == 0, F.col("doc.text")).otherwise(F.array_join("kept_lines", "\n"))
     held = held.withColumn("text", text)
     own = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
@@ -238,10 +182,10 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op3: (doc_id, n_lines, n_removed, copied_run, kept_sha256) for every row of `documents`."""
+    """op3: (doc_id, n_lines, n_removed, longest_removed, kept_sha256) for every row of `documents`."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     text = F.array_join("kept_lines", "\n")
-    return without_copies(documents).select("doc.doc_id", "n_lines", "n_removed", "copied_run", F.sha2(text, 256).alias("kept_sha256"))
+    return without_copies(documents).select("doc.doc_id", "n_lines", "n_removed", "longest_removed", F.sha2(text, 256).alias("kept_sha256"))
 
 
 SQL = r"""
@@ -249,26 +193,39 @@ WITH docs AS (
     SELECT row_number() OVER () AS row_no, doc_id,
         CASE WHEN text IS NULL OR text = '' THEN [] ELSE string_split(text, chr(10)) END AS lines
     FROM documents
-), depths AS (
-    SELECT unnest([2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096, 8192, 16384]) AS depth
+), split AS (
+    SELECT row_no, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM docs
+), counted AS (
+    SELECT row_no, i, words, sum(words) OVER (PARTITION BY row_no ORDER BY i) AS after, after - words AS before
+    FROM (SELECT row_no, i, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM split)
+), full_lines AS (
+    SELECT * FROM counted WHERE words > 0
 ), runs AS (
-    SELECT row_no, doc_id, depth, i, array_to_string(lines[i:i + depth - 1], chr(10)) AS run
-    FROM (SELECT row_no, doc_id, lines, depth, unnest(range(1, len(lines) - depth + 2)) AS i
-        FROM docs JOIN depths ON len(lines) >= depth)
+    SELECT a.row_no, a.i, b.i AS j
+    FROM (SELECT *, before + 10 AS least FROM counted) a ASOF JOIN full_lines b ON a.row_no = b.row_no AND a.least <= b.after
+    UNION
+    SELECT b.row_no, a.i, b.i AS j
+    FROM (SELECT *, after - 10 AS most FROM counted) b ASOF JOIN full_lines a ON a.row_no = b.row_no AND b.most >= a.before
 ), later AS (
-    SELECT row_no, depth, i
-    FROM (SELECT *, row_number() OVER (PARTITION BY depth, run ORDER BY doc_id NULLS FIRST, row_no, i) AS n FROM runs)
+    SELECT row_no, i, j
+    FROM (SELECT row_no, i, j,
+            row_number() OVER (PARTITION BY array_to_string(lines[i:j], chr(10)) ORDER BY doc_id NULLS FIRST, row_no, i) AS n
+        FROM runs JOIN docs USING (row_no))
     WHERE n > 1
 ), gone AS (
-    SELECT DISTINCT row_no, i + j AS i FROM later CROSS JOIN (SELECT unnest([0, 1]) AS j) WHERE depth = 2
+    SELECT DISTINCT row_no, unnest(range(i, j + 1)) AS i FROM later
 ), kept AS (
     SELECT row_no, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n
-    FROM (SELECT row_no, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM docs) ANTI JOIN gone USING (row_no, i)
+    FROM split ANTI JOIN gone USING (row_no, i)
     GROUP BY row_no
 ), longest AS (
-    SELECT row_no, max(depth) AS copied_run FROM later GROUP BY row_no
+    SELECT row_no, max(n) AS longest_removed
+    FROM (SELECT row_no, count(*) AS n
+        FROM (SELECT row_no, i - row_number() OVER (PARTITION BY row_no ORDER BY i) AS island FROM gone)
+        GROUP BY row_no, island)
+    GROUP BY row_no
 )
 SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0))::BIGINT AS n_removed,
-    coalesce(copied_run, 0)::BIGINT AS copied_run, sha256(coalesce(text, '')) AS kept_sha256
+    coalesce(longest_removed, 0)::BIGINT AS longest_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (row_no) LEFT JOIN longest USING (row_no)
 """
