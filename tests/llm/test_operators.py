@@ -190,7 +190,7 @@ def test_the_stage_gives_the_words_that_the_query_counts(spark, documents):
 def test_levels_of_the_suffix_array(spark, documents):
     folder = documents("a\nb\nc\nd\ne\nf\ng", "x\nb\nc\nd\ne\nf\ny\nf\ng", "p\np\np\np", "x\nb\nc\nz")
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
-    rows = line_runs._table(docs)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.split("text", "\n").alias("lines")).checkpoint()
     levels = line_runs.suffix_levels(line_runs.line_ids(rows))
     assert [depth for depth, _ in levels] == [1, 2, 4]
     assert {(r["doc_id"], r["line"]) for r in levels[2][1].collect()} == {(0, 1), (0, 2), (1, 1), (1, 2)}

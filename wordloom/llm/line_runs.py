@@ -78,39 +78,44 @@ def suffix_levels(lines: DataFrame) -> list[tuple[int, DataFrame]]:
 
 
 def least_runs(rows: DataFrame, least_words: int) -> DataFrame:
-    """Numbered rows -> (row, line, n): runs of n lines with so many words, and fewer without their last or their first line.
+    """Numbered rows -> (row, doc_id, line, n): runs of n lines with so many words, and fewer without their last or first line.
 
     Windows hold what one document has: where each line starts, in words, beside the places that are so many words further on or back.
     """
-    words = rows.select("row", F.posexplode(F.concat("lines", F.array(F.lit("")))).alias("line", "text"))
-    words = words.select("row", "line", word_count(F.col("text")).alias("words"))
+    words = rows.select("row", "doc_id", F.posexplode(F.concat("lines", F.array(F.lit("")))).alias("line", "text"))
+    words = words.select("row", "doc_id", "line", word_count(F.col("text")).alias("words"))
     before = Window.partitionBy("row").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    starts = words.select("row", "line", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("at"))
+    starts = words.select("row", "doc_id", "line", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("at"))
     events = starts.select(
         "row",
+        "doc_id",
         "line",
         F.explode(F.array(*[F.struct((F.col("at") + F.lit(k * least_words)).alias("at"), F.lit(k).alias("k")) for k in (-1, 0, 1)])).alias("e"),
-    ).select("row", "line", "e.at", "e.k")
+    ).select("row", "doc_id", "line", "e.at", "e.k")
     line = F.when(F.col("k") == 0, F.col("line"))
     place = F.when(F.col("k") == 0, 0).otherwise(1)  # lines that start at the same word come before those who ask
     onward = Window.partitionBy("row").orderBy(F.desc("at"), place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     back = Window.partitionBy("row").orderBy("at", place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    events = events.select("row", "line", "k", F.min(line).over(onward).alias("stop"), F.max(line).over(back).alias("start"))
+    events = events.select("row", "doc_id", "line", "k", F.min(line).over(onward).alias("stop"), F.max(line).over(back).alias("start"))
     begin = F.when(F.col("k") == 1, F.col("line")).when(F.col("k") == -1, F.col("start"))
     end = F.when(F.col("k") == 1, F.col("stop")).when(F.col("k") == -1, F.col("line"))
-    return events.select("row", begin.alias("line"), (end - begin).alias("n")).where("n > 0").distinct()
+    return events.select("row", "doc_id", begin.alias("line"), (end - begin).alias("n")).where("n > 0").distinct()
 
 
 def copies(rows: DataFrame, levels: list[tuple[int, DataFrame]], least_words: int = LEAST_WORDS) -> DataFrame:
-    """-> (row, line, n): later copies of runs with so many words, which together cover all later copies of longer runs."""
+    """-> (row, line, n): later copies of runs with so many words, which together cover all later copies of longer runs.
+
+    Names are dealt by row once, as the runs are by their windows, so that both lookups meet without another exchange.
+    """
     runs = least_runs(rows, least_words).withColumn("depth", F.expr("shiftleft(1, length(bin(n)) - 1)"))
     names = None
     for depth, level in levels:
-        here = level.select(*POSITION, F.lit(depth).alias("depth"), "doc_id", "name")
+        here = level.select(*POSITION, F.lit(depth).alias("depth"), "name")
         names = here if names is None else names.union(here)
+    names = names.repartition("row")
     ends = names.select("row", F.col("line").alias("last"), "depth", F.col("name").alias("up_to"))
-    runs = runs.join(names, [*POSITION, "depth"]).withColumn("last", F.col("line") + F.col("n") - F.col("depth"))
-    runs = runs.join(ends, ["row", "last", "depth"])
+    runs = runs.join(names.hint("merge"), [*POSITION, "depth"]).withColumn("last", F.col("line") + F.col("n") - F.col("depth"))
+    runs = runs.join(ends.hint("merge"), ["row", "last", "depth"])
     name = F.struct("n", F.col("name").alias("a"), F.col("up_to").alias("b"))
     return _ranked(runs.select(*POSITION, "doc_id", name.alias("name"), "n"), "n").where("later").select(*POSITION, "n")
 
@@ -137,12 +142,11 @@ def _kept() -> Column:
 
 
 def _table(documents: DataFrame) -> DataFrame:
-    """(text, doc_id, ...) -> (row, doc, doc_id, lines), `doc` being the row as a struct.
+    """(text, doc_id, ...) -> (row, doc), `doc` being the row as a struct.
 
     The numbers are written with the rows: a second scan may be cut into other partitions, which number them otherwise.
     """
-    rows = kept_as_table(documents.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")))
-    return rows.select("row", "doc", F.col("doc.doc_id").alias("doc_id"), _lines(F.col("doc.text")).alias("lines"))
+    return kept_as_table(documents.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")))
 
 
 def _longest() -> Column:
@@ -161,12 +165,16 @@ def without_copies(documents: DataFrame, least_words: int = LEAST_WORDS) -> Data
 
     Later copies of runs with so many words are gone; `longest_removed` is the most consecutive lines among them.
     """
-    rows = _table(documents)
+    table = _table(documents)
+    lines = _lines(F.col("doc.text")).alias("lines")
+    rows = table.select("row", F.col("doc.doc_id").alias("doc_id"), lines)
     levels = suffix_levels(line_ids(rows))
     if levels:
-        held = rows.join(deletions(copies(rows, levels, least_words)), "row", "left")
+        held = table.join(deletions(copies(rows, levels, least_words)), "row", "left")
     else:
-        held = rows.withColumn("spans", F.array().cast(NO_SPANS))
+        held = table.withColumn("spans", F.array().cast(NO_SPANS))
+    # Texts are split after the join, which moves them once.
+    held = held.select("doc", "spans", lines)
     n_lines = F.size("lines").cast("long").alias("n_lines")
     kept = held.select("doc", n_lines, _kept().alias("kept_lines"), _longest().cast("long").alias("longest_removed"))
     return kept.select("doc", "kept_lines", "n_lines", (F.col("n_lines") - F.size("kept_lines")).alias("n_removed"), "longest_removed")
