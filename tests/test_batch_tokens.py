@@ -2,12 +2,17 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField
 
-from wordloom.functions.batch_tokens import text_tokens
+from wordloom.functions import in_row
+from wordloom.functions.batch_tokens import slice_bounds, sliced, text_tokens
 from wordloom.operators import words
 
 
@@ -91,3 +96,67 @@ def test_regular_expressions_in_lists_of_any_length(docs):
     lines = corpus.select("doc_id", F.explode(F.split("text", r"\r?\n")).alias("line"))
     strip = lambda patterns: sorted(r["line"] for r in words.normalise_lines(lines, stop_patterns=patterns).collect())
     assert strip(few) == strip(many)
+
+
+class Passed:
+    """Stands for rows: takes the function of an Arrow pass, so that it runs here."""
+
+    def __init__(self, column):
+        self.columns, self.sparkSession = ["doc_id", column], None
+        self.schema = {"doc_id": StructField("doc_id", LongType())}
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):  # noqa: N802
+        return run
+
+
+class Sent:
+    value = ["common", "w7"]
+
+
+PASSES = {
+    "partial_counts": lambda rows: in_row.partial_counts(rows),
+    "ranked_parts": lambda rows: in_row.ranked_parts(rows),
+    "ranked_parts by document": lambda rows: in_row.ranked_parts(rows, by_document=True, stem=True),
+    "partial_frequencies": lambda rows: in_row.partial_frequencies(rows, stem=True),
+    "partial_frequencies of lines": lambda rows: in_row.partial_frequencies(rows, by_row=False),
+    "partial_pairs": lambda rows: in_row.partial_pairs(rows, Sent, 4, False),
+}
+
+
+def batch_of(column, copies):
+    texts = [" ".join(f"w{(i * 31 + j) % 997} common" for j in range(100)) for i in range(100)] * copies
+    values = pa.array([t.split() for t in texts]) if column == "tokens" else pa.array(texts)
+    ids = pa.array(np.arange(len(texts)))
+    return pa.RecordBatch.from_arrays([ids, pa.array(np.ones(len(texts), bool)), values], ["doc_id", "whole", column])
+
+
+@pytest.mark.parametrize("column", ["text", "line", "tokens"])
+@pytest.mark.parametrize("name", PASSES)
+def test_memory_of_a_pass_does_not_grow_with_its_batch(name, column):
+    run, peaks = PASSES[name](Passed(column)), []
+    for copies in (40, 160):  # from 4 to 16 MB of text
+        batch = batch_of(column, copies)
+        tracemalloc.start()
+        for _ in run(iter([batch])):
+            pass
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.3 * peaks[0] + 2_000_000
+
+
+@pytest.mark.parametrize("limit", [1, 7, 40, 10**6])
+@pytest.mark.parametrize("rows", [["ab", None, "", "c" * 30, "ä" * 3, "x"], [["ab", "c"], None, [], ["d" * 30], ["x"]], [], [None]])
+def test_slices_hold_all_rows_in_order(rows, limit):
+    kind = pa.list_(pa.string()) if rows and any(isinstance(r, list) for r in rows) else pa.string()
+    whole = pa.array([["cut off"] if pa.types.is_list(kind) else "cut off", *rows], kind).slice(1)
+    batch = pa.RecordBatch.from_arrays([whole], ["c"])
+    found = list(sliced(iter([batch]), "c"))
+    assert [r for b in found for r in b.column(0).to_pylist()] == rows
+    assert all(b.num_rows for b in found)
+    bounds = list(slice_bounds(whole, limit))
+    assert [i for at, n in bounds for i in range(at, at + n)] == list(range(len(rows)))
+    if limit == 1:
+        assert all(sum(len(r or "") > 0 for r in rows[at : at + n]) <= 1 for at, n in bounds)

@@ -7,6 +7,7 @@ become an Arrow array without a copy per token. Empty ones come last, so tokens
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,6 +18,9 @@ import pyarrow.compute as pc
 _WORD = np.array([chr(b).isalnum() and b < 128 or chr(b) in "_'" for b in range(256)])
 _LF, _CR = 10, 13
 
+# The arrays of a pass are some fifty times as large as the texts they are made of, so a batch goes through it in slices of so many bytes.
+SLICE_BYTES = 1 << 20
+
 
 @dataclass
 class Tokens:
@@ -28,6 +32,39 @@ class Tokens:
     lines_left: np.ndarray | None = None
 
 
+def _places(rows: pa.Array) -> np.ndarray:
+    """Where each text or list begins in what lies below, and where the last one ends: a view."""
+    if not len(rows):
+        return np.zeros(1, np.int64)
+    wide = pa.types.is_large_string(rows.type) or pa.types.is_large_list(rows.type)
+    return np.frombuffer(rows.buffers()[1], np.int64 if wide else np.int32)[rows.offset : rows.offset + len(rows) + 1]
+
+
+def _running_bytes(rows: pa.Array) -> np.ndarray:
+    """Bytes of texts or token arrays up to each row; a token counts a few more."""
+    places = _places(rows).astype(np.int64)
+    if pa.types.is_list(rows.type) or pa.types.is_large_list(rows.type):
+        return _places(rows.values)[places] + 8 * places
+    return places
+
+
+def slice_bounds(rows: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(first, number) of the rows of each slice, all rows in order. No row is cut: one beyond the limit is a slice of its own."""
+    sums, at = _running_bytes(rows), 0
+    while at < len(rows):
+        to = int(np.searchsorted(sums, sums[at] + limit, "right")) - 1
+        to = min(max(to, at + 1), len(rows))
+        yield at, to - at
+        at = to
+
+
+def sliced(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches bounded by the bytes of that column, however many rows a batch has; nothing is copied."""
+    for batch in batches:
+        for at, n in slice_bounds(batch.column(column)):
+            yield batch.slice(at, n)
+
+
 def listed_tokens(tokens: pa.Array) -> Tokens:
     """Of rows that are token arrays already."""
     sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)

@@ -1,12 +1,14 @@
 """Counting inside a row: Arrow UDFs that take a batch of token arrays at once.
 
 Where a row holds all that is counted together, a line or a document, counting there needs no
-exchange. The tokens of a batch are looked up in one pass and counted by row and index.
+exchange. The tokens of a slice of a batch are looked up in one pass and counted by row and index. Slices are
+bounded by bytes (`batch_tokens.SLICE_BYTES`), so what a pass holds does not grow with the rows of a batch; their counts are
+added up before they are given back, as far as `HELD_BYTES` goes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions.batch_tokens import Tokens, listed_tokens, text_tokens
+from wordloom.functions.batch_tokens import Tokens, listed_tokens, slice_bounds, sliced, text_tokens
 from wordloom.functions.porter import Stemmer
 from wordloom.functions.stop_patterns import delete_literals
 
@@ -38,6 +40,12 @@ def _splitter(column: str, strip: Sequence[str]):
     return lambda batch: SPLIT[column](delete_literals(batch.column(column), strip))
 
 
+def _in_slices(of: Callable[..., pa.Array], rows: pa.Array, *beside: pa.Array) -> pa.Array:
+    """`of` the rows, slice by slice, laid end to end."""
+    bounds = list(slice_bounds(rows)) or [(0, 0)]
+    return pa.concat_arrays([of(*(column.slice(*b) for column in (rows, *beside))) for b in bounds])
+
+
 class _Lookup:
     """Index of tokens in a list of terms, by their stems where `stem`: distinct tokens are looked up once per batch."""
 
@@ -90,14 +98,20 @@ def term_tally(rows: DataFrame, terms: Broadcast, stem: bool = False, dense: boo
         hits = pa.StructArray.from_arrays([pa.array((at % max(k, 1)).astype(np.int32)), pa.array(tally[at], pa.int64())], ["idx", "tf"])
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), hits)
 
-    @F.arrow_udf(kind)
-    def plain(rows: pa.Array) -> pa.Array:
+    def by_text(rows: pa.Array) -> pa.Array:
         tokens = text_tokens(rows, weights=True) if running else SPLIT[column](rows)
         return counts(len(rows), tokens, tokens.lines_left)
 
+    def by_weight(rows: pa.Array, weights: pa.Array) -> pa.Array:
+        return counts(len(rows), SPLIT[column](rows), weights.flatten().to_numpy(zero_copy_only=False))
+
+    @F.arrow_udf(kind)
+    def plain(rows: pa.Array) -> pa.Array:
+        return _in_slices(by_text, rows)
+
     @F.arrow_udf(kind)
     def weighted(rows: pa.Array, weights: pa.Array) -> pa.Array:
-        return counts(len(rows), SPLIT[column](rows), weights.flatten().to_numpy(zero_copy_only=False))
+        return _in_slices(by_weight, rows, weights)
 
     return weighted(F.col(column), F.col("weights")) if "weights" in rows.columns else plain(F.col(column))
 
@@ -117,21 +131,49 @@ def _counted(split, by_document: bool, stemmer: Stemmer | None):
     return count
 
 
+# Counts of slices are held and added up until they take so many bytes.
+HELD_BYTES = 8 << 20
+
+
+def _added_up(tables: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+    """(*key, n) of slices -> the same, added up by key as far as they may be held."""
+    held: list[pa.Table] = []
+    size = 0
+    for table in tables:
+        held.append(table)
+        size += table.nbytes
+        if size > HELD_BYTES:
+            yield from _sums(held)
+            held, size = [], 0
+    if held:
+        yield from _sums(held)
+
+
+def _sums(tables: list[pa.Table]) -> list[pa.RecordBatch]:
+    *keys, n = tables[0].column_names
+    added = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([(n, "sum")]).rename_columns([*keys, n])
+    return added.combine_chunks().to_batches()
+
+
 def partial_counts(rows: DataFrame, strip: Sequence[str] = ()) -> DataFrame:
-    """(text), (line) or (tokens) -> (word, n): how often each token occurs in a batch, to be added up."""
+    """(text), (line) or (tokens) -> (word, n): how often each token occurs in some of the rows, to be added up."""
     column = token_column(rows)
     count = _counted(_splitter(column, strip), False, None)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        for batch in sliced(batches, column):
             words, n = count(batch)
-            yield pa.RecordBatch.from_arrays([words, pa.array(n, pa.int64())], ["word", "n"])
+            yield pa.table({"word": words, "n": pa.array(n, pa.int64())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _added_up(counts(batches))
 
     return rows.select(column).mapInArrow(run, "word string, n long")
 
 
-# A part of a task ends when it has so many different words.
+# A part of a task ends when it has so many different words, or when they take so many bytes.
 PART_WORDS = 500_000
+PART_BYTES = 16 << 20
 PART_ROWS = 65_536
 
 
@@ -158,12 +200,12 @@ def ranked_parts(rows: DataFrame, by_document: bool = False, stem: bool = False,
             table = table.append_column("place", pa.array(np.arange(len(table))))
             yield from table.select(["part", "place", "word", "n"]).combine_chunks().to_batches(PART_ROWS)
 
-        for batch in batches:
+        for batch in sliced(batches, column):
             names, n = count(batch)
             held.append(pa.table({"word": names, "n": pa.array(n, pa.int64())}))
-            if sum(map(len, held)) > 2 * PART_WORDS:
+            if sum(map(len, held)) > 2 * PART_WORDS or sum(t.nbytes for t in held) > 2 * PART_BYTES:
                 held = [merged()]
-                if len(held[0]) > PART_WORDS:
+                if len(held[0]) > PART_WORDS or held[0].nbytes > PART_BYTES:
                     yield from ranked(held.pop())
                     part += 1
         if held:
@@ -193,17 +235,20 @@ def _ordered(column: str, rows: pa.Array) -> Tokens:
 def partial_pairs(rows: DataFrame, words: Broadcast, d: int, directed: bool) -> DataFrame:
     """(text), (line) or (tokens) -> (i, j, n): how often two words of the list stand within distance d on a line, by their places in the list.
 
-    Counted by batch, to be added up. Not directed: i <= j.
+    Counted by slices, to be added up. Not directed: i <= j.
     """
     column = token_column(rows)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         lookup, k = _Lookup(words.value, stem=False), max(len(words.value), 1)
-        for batch in batches:
+        for batch in sliced(batches, column):
             tokens = _ordered(column, batch.column(column))
             _, a, b = _pairs(tokens, lookup(tokens.tokens), k, d, directed)
             key, n = np.unique(a * k + b, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array((key // k).astype(np.int32)), pa.array((key % k).astype(np.int32)), pa.array(n, pa.int64())], ["i", "j", "n"])
+            yield pa.table({"i": pa.array((key // k).astype(np.int32)), "j": pa.array((key % k).astype(np.int32)), "n": pa.array(n, pa.int64())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _added_up(counts(batches))
 
     return rows.select(column).mapInArrow(run, "i int, j int, n long")
 
@@ -211,8 +256,7 @@ def partial_pairs(rows: DataFrame, words: Broadcast, d: int, directed: bool) ->
 def pair_tally(tokens: Column, words: Broadcast, d: int, directed: bool) -> Column:
     """Array of (i, j, n), the same for each row, which is a line."""
 
-    @F.arrow_udf("array<struct<i: int, j: int, n: bigint>>")
-    def tally(lines: pa.Array) -> pa.Array:
+    def cells_of(lines: pa.Array) -> pa.Array:
         tokens, k = listed_tokens(lines), max(len(words.value), 1)
         row, a, b = _pairs(tokens, _Lookup(words.value, stem=False)(tokens.tokens), k, d, directed)
         key, n = np.unique((row * k + a) * k + b, return_counts=True)
@@ -220,6 +264,10 @@ def pair_tally(tokens: Column, words: Broadcast, d: int, directed: bool) -> Colu
         cells = [pa.array((key // k % k).astype(np.int32)), pa.array((key % k).astype(np.int32)), pa.array(n, pa.int64())]
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(cells, ["i", "j", "n"]))
 
+    @F.arrow_udf("array<struct<i: int, j: int, n: bigint>>")
+    def tally(lines: pa.Array) -> pa.Array:
+        return _in_slices(cells_of, lines)
+
     return tally(tokens)
 
 
@@ -234,6 +282,15 @@ def partial_frequencies(rows: DataFrame, stem: bool = False, by_row: bool = True
     column = token_column(rows)
     split = _splitter(column, strip)
 
+    def counts_of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        counted = _counted(split, True, Stemmer() if stem else None)
+        for batch in sliced(batches, column):
+            names, n = counted(batch)
+            yield pa.table({"doc_id": pa.nulls(len(names), batch.schema.field("doc_id").type), "term": names, "df": pa.array(n, pa.int64())})
+
+    def run_of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _added_up(counts_of_rows(batches))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stemmer = Stemmer() if stem else None
         id_kind = pa.null()
@@ -246,15 +303,8 @@ def partial_frequencies(rows: DataFrame, stem: bool = False, by_row: bool = True
         def given_up(doc_id, whole, terms):
             return made([None if whole else doc_id] * len(terms), terms, [1] * len(terms))
 
-        counted = _counted(split, True, stemmer)
-        for batch in batches:
+        for batch in sliced(batches, column):
             id_kind = batch.schema.field("doc_id").type
-            if not batch.num_rows:
-                continue
-            if by_row:
-                names, counts = counted(batch)
-                yield made(pa.nulls(len(names), id_kind), names, counts)
-                continue
             tokens = split(batch)
             words, which = distinct(tokens.tokens, stemmer)
             terms = words.dictionary_encode()  # stems of different tokens may be equal
@@ -290,4 +340,4 @@ def partial_frequencies(rows: DataFrame, stem: bool = False, by_row: bool = True
             yield given_up(*held)
 
     columns = ["doc_id"] if by_row else ["doc_id", "whole"]
-    return rows.select(*columns, column).mapInArrow(run, f"doc_id {id_type.simpleString()}, term string, df long")
+    return rows.select(*columns, column).mapInArrow(run_of_rows if by_row else run, f"doc_id {id_type.simpleString()}, term string, df long")
