@@ -70,6 +70,38 @@ def test_examples_are_beginnings_of_the_conversation(spark):
         assert [t for _, _, t in own] == [False] * (len(own) - 1) + [True]
 
 
+def test_chat_results_come_from_the_expansion(spark):
+    """Turns are found by their marks in text that is cut anywhere, replies by the examples; a mask beside a reply is an error."""
+    rows = spark.createDataFrame([t for t in TURNS if t[0] in (1, 4, 5)], "conv_id long, turn long, role string, text string")
+    expanded = chat.expanded(chat.placed_turns(chat.formatted_turns(rows))).collect()
+    kinds = "conv_id long, at long, piece string, reply_chars long, example_chars long"
+    read = lambda rows: {r["conv_id"]: r for r in chat.digests(spark.createDataFrame(rows, kinds)).collect()}
+    found = read(expanded)
+    assert [found[c]["n_examples"] for c in (1, 4, 5)] == [2, 2, 150]
+    assert sum(r["piece"] is None for r in expanded) == 154
+
+    cut = []
+    for conv, at, piece, *mask in expanded:
+        parts = [piece] if piece is None else [piece[i : i + 5] for i in range(0, len(piece), 5)]
+        cut += [(conv, at + 5 * i, part, *mask) for i, part in enumerate(parts)]
+    # An example comes after all text of its turn.
+    cut = [(c, e - 0.5 if p is None else a, p, r, e) for c, a, p, r, e in cut]
+    order = sorted(cut, key=lambda r: (r[0], r[1]))
+    starts = {(r["conv_id"], r["example_chars"]): r["at"] for r in expanded if r["piece"] is None}
+    stream = [(c, starts[c, e] if p is None else int(a), p, r, e) for c, a, p, r, e in order]
+    batches = list(chat._read_back(iter([pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*stream)], list("abcde"))])))
+    again = {r["conv_id"]: r for b in batches for r in b.to_pylist()}
+    assert again == {c: r.asDict() for c, r in found.items()}
+
+    last = max(r["at"] for r in expanded if r["piece"] is None and r["conv_id"] == 5)
+    fewer = read([r for r in expanded if (r["conv_id"], r["at"]) != (5, last) or r["piece"] is not None])
+    assert (fewer[5]["n_examples"], fewer[5]["loss_chars"]) == (149, found[5]["loss_chars"] - len("t299"))
+    assert fewer[5]["turns_sha256"] == found[5]["turns_sha256"]
+    moved = [(c, a, p, r and r - 1, e) for c, a, p, r, e in expanded]
+    with pytest.raises(Exception, match="is no reply"):
+        read(moved)
+
+
 # op2
 
 

@@ -5,8 +5,10 @@ other. Control strings inside roles and texts are escaped with a backslash, reve
 that no text can open or close a turn. Every assistant turn makes an example of its own:
 the context is everything before the reply, and only the reply is trainable. As all
 examples of a conversation are beginnings of the same formatted text, an example is kept as
-where its reply begins and ends in that text, and its text is written out only on demand
-(`example_pieces`); the number of rows and bytes stays that of the input, however long a conversation is.
+where its reply begins and ends in that text: the expansion (`expanded`) holds each turn once and a row per example,
+so the number of rows and bytes stays that of the input, however long a conversation is. The query reads its
+results back from the expansion alone: turns by the marks in the formatted text, wherever it is cut, and replies under the
+examples' masks. `example_pieces` writes chosen examples out with their contexts.
 
 Turns come in the order of `turn` (null first), equal ones by role and text, repeated rows as
 often as they occur. Null text and null role read as empty. Null ids are one conversation.
@@ -84,19 +86,32 @@ def placed_turns(turns: DataFrame) -> DataFrame:
     return running.join(blocks, "place").select(*[c for c in turns.columns if c != "place"], starts)
 
 
+def expanded(placed: DataFrame) -> DataFrame:
+    """Placed turns -> (conv_id, at, piece, reply_chars, example_chars), the output: formatted text and examples.
+
+    A row with a `piece` is formatted text from place `at` of its conversation on. A row without is an example, one per assistant turn:
+    its context is all formatted text before `at`, its target the `reply_chars` behind, the only ones under its loss mask, and
+    it ends after `example_chars`. In the order of `at` an example follows the turn it ends with.
+    """
+    none = F.lit(None)
+    turn = F.struct(F.col("starts").alias("at"), "piece", none.cast("long").alias("reply_chars"), none.cast("long").alias("example_chars"))
+    example = F.struct(
+        (F.col("starts") + F.col("reply_from")).alias("at"),
+        none.cast("string").alias("piece"),
+        (F.col("piece_chars") - F.col("reply_from") - len(END)).alias("reply_chars"),
+        (F.col("starts") + F.col("piece_chars")).alias("example_chars"),
+    )
+    return placed.select("conv_id", F.inline(F.when(F.col("trainable"), F.array(turn, example)).otherwise(F.array(turn))))
+
+
 def examples(placed: DataFrame) -> DataFrame:
     """Placed turns -> (conv_id, context_chars, reply_chars, example_chars), a row per assistant turn.
 
     The example is the first `example_chars` code points of the conversation's formatted text; its loss
     mask is the `reply_chars` behind the first `context_chars`; the mark that ends the turn follows.
     """
-    reply = F.col("piece_chars") - F.col("reply_from") - len(END)
-    return placed.where("trainable").select(
-        "conv_id",
-        (F.col("starts") + F.col("reply_from")).alias("context_chars"),
-        reply.alias("reply_chars"),
-        (F.col("starts") + F.col("piece_chars")).alias("example_chars"),
-    )
+    rows = expanded(placed).where("example_chars is not null")
+    return rows.select("conv_id", F.col("at").alias("context_chars"), "reply_chars", "example_chars")
 
 
 def example_pieces(placed: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -119,43 +134,68 @@ DIGEST = (
 )
 
 
+class _Conversation:
+    """What has been read of a conversation: hash states, counts, and the formatted text of its last turn only."""
+
+    def __init__(self, conv: int | None):
+        self.conv, self.turns, self.loss = conv, hashlib.sha256(), hashlib.sha256()
+        self.n_turns = self.loss_chars = self.n_examples = self.example_chars = 0
+        self.chars = 0  # formatted text read so far
+        self.rest = ""  # its end that is no whole turn yet
+        self.role, self.reply, self.reply_at = "", "", 0  # of the last whole turn; the reply as it is written
+
+    def read(self, piece: str) -> None:
+        """Formatted text that goes on from what was read; it may be cut anywhere."""
+        self.rest += piece
+        self.chars += len(piece)
+        begins, at = self.chars - len(self.rest), 0
+        while turn := PARSED.match(self.rest, at):
+            self.reply, self.reply_at, at = turn[2], begins + turn.start(2), turn.end()
+            self.role, text = unescaped(turn[1]), unescaped(self.reply)
+            self.n_turns += 1
+            self.turns.update(f"{self.role}\n{text}\n".encode())
+        self.rest = self.rest[at:]
+
+    def train(self, context_chars: int, reply_chars: int, example_chars: int) -> None:
+        """An example: its context was read before, and its mask has to be the reply of the turn that the text ends with."""
+        ends = (context_chars + reply_chars + len(END), self.chars)
+        if self.rest or self.role != TRAINED_ROLE or context_chars != self.reply_at or ends != (example_chars, example_chars):
+            raise ValueError(f"conversation {self.conv}: the example at {context_chars} is no reply")
+        reply = unescaped(self.reply[:reply_chars])
+        self.loss_chars += len(reply)
+        self.loss.update(reply.encode())
+        self.n_examples += 1
+        self.example_chars += example_chars
+
+    def digest(self) -> list:
+        if self.rest:
+            raise ValueError(f"conversation {self.conv}: a formatted turn can't be read back")
+        hashes = self.turns.hexdigest(), self.loss.hexdigest()
+        return [self.conv, self.n_turns, hashes[0], self.loss_chars, hashes[1], self.chars, self.n_examples, self.example_chars]
+
+
 def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (conv_id, piece, example_from, example_to) -> a digest per conversation.
+    """Sorted rows of the expansion -> a digest per conversation.
 
-    Streams: of a conversation only hash states and counts are kept, never its text. The loss text is
-    cut out of the formatted text by the example's span, not taken from the turn.
+    Streams: of a conversation only hash states, counts and a turn are kept, never its text.
     """
     names = [field.split()[0] for field in DIGEST.split(", ")]
-    current: list = []
-
-    def closed() -> list:
-        conv, n, turns, loss_chars, loss, chars, count, total = current
-        return [conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars, count, total]
-
+    current: _Conversation | None = None
     for batch in batches:
         done = []
-        for conv, piece, start, end, begins in zip(*(batch.column(i).to_pylist() for i in range(5))):
-            if not current or current[0] != conv:
+        for conv, at, piece, reply_chars, example_chars in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            if current is None or current.conv != conv:
                 if current:
-                    done.append(closed())
-                current = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
-            parsed = PARSED.fullmatch(piece)
-            if parsed is None:
-                raise ValueError(f"conversation {conv}: a formatted turn can't be read back")
-            role, text = (unescaped(x) for x in parsed.groups())
-            current[1] += 1
-            current[2].update(f"{role}\n{text}\n".encode())
-            current[5] += len(piece)
-            if start is not None:
-                reply = unescaped(piece[start - begins : end - begins])
-                current[3] += len(reply)
-                current[4].update(reply.encode())
-                current[6] += 1
-                current[7] += begins + len(piece)
+                    done.append(current.digest())
+                current = _Conversation(conv)
+            if piece is not None:
+                current.read(piece)
+            else:
+                current.train(at, reply_chars, example_chars)
         if done:
             yield _rows(done, names)
     if current:
-        yield _rows([closed()], names)
+        yield _rows([current.digest()], names)
 
 
 def _rows(rows: list[list], names: list[str]) -> pa.RecordBatch:
@@ -163,21 +203,14 @@ def _rows(rows: list[list], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
-def digests(placed: DataFrame) -> DataFrame:
-    """Formatted turns read back, a row per conversation.
+def digests(rows: DataFrame) -> DataFrame:
+    """The expansion read back, a row per conversation.
 
     Turns of a conversation have to pass through one hash in order; each task streams its
     conversations, sorted on disk if need be, so memory does not depend on their length.
     """
-    reply_ends = F.col("starts") + F.col("piece_chars") - len(END)
-    spans = placed.select(
-        "conv_id",
-        "piece",
-        F.when(F.col("trainable"), F.col("starts") + F.col("reply_from")).alias("example_from"),
-        F.when(F.col("trainable"), reply_ends).alias("example_to"),
-        "starts",
-    )
-    return spans.repartition("conv_id").sortWithinPartitions("conv_id", "starts").mapInArrow(_read_back, DIGEST)
+    rows = rows.select("conv_id", "at", "piece", "reply_chars", "example_chars")
+    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "at").mapInArrow(_read_back, DIGEST)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,7 +222,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(text).alias("text"),
     )
     given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-    return digests(placed_turns(formatted_turns(given.unionByName(added))))
+    return digests(expanded(placed_turns(formatted_turns(given.unionByName(added)))))
 
 
 SQL = r"""
