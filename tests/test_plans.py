@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from wordloom.operators import cooccurrence as cooc
 from wordloom.operators import frequencies as freq
@@ -82,6 +83,19 @@ def test_pairs_of_a_large_vocabulary_are_shuffled_as_numbers(spark, corpus):
     assert "partial_count" in below and "cast(" not in below.split("partial_count")[0]
 
 
+def test_codes_move_words_not_tokens(spark, corpus):
+    lines = words.token_lines(words.line_records(corpus))
+    known = words.word_counts(words.token_documents(corpus))
+    text = cooc.shared_codes(cooc.different_words(lines, known), F.xxhash64)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and "Join" not in text
+    first = text.rsplit("Exchange hashpartitioning(word#", 2)[1]  # of tokens and vocabulary together
+    assert "HashAggregate(keys=[word#" in first.split("Union")[0]
+    # Known words save the pass over the lines.
+    broken = lines.select("doc_id", F.when(F.raise_error(F.lit("read")).isNull(), F.col("tokens")).alias("tokens"))
+    code = cooc.word_codes(broken, known, words=known)
+    assert known.select(F.count_distinct(code(F.col("word")))).first()[0] == known.count()
+
+
 def test_large_vocabularies_are_not_broadcast(spark, corpus):
     many = spark.range(0, 2_000_000).selectExpr("cast(id as string) as word")
     plan = cooc.pair_counts(words.token_lines(words.line_records(corpus)), many, 1, small=False)

@@ -80,22 +80,33 @@ CODE_BITS = 63
 MOST_RECODED = 10_000
 
 
-def word_codes(lines: DataFrame, vocabulary: DataFrame, bits: int = CODE_BITS) -> Callable[[Column], Column]:
+def different_words(lines: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(word) of the lines and the vocabulary, once each: tokens meet in the map-side table, so an exchange moves words, not tokens."""
+    return exploded(lines, name="word").union(vocabulary.select("word")).where("word is not null").distinct()
+
+
+def shared_codes(words: DataFrame, hashed: Callable[[Column], Column]) -> DataFrame:
+    """Different words -> (code) that two of them or more have."""
+    return words.groupBy(hashed(F.col("word")).alias("code")).agg(F.count("*").alias("n")).where("n > 1").select("code")
+
+
+def word_codes(lines: DataFrame, vocabulary: DataFrame, bits: int = CODE_BITS, words: DataFrame | None = None) -> Callable[[Column], Column]:
     """Word -> number, different for all words of the lines and the vocabulary: a hash, and below 0 for words that share theirs.
 
     All words are looked at, in one aggregation by code; those that share one are hardly ever any, and are part of the query.
+    `words`, where they are known already: rows with a different `word` each, all those of the lines and the vocabulary among them.
     """
     def hashed(word: Column) -> Column:
         return F.shiftrightunsigned(F.xxhash64(word), 64 - bits)
 
-    words = exploded(lines, name="word").union(vocabulary.select("word")).where("word is not null")
+    words = different_words(lines, vocabulary) if words is None else words.select("word").where("word is not null")
+    shared = shared_codes(words, hashed)
+    if shared.isEmpty():
+        return hashed
     coded = words.select("word", hashed(F.col("word")).alias("code"))
-    shared = coded.groupBy("code").agg(F.min("word").alias("low"), F.max("word").alias("high")).where("low <> high").select("code")
-    recoded = [r["word"] for r in coded.join(shared, "code", "left_semi").select("word").distinct().limit(MOST_RECODED + 1).collect()]
+    recoded = [r["word"] for r in coded.join(shared, "code", "left_semi").select("word").limit(MOST_RECODED + 1).collect()]
     if len(recoded) > MOST_RECODED:
         raise ValueError(f"more than {MOST_RECODED} words share {bits} bits")
-    if not recoded:
-        return hashed
     places = F.from_json(F.lit(json.dumps(sorted(recoded))), "array<string>")
 
     def code(word: Column) -> Column:
@@ -105,20 +116,22 @@ def word_codes(lines: DataFrame, vocabulary: DataFrame, bits: int = CODE_BITS) -
     return code
 
 
-def coded_counts(lines: DataFrame, vocabulary: DataFrame, d: int = 1, directed: bool = False, bits: int = CODE_BITS) -> DataFrame:
+def coded_counts(
+    lines: DataFrame, vocabulary: DataFrame, d: int = 1, directed: bool = False, bits: int = CODE_BITS, words: DataFrame | None = None
+) -> DataFrame:
     """Lines with `tokens` -> (w1, w2, n), for a vocabulary of any size: equal to `pair_counts` or, directed, `directed_counts`.
 
     Tokens are numbers before they are paired, so events and counts are two numbers each, however long the words; words come back for
-    what is left of the counts after the lookup.
+    what is left of the counts after the lookup. `words` is as for `word_codes`, and saves a pass over the lines.
     """
-    code = word_codes(lines, vocabulary, bits)
+    code = word_codes(lines, vocabulary, bits, words)
     coded = lines.select(F.transform("tokens", code).alias("tokens"))
     rows = events(coded, None, d)
     a, b = F.col("w1"), F.col("w2")
     pair = (a.alias("c1"), b.alias("c2")) if directed else (F.least(a, b).alias("c1"), F.greatest(a, b).alias("c2"))
     counted = rows.select(*pair).groupBy("c1", "c2").agg(F.count("*").alias("n"))
-    words = vocabulary.select("word").where("word is not null").distinct()
-    side = lambda c, w: words.select(code(F.col("word")).alias(c), F.col("word").alias(w))
+    known = vocabulary.select("word").where("word is not null").distinct()
+    side = lambda c, w: known.select(code(F.col("word")).alias(c), F.col("word").alias(w))
     found = counted.join(side("c1", "w1"), "c1").join(side("c2", "w2"), "c2")
     if directed:
         return found.select("w1", "w2", "n")

@@ -19,6 +19,7 @@ from wordloom.operators import vocabulary as vocab
 from wordloom.operators import words
 from wordloom.sources import side_files
 from wordloom.sources.corpus import read_table
+from wordloom.sources.kept import kept_as_table
 from wordloom.sources.writers import sorted_tsv
 
 # Vocabulary sizes, distances, and the corpus size assumed by the idf.
@@ -104,13 +105,15 @@ def cooc_pairs(corpus: DataFrame, d=1, strip_vocabulary=False) -> DataFrame:
     return cooc.counted_pairs(documents(corpus), top_words(corpus, strip=strip_vocabulary), d)
 
 
-def many_words(corpus: DataFrame) -> DataFrame:
+def many_words(counted: DataFrame) -> DataFrame:
     """A vocabulary that grows with the corpus."""
-    return counts(corpus).where(F.col("n") >= LEAST_COUNT)
+    return counted.where(F.col("n") >= LEAST_COUNT)
 
 
 def cooc_pairs_many_words(corpus: DataFrame) -> DataFrame:
-    return cooc.coded_counts(token_lines(corpus), many_words(corpus), 1)
+    """The words are counted once: the counts are the vocabulary, and name all words that need a number."""
+    counted = kept_as_table(counts(corpus))
+    return cooc.coded_counts(token_lines(corpus), many_words(counted), 1, words=counted)
 
 
 def stripes_tiled(corpus: DataFrame) -> DataFrame:
